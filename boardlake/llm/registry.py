@@ -1,7 +1,9 @@
 """The queries of this subpackage by name, and SQL where it can express one."""
 
+from .bpe import op4_bpe_encoding
 from .quality import op2_quality_rules
+from .secrets import op7_secret_scan
 from .url_filter import op8_url_filter
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op8_url_filter": op8_url_filter}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_bpe_encoding, op7_secret_scan, op8_url_filter)}
 ORACLE_SQL: dict[str, str] = {}
