@@ -1,10 +1,11 @@
 """The queries of this subpackage by name, and SQL where it can express one."""
 
 from .bpe import op4_bpe_encoding
+from .html_text import op5_html_extraction
 from .quality import op2_quality_rules
 from .secrets import op7_secret_scan
 from .toxicity import op6_toxicity
 from .url_filter import op8_url_filter
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_bpe_encoding, op6_toxicity, op7_secret_scan, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_bpe_encoding, op5_html_extraction, op6_toxicity, op7_secret_scan, op8_url_filter)}
 ORACLE_SQL: dict[str, str] = {}
