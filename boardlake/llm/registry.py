@@ -6,9 +6,10 @@ from .decontaminate import op9_decontamination
 from .html_text import op5_html_extraction
 from .neardup import op3_jaccard_join
 from .quality import op2_quality_rules
+from .repeats import op1_suffix_dedup
 from .secrets import op7_secret_scan
 from .toxicity import op6_toxicity
 from .url_filter import op8_url_filter
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_jaccard_join, op4_bpe_encoding, op5_html_extraction, op6_toxicity, op7_secret_scan, op8_url_filter, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_jaccard_join, op4_bpe_encoding, op5_html_extraction, op6_toxicity, op7_secret_scan, op8_url_filter, op9_decontamination)}
 ORACLE_SQL: dict[str, str] = {"op9_decontamination": DECONTAMINATION_SQL}
