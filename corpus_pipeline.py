@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boardlake.llm.bpe import encode_digests
 from boardlake.llm.common import table, written
+from boardlake.llm.decontaminate import drop_contaminated
+from boardlake.llm.neardup import keep_one
 from boardlake.llm.quality import judge_quality
+from boardlake.llm.secrets import mask_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -16,7 +20,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judge_quality(docs).filter(F.col("kept")).select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones."""
+    return keep_one(docs).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked; n_chars follows the text."""
+    return mask_secrets(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The number of tokens and the digests of ids and decoded text of each document."""
+    return encode_digests(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("bpe_encoding", bpe_encoding),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The verdict of the robust estimate and the model-free stages together have no SQL form.
+#: The robust estimate and the vocabulary's merges have no SQL form; tests check the stages against brute force.
 ORACLE_SQL = None
