@@ -15,7 +15,6 @@ rows each get their score; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from math import log
 
@@ -29,7 +28,7 @@ from .common import table
 BITS = 18
 DIM = 4
 SIZES = (3, 4, 5, 6)
-CLASS_ROWS = 4000
+CLASS_ROWS = 3000
 LEAST_TEXTS = 3
 #: Settings of the training: scale of the layer's input, share of the largest step size that evens out the others, decay, and the frequency at which a word's weight is halved.
 GAIN, FLAT, DECAY, SMOOTH = 200.0, 1e-3, 2e-4, 3e-3
@@ -70,20 +69,30 @@ def buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0.1, decay: float = DECAY, seed: int = 5) -> tuple[np.ndarray, float, dict[str, float]]:
     """A number for each bucket, the bias and the weights of frequent words; bias + the mean over words of weight times the mean over n-grams is the log-odds."""
     y = np.array(labels, np.float64)
-    bags = [Counter(words_in(t)) for t in texts]
-    spread = Counter(w for b in bags for w in b)
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in spread.items() if n >= LEAST_TEXTS))}
-    if not vocabulary:
+    ids: dict[str, int] = {}
+    docs, found, times, sizes = [], [], [], np.zeros(len(texts))
+    for d, t in enumerate(texts):
+        every = np.fromiter((ids.setdefault(w, len(ids)) for w in words_in(t)), np.int32)
+        own, n = np.unique(every, return_counts=True)
+        docs.append(np.full(len(own), d, np.int32)), found.append(own), times.append(n.astype(np.int32))
+        sizes[d] = max(len(every), 1)
+    doc, word, n = np.concatenate(docs), np.concatenate(found), np.concatenate(times)
+    kept = np.flatnonzero(np.bincount(word, minlength=len(ids)) >= LEAST_TEXTS)
+    if not len(kept):
         return np.zeros(1 << BITS, np.float32), 0.0, {}
-    doc = np.array([d for d, b in enumerate(bags) for w in b if w in vocabulary], np.int64)
-    word = np.array([vocabulary[w] for b in bags for w in b if w in vocabulary], np.int64)
-    total = sum(sum(b.values()) for b in bags)
-    often = Counter()
-    for b in bags:
-        often.update(b)
-    weight_of = {w: SMOOTH / (SMOOTH + often[w] / total) for w in vocabulary}
-    share = np.array([n * weight_of[w] / sum(b.values()) for b in bags for w, n in b.items() if w in vocabulary])
-    owner, bucket = buckets(list(vocabulary))
+    often = np.bincount(word, n, len(ids))
+    weight_of = SMOOTH / (SMOOTH + often / often.sum())
+    place = np.full(len(ids), -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    inside = place[word] >= 0
+    doc, word, n = doc[inside], word[inside], n[inside]
+    share = n * weight_of[word] / sizes[doc]
+    word = place[word]
+    names = list(ids)
+    vocabulary = [names[i] for i in kept]
+    frequent = {w: v for w, v in zip(vocabulary, weight_of[kept].tolist(), strict=True) if v < 0.98}
+    del ids, names, docs, found, times, place
+    owner, bucket = buckets(vocabulary)
     part = 1 / np.bincount(owner, minlength=len(vocabulary))[owner]
     used, bucket = np.unique(bucket, return_inverse=True)
     rng = np.random.default_rng(seed)
@@ -91,23 +100,23 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (e, w, b)]
     # rows of either class count the same here; the bias gets the true shares afterwards
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    gather = lambda index, values, n: np.stack([np.bincount(index, values[:, k], n) for k in range(DIM)], 1)
+    gather = lambda index, values, at, scale, n: np.stack([np.bincount(index, values[at, k] * scale, n) for k in range(DIM)], 1)
     for step in range(1, epochs + 1):
-        words = gather(owner, e[bucket] * part[:, None], len(vocabulary))
-        mean = gather(doc, words[word] * share[:, None], len(y))
+        words = gather(owner, e, bucket, part, len(vocabulary))
+        mean = gather(doc, words, word, share, len(y))
         z = mean @ w * GAIN + b
         p = 1 / (1 + np.exp(z[:, 0] - z[:, 1]))
         d = np.stack([y - p, p - y], 1) * weight[:, None]
         dmean = d @ w.T * GAIN
-        dwords = gather(word, dmean[doc] * share[:, None], len(vocabulary))
-        grads = (gather(bucket, dwords[owner] * part[:, None], len(used)) + decay * e, mean.T @ d * GAIN, d.sum(0))
+        dwords = gather(word, dmean, doc, share, len(vocabulary))
+        grads = (gather(bucket, dwords, owner, part, len(used)) + decay * e, mean.T @ d * GAIN, d.sum(0))
         for (m, v), g, at in zip(moments, grads, (e, w, b), strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             at -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + FLAT * np.sqrt(v.max() / (1 - 0.99**step)) + 1e-12)
     number = np.zeros(1 << BITS, np.float32)
     number[used] = e @ (w[:, 1] - w[:, 0]) * GAIN
-    return number, float(b[1] - b[0]), {w: v for w, v in weight_of.items() if v < 0.98}
+    return number, float(b[1] - b[0]), frequent
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, learn_from) -> tuple[list, dict[int, int]]:
