@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TOKEN = r"[\p{L}\p{N}]+"
 #: The Snowball project's list of English stop words; fixed values.
@@ -98,12 +99,12 @@ def stem(word: str) -> str:
     return w.replace("Y", "y")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def stem_column(words: pd.Series) -> pd.Series:
     return words.map(lambda w: stem(w) if w is not None else None)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _stems(tokens: pd.Series) -> pd.Series:
     known: dict = {}
     out = []
@@ -136,12 +137,21 @@ class Config:
 SIMPLE, ENGLISH = Config("simple"), Config("english")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, also where body uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def _holds(fits, want):
+    return lambda t: F.coalesce(fits(t, want), F.lit(False))
+
+
 def _chain(tokens: Column, lexemes: list[tuple[str, bool]], gaps: list[int]) -> Column:
     """Whether the lexemes (text, is prefix) stand one after the other at these distances."""
     fits = lambda have, want: have.startswith(want[0]) if want[1] else have == F.lit(want[0])
     every = F.lit(True)
     for want in lexemes:
-        held = F.exists(tokens, lambda t, w=want: F.coalesce(fits(t, w), F.lit(False))) if want[1] else F.coalesce(F.array_contains(tokens, want[0]), F.lit(False))
+        held = F.exists(tokens, _holds(fits, want)) if want[1] else F.coalesce(F.array_contains(tokens, want[0]), F.lit(False))
         every = every & held
     if len(lexemes) == 1:
         return every
@@ -163,11 +173,25 @@ def phrase_matches(tokens: Column, phrase: str, config: Config = SIMPLE) -> Colu
     if not places:
         return F.lit(False)
     gaps = [b - a for (a, _), (b, _) in zip(places, places[1:], strict=False)]
-    return _chain(tokens, [(w, False) for _, w in places], gaps)
+    return let(tokens, lambda t: _chain(t, [(w, False) for _, w in places], gaps))
+
+
+def may_match(text: Column, phrase: str, config: Config = SIMPLE) -> Column:
+    """A cheap test that every text with the phrase passes: the words are in it as strings. Stems need not be."""
+    words = [w for w in re.findall(r"[^\W_]+", phrase.lower())] if config.name == "simple" else []
+    lower = F.lower(text)
+    out = F.lit(True)
+    for w in words:
+        out = out & F.contains(lower, F.lit(w))
+    return out
 
 
 def query_matches(tokens: Column, query: str, config: Config = SIMPLE) -> Column:
     """A boolean query: words, "word:*" for a prefix, !, &, |, <-> or <N> for following at distance N, and parentheses."""
+    return let(tokens, lambda t: _query(t, query, config))
+
+
+def _query(tokens: Column, query: str, config: Config) -> Column:
     parts = re.findall(r"[()!&|]|<->|<\d+>|[^\s()!&|<>:]+(?::\*)?", query)
     if re.sub(r"\s", "", query) != "".join(parts):
         raise ValueError(f"syntax error in query: {query!r}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Named character references that are decoded, in this order; the ampersand comes last, so that nothing is decoded twice.
 NAMED = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " ")]
@@ -17,7 +18,7 @@ def decode_named(text: Column) -> Column:
     return F.regexp_replace(text, "(?i)&amp;", "&")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _numeric(texts: pd.Series) -> pd.Series:
     def letter(m) -> str:
         n = int(m[1], 16) if m[1] else int(m[2])

@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.functions.search import ENGLISH, Config, phrase_matches, query_matches, searched_text
+from boardlake.functions.search import ENGLISH, Config, may_match, phrase_matches, query_matches, searched_text
 from boardlake.functions.times import parse_bound
 
 
-
 def by_phrase(posts: DataFrame, phrase: str, config: Config = ENGLISH) -> DataFrame:
-    return posts.withColumn("_t", config.tokens(searched_text(F.col("subject"), F.col("body_text")))).filter(phrase_matches(F.col("_t"), phrase, config)).drop("_t")
+    text = searched_text(F.col("subject"), F.col("body_text"))
+    return posts.filter(may_match(text, phrase, config)).filter(phrase_matches(config.tokens(text), phrase, config))
 
 
 def by_query(posts: DataFrame, query: str, config: Config = ENGLISH) -> DataFrame:
-    return posts.withColumn("_t", config.tokens(searched_text(F.col("subject"), F.col("body_text")))).filter(query_matches(F.col("_t"), query, config)).drop("_t")
+    return posts.filter(query_matches(config.tokens(searched_text(F.col("subject"), F.col("body_text"))), query, config))
 
 
 def by_board(posts: DataFrame, board: str | None = None, site: str | None = None) -> DataFrame:

@@ -151,7 +151,7 @@ def tokens_en(spark, sf):
     return posts(spark, sf).select("post_no", search.tokens_english(search.searched_text(F.col("subject"), F.col("body_text"))).alias("tokens"))
 
 
-@query(f"""select site, board, term, post_no, list(at order by at) as positions from (select site, board, post_no, unnest({TOKENS}) as term, generate_subscripts({TOKENS}, 1)::int as at from posts) group by site, board, term, post_no""")
+@query(f"""select site, board, term, post_no, list(pos order by pos) as positions from (select site, board, post_no, unnest({TOKENS}) as term, generate_subscripts({TOKENS}, 1)::int as pos from posts) group by site, board, term, post_no""")
 def inverted_index(spark, sf):
     return search.inverted_index(posts(spark, sf))
 
@@ -376,9 +376,12 @@ def md5_text(spark, sf):
     return posts(spark, sf).select("post_no", F.md5("body_text").alias("body_md5"))
 
 
-@query("select a.post_no, levenshtein(substr(a.body_text, 1, 60), substr(b.body_text, 1, 60))::int as distance from posts a join posts b on b.post_no = a.post_no + 1")
+_PLAIN = r"regexp_replace(substr({}.body_text, 1, 60), '[^\x00-\x7F]', '?', 'g')"  # the oracle counts bytes
+
+
+@query(f"select a.post_no, levenshtein({_PLAIN.format('a')}, {_PLAIN.format('b')})::int as distance from posts a join posts b on b.post_no = a.post_no + 1")
 def levenshtein_text(spark, sf):
-    p = posts(spark, sf).select("post_no", F.substr("body_text", F.lit(1), F.lit(60)).alias("t"))
+    p = posts(spark, sf).select("post_no", F.regexp_replace(F.substr("body_text", F.lit(1), F.lit(60)), r"[^\x00-\x7F]", "?").alias("t"))
     q = p.select((F.col("post_no") - 1).alias("post_no"), F.col("t").alias("u"))
     return p.join(q, "post_no").select("post_no", F.levenshtein("t", "u").alias("distance"))
 
@@ -570,8 +573,8 @@ def board_slugs(spark, sf):
     return L.slugs(timeline(spark, sf))
 
 
-_PAIRS = TIMELINE_SQL + """, pairs as (select c.slug, c.date::date as made, min(r.date::date) as gone from (select * from timeline where type = 'created' and length(date) = 10) c
- join (select * from timeline where type = 'removed' and length(date) = 10) r on r.slug = c.slug and r.date::date - c.date::date between 1 and 7 where month(c.date::date) = 4 and day(c.date::date) in (1, 2) group by c.slug, c.date)"""
+_PAIRS = TIMELINE_SQL + """, pairs as (select c.slug, try_cast(c.date as date) as made, min(try_cast(r.date as date)) as gone from (select * from timeline where type = 'created' and length(date) = 10) c
+ join (select * from timeline where type = 'removed' and length(date) = 10) r on r.slug = c.slug and try_cast(r.date as date) - try_cast(c.date as date) between 1 and 7 where month(try_cast(c.date as date)) = 4 and day(try_cast(c.date as date)) in (1, 2) group by c.slug, c.date)"""
 _AT = "(year(d) + (d - make_date(year(d), 1, 1)) / 365.25)"
 
 
@@ -580,14 +583,14 @@ def april_fools_pairs(spark, sf):
     return L.fools_pairs(timeline(spark, sf))
 
 
-@query(f"""select type, slug, date, round({_AT}, 6) as at from (select *, (case when length(date) = 7 then date || '-01' else date end)::date as d from
+@query(f"""select type, slug, date, round({_AT}, 6) as "at" from (select *, (case when length(date) = 7 then date || '-01' else date end)::date as d from
  (select type, slug, date from timeline t where date is not null and not exists (select 1 from pairs p where p.slug = t.slug and t.date in (p.made::varchar, p.gone::varchar))
  union all select 'fools', count(*) || ' boards', min(made)::varchar from pairs group by year(made)))""", _PAIRS)
 def timeline_events(spark, sf):
     return L.events_with_fools(timeline(spark, sf))
 
 
-@query(f"""select since, at as upto from (select at, lag(at) over (order by at) as since from (select distinct round({_AT}, 6) as at from (select (case when length(date) = 7 then date || '-01' else date end)::date as d from timeline where date is not null) union select 2026.5::double)) where at - since > 2.0""", TIMELINE_SQL)
+@query(f"""select since, y as upto from (select y, lag(y) over (order by y) as since from (select distinct round({_AT}, 6) as y from (select (case when length(date) = 7 then date || '-01' else date end)::date as d from timeline where date is not null) union select 2026.5::double)) where y - since > 2.0""", TIMELINE_SQL)
 def timeline_gaps(spark, sf):
     return L.gaps(timeline(spark, sf), 2.0, 2026.5)
 
@@ -613,11 +616,11 @@ def ocr_header(spark, sf):
 
 @query(r"""select path, dir_board, board, case when copy > 1 then 'remove' when snap > 0 then 'snapshot' when dir_board <> board then 'move' else 'keep' end as action,
  case when copy > 1 then null when snap > 0 then name || '.snap' || snap else name end as target
- from (select *, row_number() over (partition by board, name, copy = 1 order by h, path) - 1 as snap from (select *, row_number() over (partition by board, name, digest order by h, path) as copy
- from (select *, case when dir_board = board then 0 else 1 end as h, sha1(html) as digest from (select p.path, p.dir_board, p.name, p.html, coalesce(m.item, p.dir_board) as board
- from saved p left join (select path, item from (select path, item, count(*) as n, min(at) as first from (select path, lower(unnest(l)) as item, generate_subscripts(l, 1) as at
- from (select path, regexp_extract_all(html, 'href="[^"]*?/([A-Za-z0-9]+)/', 1) as l from saved)) group by all) qualify row_number() over (partition by path order by n desc, first) = 1) m using (path)))))""",
-       "saved as (select 'page' || page_id as path, case when page_id % 3 = 0 then 'en' else 'de' end as dir_board, (page_id % 40) || '.html' as name, replace(html, 'href=\"/', 'href=\"/' || case when page_id % 5 < 3 then 'en' else 'de' end || '/') || case when page_id % 2 = 0 then '' else 'x' end as html from pages)")
+ from (select *, row_number() over (partition by board, name, copy = 1 order by h, path) - 1 as snap from (select *, row_number() over (partition by board, name, digest order by h, path) as copy from placed))""",
+       "saved as (select 'page' || page_id as path, case when page_id % 3 = 0 then 'en' else 'de' end as dir_board, (page_id % 40) || '.html' as name, replace(html, 'href=\"/', 'href=\"/' || case when page_id % 5 < 3 then 'en' else 'de' end || '/') || case when page_id % 2 = 0 then '' else 'x' end as html from pages)"
+       + r""", links as (select path, lower(unnest(l)) as item, generate_subscripts(l, 1) as pos from (select path, regexp_extract_all(html, 'href="[^"]*?/([A-Za-z0-9]+)/', 1) as l from saved)),
+ best as (select path, item from (select path, item, count(*) as n, min(pos) as first from links group by all) qualify row_number() over (partition by path order by n desc, first) = 1),
+ placed as (select *, case when dir_board = board then 0 else 1 end as h, sha1(html) as digest from (select p.path, p.dir_board, p.name, p.html, coalesce(m.item, p.dir_board) as board from saved p left join best m using (path)))""")
 def reconcile_boards(spark, sf):
     n = F.col("page_id")
     board = F.when(n % 5 < 3, "en").otherwise("de")
