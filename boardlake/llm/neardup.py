@@ -66,8 +66,8 @@ def gram_set(text: str | None) -> np.ndarray:
 
 
 def embed(sets: list[np.ndarray]) -> np.ndarray:
-    """COORDS values of 16 bits for each set; those of the empty set are 0."""
-    out = np.zeros((len(sets), COORDS), np.uint16)
+    """COORDS values of 32 bits for each set; those of the empty set are 0. With fewer bits unrelated sets would share tokens, the more the larger the corpus."""
+    out = np.zeros((len(sets), COORDS), np.uint32)
     full = [i for i, s in enumerate(sets) if len(s)]
     if not full:
         return out
@@ -78,7 +78,7 @@ def embed(sets: list[np.ndarray]) -> np.ndarray:
         h = flat * a
         h ^= h >> U64(32)
         low = np.minimum.reduceat(h * U64(0xD6E8FEB86659FD93), start)
-        out[full, k] = (low * MULT >> U64(48)).astype(np.uint16)
+        out[full, k] = (low * MULT >> U64(32)).astype(np.uint32)
     return out
 
 
@@ -96,7 +96,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose(depth: int) -> Callable:
-    """Children of nodes: rows (path, cid, sketch) for every sampled token of each set; level 0 starts all runs."""
+    """Children of nodes: rows (path, cid) for every sampled token of each set; level 0 starts all runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = U64(int(2**64 / (COORDS * OVER / UNDER)))
@@ -106,7 +106,7 @@ def choose(depth: int) -> Callable:
                 part = batch.slice(lo, 2000)
                 if not part.num_rows:
                     continue
-                sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDS).astype(np.uint64)
+                sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint32).reshape(-1, COORDS).astype(np.uint64)
                 token = sketch + U64(1) + coord
                 starts = [np.full(len(sketch), r + 1, np.uint64) for r in range(RUNS)] if depth == 0 else [part.column("path").to_numpy().view(np.uint64)]
                 for node in starts:
@@ -116,8 +116,7 @@ def choose(depth: int) -> Callable:
                     h ^= h >> U64(29)
                     row, at = np.nonzero(h * MULT < limit)
                     if len(row):
-                        take = pa.array(row)
-                        yield pa.RecordBatch.from_arrays([pa.array((h[row, at] * U64(3)).view(np.int64)), part.column("cid").take(take), part.column("sketch").take(take)], names=["path", "cid", "sketch"])
+                        yield pa.RecordBatch.from_arrays([pa.array((h[row, at] * U64(3)).view(np.int64)), part.column("cid").take(pa.array(row))], names=["path", "cid"])
 
     return run
 
@@ -169,7 +168,7 @@ def compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if rows.num_rows < 2:
             continue
         cid = rows.column("cid").to_pylist()
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDS)
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint32).reshape(-1, COORDS)
         for i, j in forest(lambda k, s=sketch: np.flatnonzero((s == s[k]).sum(1) >= LEAST), len(cid)):
             x, y = cid[i], cid[j]
             if x != y:
@@ -189,19 +188,22 @@ def dealt(rows: DataFrame, keys: list[str], blocks: str, own: str) -> DataFrame:
 
 
 def chosen_path_edges(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) of a spanning forest of the classes that may be similar."""
+    """Edges (a, b) of a spanning forest of the classes that may be similar.
+
+    Paths travel with the class alone; the embedding joins only those that another class shares.
+    """
+    sketches = classes.select("cid", "sketch")
     nodes, found = classes.filter(F.col("n") > 0).select("cid", "sketch"), []
     for depth in range(DEPTH):
-        nodes = written(nodes.mapInArrow(choose(depth), "path long, cid binary, sketch binary"), f"jaccard-level{depth}")
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("g")).filter(F.col("g") > 1)
-        shared = nodes.join(sizes, "path")
+        paths = written(nodes.mapInArrow(choose(depth), "path long, cid binary"), f"jaccard-level{depth}")
+        sizes = paths.groupBy("path").agg(F.count("*").alias("g")).filter(F.col("g") > 1)
+        shared = written(paths.join(sizes, "path").join(sketches, "cid"), f"jaccard-shared{depth}")
         last = depth == DEPTH - 1
         leaves = shared if last else shared.filter(F.col("g") <= SMALL)
         leaves = leaves.withColumns({"nb": F.ceil(F.col("g") / BLOCK).cast("int")}).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
         leaves = dealt(leaves.select("path", "cid", "sketch", "nb", "own"), ["path"], "nb", "own")
-        found.append(leaves.mapInArrow(compare_leaves, "a binary, b binary").distinct())
+        found.append(written(leaves.mapInArrow(compare_leaves, "a binary, b binary").distinct(), f"jaccard-edges{depth}"))
         nodes = shared.filter(F.col("g") > SMALL).select("path", "cid", "sketch")
-        found[-1] = written(found[-1], f"jaccard-edges{depth}")
         if not last and nodes.isEmpty():
             break
     out = found[0]
