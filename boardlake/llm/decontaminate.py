@@ -67,8 +67,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that hold an item."""
     bad = find_items(docs, benchmark).select("_k", "_h").distinct()
-    keyed = docs.withColumns(dict(zip(["_k", "_h"], row_key("doc_id", "text"), strict=True)))
-    return keyed.join(written(bad, "benchmark-contaminated"), ["_k", "_h"], "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct("*").alias("_row"), *row_key("doc_id", "text"))
+    return keyed.join(written(bad, "benchmark-contaminated"), ["_k", "_h"], "left_anti").select("_row.*")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -302,8 +302,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """One row of docs for each group of linked classes: the one with the least key."""
     _, classes = linked_classes(docs, key, text)
     kept = classes.groupBy("label").agg(F.min(F.struct("_k", "_h")).alias("rep")).select("rep._k", "rep._h")
-    keyed = docs.withColumns(dict(zip(["_k", "_h"], row_key(key, text), strict=True)))
-    return keyed.join(written(kept, "jaccard-kept"), ["_k", "_h"], "left_semi").dropDuplicates(["_k", "_h"]).select(*docs.columns)
+    keyed = docs.select(F.struct("*").alias("_row"), *row_key(key, text))
+    return keyed.join(written(kept, "jaccard-kept"), ["_k", "_h"], "left_semi").dropDuplicates(["_k", "_h"]).select("_row.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

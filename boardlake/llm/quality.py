@@ -147,9 +147,9 @@ def apply_mcd(stats: DataFrame, groups: DataFrame, estimates: DataFrame) -> Data
 def judge_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the base counts, base_failed, distance and kept. The statistics are computed twice, the texts never written."""
     docs = docs.drop(*COUNTS, "base_failed", "distance", "kept")
-    stats = statistics(docs, text)
+    stats = statistics(docs.select(F.struct("*").alias("_row"), text, "lang", "source"), text)
     groups, estimates = fit_mcd(written(stats.select(*GROUP, *X, "base_failed"), "mcd-rows"))
-    return apply_mcd(stats, groups, estimates).select(*docs.columns, *COUNTS, "base_failed", "distance", "kept")
+    return apply_mcd(stats, groups, estimates).select("_row.*", *COUNTS, "base_failed", "distance", "kept")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,9 +140,11 @@ def redact(text: Column, found: Column, mark: str = "[secret]") -> Column:
 def mask_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the found secrets of every text masked; all rows and columns stay."""
     found = find_secrets(docs, key, text).filter(F.size("found") > 0).select("_k", "_h", "found").dropDuplicates(["_k", "_h"])
-    rows = docs.withColumns(dict(zip(["_k", "_h"], row_key(key, text), strict=True)))
+    rows = docs.select(F.struct("*").alias("_row"), *row_key(key, text))
     out = rows.join(found, ["_k", "_h"], "left")
-    return out.withColumn(text, F.when(F.col("found").isNotNull(), redact(F.col(text), F.col("found"))).otherwise(F.col(text))).select(*docs.columns)
+    own = F.col("_row")[text]
+    masked = F.when(F.col("found").isNotNull(), redact(own, F.col("found"))).otherwise(own)
+    return out.select(F.col("_row").withField(text, masked).alias("_row")).select("_row.*")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
