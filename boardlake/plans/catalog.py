@@ -16,6 +16,8 @@ from boardlake.operators import histogram as H
 from boardlake.operators import pages as G
 from boardlake.operators import presence as B
 from boardlake.operators import timelines as L
+from boardlake.sources import json_posts as J
+from boardlake.sources import mysql_dump as M
 
 from .views import EVENT_POSTS, OFFERS, POSTS, THREADS, TIMELINE_SQL, event_posts, offers, posts, table, threads, timeline
 
@@ -627,3 +629,57 @@ def reconcile_boards(spark, sf):
     html = F.concat(F.replace(F.col("html"), F.lit('href="/'), F.concat(F.lit('href="/'), board, F.lit("/"))), F.when(n % 2 == 0, "").otherwise("x"))
     saved = table(spark, sf, "pages").select(F.concat(F.lit("page"), n.cast("string")).alias("path"), F.when(n % 3 == 0, "en").otherwise("de").alias("dir_board"), F.concat((n % 40).cast("string"), F.lit(".html")).alias("name"), html.alias("html"))
     return G.reconcile(saved)
+
+
+# ---- sources; numbers are shifted by a block, for a thread pointer of 0 means the post itself
+
+
+def shifted(spark: SparkSession, sf: str) -> DataFrame:
+    return posts(spark, sf).withColumns({"post_no": F.col("post_no") + 8, "thread_no": F.col("thread_no") + 8})
+
+
+SHIFTED = POSTS + ", shifted as (select * replace (post_no + 8 as post_no, thread_no + 8 as thread_no) from posts)"
+
+
+@query("select site, board, thread_no, post_no, is_op, ts_utc, nullif(subject, '') as subject, nullif(body_text, '') as body_text from shifted where post_no % 29 <> 0", SHIFTED)
+def scan_ndjson(spark, sf):
+    p = shifted(spark, sf)
+    ghost = F.when(F.col("post_no") % 29 == 0, 1).otherwise(0)
+    line = F.to_json(F.struct("site", "board", F.col("post_no").alias("num"), ghost.alias("subnum"), F.when(F.col("is_op"), 0).otherwise(F.col("thread_no")).alias("thread_num"), F.col("ts_utc").alias("timestamp"), F.col("subject").alias("title"), F.col("body_text").alias("comment")))
+    return J.stored(J.staged_posts(p.select(line.alias("line")))).select("site", "board", "thread_no", "post_no", "is_op", "ts_utc", "subject", "body_text")
+
+
+@query("select board, thread_no, post_no, is_op, ts_utc from shifted", SHIFTED)
+def stage_api_threads(spark, sf):
+    p = shifted(spark, sf)
+    one = F.struct(F.col("post_no").alias("no"), F.when(F.col("is_op"), 0).otherwise(F.col("thread_no")).alias("resto"), F.col("ts_utc").alias("time"), F.col("subject").alias("sub"))
+    files = p.groupBy("board", "thread_no").agg(F.to_json(F.struct(F.collect_list(one).alias("posts"))).alias("text"))
+    return J.api_posts(files, F.col("board"), F.col("thread_no")).select("board", "thread_no", "post_no", "is_op", "ts_utc")
+
+
+@query("select board, thread_no, post_no, is_op, ts_utc, md5(body_text) as media_md5 from shifted where board <> 'fr'", SHIFTED)
+def stage_asagi_export(spark, sf):
+    text = lambda c: F.col(c).cast("string")
+    board = F.when(F.col("board") != "fr", F.struct(F.lit("").alias("name"), F.col("board").alias("shortname")))
+    line = F.to_json(F.struct(text("post_no").alias("num"), F.lit("0").alias("subnum"), text("thread_no").alias("thread_num"), text("ts_utc").alias("timestamp"), board.alias("board"), F.struct(F.lit("").alias("media_filename"), F.md5("body_text").alias("media_hash")).alias("media")))
+    out = J.stored(J.exported_posts(shifted(spark, sf).select(line.alias("line"))))
+    return out.select("board", "thread_no", "post_no", "is_op", "ts_utc", "media_md5")
+
+
+@query("select board, thread_no, post_no, is_op, post_no % 7 = 0 as deleted, post_no % 11 = 0 as mismatch from shifted", SHIFTED)
+def stage_hayden(spark, sf):
+    n = F.col("post_no")
+    obj = F.struct(n.cast("string").alias("num"), F.when(n % 11 == 0, F.col("thread_no") + 1).otherwise(F.col("thread_no")).cast("string").alias("thread_num"), F.when(n % 7 == 0, "1").otherwise("0").alias("deleted"))
+    one = F.struct(obj.alias("OriginalObject"))
+    files = shifted(spark, sf).groupBy("board", "thread_no").agg(F.to_json(F.struct(F.struct(F.collect_list(one).alias("Posts")).alias("Thread"))).alias("text"))
+    return J.scraped_posts(files, F.col("board"), F.col("thread_no")).select("board", "thread_no", "post_no", "is_op", "deleted", "mismatch")
+
+
+@query("select post_no, 'b' || board as table_name, body_text from shifted", SHIFTED)
+def parse_mysql_tuple(spark, sf):
+    quoted = F.replace(F.replace(F.replace("body_text", F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''")), F.lit("\n"), F.lit("\\n"))
+    body = F.coalesce(F.concat(F.lit("'"), quoted, F.lit("'")), F.lit("NULL"))
+    statement = F.concat(F.lit("INSERT INTO `b"), F.col("board"), F.lit("` (`num`, `comment`) VALUES (-1, 'a),(b'), ("), F.col("post_no").cast("string"), F.lit(", "), body, F.lit(");"))
+    table_name, _, values = M.insert_parts(statement)
+    rows = shifted(spark, sf).select(table_name.alias("table_name"), F.explode(M.parse_tuples(values)).alias("v")).filter(F.col("v")[0] != "-1")
+    return rows.select(F.col("v")[0].cast("long").alias("post_no"), "table_name", F.col("v")[1].alias("body_text"))
