@@ -383,9 +383,9 @@ _PLAIN = r"regexp_replace(substr({}.body_text, 1, 60), '[^\x00-\x7F]', '?', 'g')
 
 @query(f"select a.post_no, levenshtein({_PLAIN.format('a')}, {_PLAIN.format('b')})::int as distance from posts a join posts b on b.post_no = a.post_no + 1")
 def levenshtein_text(spark, sf):
-    p = posts(spark, sf).select("post_no", F.regexp_replace(F.substr("body_text", F.lit(1), F.lit(60)), r"[^\x00-\x7F]", "?").alias("t"))
+    p = posts(spark, sf).select("post_no", F.col("body_text").alias("t"))
     q = p.select((F.col("post_no") - 1).alias("post_no"), F.col("t").alias("u"))
-    return p.join(q, "post_no").select("post_no", F.levenshtein("t", "u").alias("distance"))
+    return p.join(q, "post_no").select("post_no", texts.levenshtein("t", "u").alias("distance"))
 
 
 _SECONDS = "epoch(make_timestamp(2003 + post_no % 15, 1 + post_no % 12, 1 + post_no % 28, post_no % 24, post_no % 60, 0))::bigint"
