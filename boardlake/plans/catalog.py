@@ -280,8 +280,7 @@ def posts_by_year_source(spark, sf):
 @query(f"""select y.year, coalesce(c.posts, 0) as posts from (select unnest(range((select min({YEAR}) from posts where board = 'es' and post_no % 40 = 1), (select max({YEAR}) + 1 from posts where board = 'es' and post_no % 40 = 1)))::int as year) y
  left join (select {YEAR} as year, count(*) as posts from posts where board = 'es' and post_no % 40 = 1 group by 1) c using (year)""")
 def posts_by_year_board_filled(spark, sf):
-    some = P.by_board(posts(spark, sf), "es").filter("post_no % 40 = 1 and ts_utc is not null")
-    return A.filled_years(some.groupBy(times.year_of(F.col("ts_utc")).alias("year")).agg(F.count("*").alias("posts")))
+    return A.board_years(posts(spark, sf), "es")
 
 
 @query("""select s.source_id, y.year, coalesce(c.posts, 0)::bigint as posts from (select distinct source_id from stats where year is not null) s

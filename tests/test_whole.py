@@ -45,3 +45,11 @@ def test_edit_distance():
     for _ in range(300):
         a, b = ("".join(r.choice("abé日") for _ in range(r.choice((0, 1, 5, 63, 64, 65, 130)))) for _ in range(2))
         assert texts.edit_distance(a, b) == matrix(a, b)
+
+
+def test_years_of_all_posts_of_a_board(spark, tables):
+    folder, docs, dates = tables
+    years = [dates[i].year for i, _, board, _ in docs if board == "es" and i % 17 and i in dates]
+    got = [(r.year, r.posts) for r in catalog.QUERIES["posts_by_year_board_filled"](spark, folder).collect()]
+    assert sorted(got) == [(y, years.count(y)) for y in range(min(years), max(years) + 1)]
+    assert 0 in dict(got).values() and sum(dict(got).values()) == len(years)
