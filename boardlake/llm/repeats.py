@@ -12,7 +12,8 @@ Removes every byte that a string of `SPAN` bytes covers which also starts anywhe
 3. Suffixes of the dictionary. The entries of such a trigger, once each, are laid side by side, and their suffixes are
    ordered to a depth of SPAN bytes (by fingerprints, since only which are equal matters, not their order). Suffixes of two
    entries that are equal to this depth are repeats. With the counts of the parse this is the order of the corpus to depth
-   SPAN, in which a string repeats if and only if it equals a neighbour.
+   SPAN, in which a string repeats if and only if it equals a neighbour. Where a trigger has over HOT_ENTRIES entries, its
+   starts are counted by place and fingerprint with a partially aggregated grouping, which spreads it over the tasks.
 4. The repeated starts return to their texts, where the covered bytes are merged and removed.
 
 Equal phrases within a batch are combined before the first shuffle, so a text with many copies sends one row for each
@@ -53,6 +54,8 @@ BASE = 0x100000001B3
 HELD = 50_000
 #: Bytes of phrases whose suffixes are ordered at once.
 SUFFIX_BYTES = 4 << 20
+#: Entries of one trigger, of up to 2 * SPAN bytes each, up to which one task takes them all; the starts of more are dealt by fingerprint.
+HOT_ENTRIES = 10_000
 
 
 def power(n: int) -> np.uint64:
@@ -245,8 +248,8 @@ def entry_batch(batch, keys, places, owners, pieces) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("_k").take(own), batch.column("_h").take(own), pa.array(places, pa.int64()), pa.array(pieces, pa.binary())], names=["key", "_k", "_h", "place", "bytes"])
 
 
-def equal_suffixes(key: np.ndarray, first: np.ndarray, n: np.ndarray, trigger: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of repeated starts among entries: (entry, first start of the run in its text, number of starts)."""
+def fingerprints(n: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, offset in it, fingerprint of the SPAN bytes there) of all starts of entries."""
     size = np.fromiter(map(len, pieces), np.int64, len(pieces))
     data = np.frombuffer(b"".join(pieces), np.uint8)
     h8 = rolled(mixed(data), 1, 8)
@@ -260,6 +263,12 @@ def equal_suffixes(key: np.ndarray, first: np.ndarray, n: np.ndarray, trigger: n
     mark = print_of[begin[entry] + offset]
     mark ^= mark >> U64(31)
     mark *= U64(0x9E3779B97F4A7C15)
+    return entry, offset, mark
+
+
+def equal_suffixes(key: np.ndarray, first: np.ndarray, n: np.ndarray, trigger: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of repeated starts among entries: (entry, first start of the run in its text, number of starts)."""
+    entry, offset, mark = fingerprints(n, pieces)
     mark ^= key.view(np.uint64)[entry] + (trigger[entry] - offset).astype(np.uint64) * U64(0xC2B2AE3D27D4EB4F)
     mark *= U64(0xFF51AFD7ED558CCD)
     order = np.argsort(mark, kind="stable")
@@ -314,6 +323,25 @@ def order_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield work(pa.Table.from_batches(held).combine_chunks())
 
 
+def single_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each start of entries: its trigger, the way to it and the fingerprint; known: its entry occurs twice."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1000):
+            rows = batch.slice(lo, 1000)
+            first, n, trigger, flag = unpack(rows.column("place").to_numpy())
+            entry, offset, mark = fingerprints(n, rows.column("bytes").to_pylist())
+            key, k, h = (rows.column(c).to_numpy()[entry] for c in ("key", "_k", "_h"))
+            columns = key, trigger[entry] - offset, mark.view(np.int64), k, h, first[entry] + offset, flag[entry] & 1 == 1
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "at", "print", "_k", "_h", "start", "known"])
+
+
+def repeats_of_hot(entries: DataFrame) -> DataFrame:
+    """As order_suffixes, for triggers with any number of entries: starts that share trigger, place and fingerprint with another."""
+    starts = entries.mapInArrow(single_starts, "key long, at long, print long, _k long, _h long, start long, known boolean")
+    twice = starts.groupBy("key", "at", "print").agg(F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    return starts.filter(~F.col("known")).join(twice, ["key", "at", "print"], "left_semi").select("_k", "_h", "start", F.lit(1).cast("long").alias("n"))
+
+
 def remove(data: bytes, spans: np.ndarray) -> tuple[int, int, bytes]:
     """(bytes removed, maximal runs of them, what is left) for repeated starts given as (first, number) rows."""
     if not len(spans):
@@ -359,12 +387,22 @@ def repeated_starts(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     settled = written(settled, "repeats-settled")
     packed = rows.mapInArrow(squeeze, "doc_id long, _k long, _h long, z binary")
     wanted = settled.filter(F.col("kind") >= 2).withColumn("place", F.col("place").bitwiseAND(F.lit(~3)) + F.when(F.col("kind") == 3, 1).otherwise(0))
-    entries = wanted.groupBy("_k", "_h").agg(F.collect_list(F.struct("key", "place")).alias("entries"))
-    cut = packed.join(entries, ["_k", "_h"])
+    hot = written(wanted.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ENTRIES).select("key", F.lit(2).alias("hot")), "repeats-hot")
+    any_hot = not hot.isEmpty()
+    if any_hot:
+        wanted = wanted.join(hot, "key", "left").withColumn("place", F.col("place") + F.coalesce("hot", F.lit(0)))
+    entries = wanted.groupBy("_k", "_h").agg(F.collect_set(F.struct("key", "place")).alias("entries"))
+    # rows of equal id and text are cut once, for an entry stands for all its places
+    cut = packed.select("_k", "_h", "z").dropDuplicates(["_k", "_h"]).join(entries, ["_k", "_h"])
     suffixes = cut.select("_k", "_h", "z", "entries").mapInArrow(cut_entries, "key long, _k long, _h long, place long, bytes binary")
+    if any_hot:
+        every = written(suffixes, "repeats-entries")
+        suffixes, many = (every.filter(F.col("place").bitwiseAND(F.lit(2)) == f) for f in (0, 2))
     partly = suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(order_suffixes, "_k long, _h long, start long, n long")
+    if any_hot:
+        partly = partly.unionByName(repeats_of_hot(many))
     whole = settled.filter(F.col("kind").isin(1, 3)).select("_k", "_h", F.shiftright("place", 32).alias("start"), F.shiftright("place", 12).bitwiseAND(F.lit(1023)).alias("n"))
-    starts = whole.unionByName(written(partly, "repeats-partly")).groupBy("_k", "_h").agg(F.collect_list(F.struct("start", "n")).alias("starts"))
+    starts = whole.unionByName(written(partly, "repeats-partly")).groupBy("_k", "_h").agg(F.collect_set(F.struct("start", "n")).alias("starts"))
     return packed, starts
 
 
