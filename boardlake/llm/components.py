@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(v, label): for every vertex of edges (a, b) the least vertex that it is connected with.
 
     Labels go to the neighbours, and then each vertex takes the label of its label, so a path of n vertices takes about
-    log n rounds. Each round is written. Hubs are pre-aggregated before the shuffle, and Spark splits skewed joins.
+    log n rounds. Each round is written and the one before it deleted. Hubs are pre-aggregated before the shuffle, and
+    Spark splits skewed joins.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = written(both, f"{name}-edges")
@@ -22,8 +23,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         near = labels.join(lower, labels["v"] == lower["a"]).select("v", F.col("label").alias("old"), F.least("label", "low").alias("label"))
         near = written(near, f"{name}-near")
         of = near.select(F.col("v").alias("label"), F.col("label").alias("far"))
-        jumped = near.join(of, "label", "left").select("v", "old", F.least("label", "far").alias("label"))
-        labels = written(jumped, f"{name}-labels")
+        jumped = written(near.join(of, "label", "left").select("v", "old", F.least("label", "far").alias("label")), f"{name}-labels")
+        discard(labels, near)
+        labels = jumped
         if labels.filter(F.col("old") != F.col("label")).isEmpty():
+            discard(both)
             return labels.select("v", "label")
-        labels = labels.select("v", "label")

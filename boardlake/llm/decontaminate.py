@@ -4,11 +4,13 @@ Everything is DataFrame functions. Words are the runs between white space in low
 shingles are five of them, hashed. A document holds an item if it has 80 % or more of the item's distinct shingles.
 
 Items are partitioned by size, for an item is short and a document may be long, so their Jaccard similarity says nothing.
-Each item keeps the smallest values of a second hash of its shingles, as many as its partition needs: up to `SURE`
-shingles, more than 20 % of them, so a document with 80 % of the item cannot miss them all; beyond, `MOST`, which all
-miss with a probability of 0.2 ** MOST. Every shingle of every document is looked up among these, which gives candidate
-pairs; exact containment then decides. The signatures are a written table: Spark broadcasts it where its size is under
-the session's threshold and shuffles it where it is not.
+Partition p has the items of 2**p up to 2**(p+1) - 1 shingles, and a MinHash signature length of its own: an item keeps its
+smallest hashes, more than 20 % of the partition's upper bound, so a document with 80 % of the item cannot miss them all;
+where that would be over `MOST` hashes it is `MOST`, which all miss with a probability of 0.2 ** MOST (6e-12). A document's
+MinHash for all partitions is its shingles up to the greatest hash in any signature, so with long items alone few of them
+are looked up. They meet a filter of bounded size in place, and only those that pass it are joined with the signatures,
+which gives candidate pairs. Exact containment then decides: the distinct shingles of the candidate documents meet those of
+the items, and the common ones are counted for each pair, so no document is copied for its items.
 
 Defined results: null and empty texts, and texts of under five words, have no shingles: they hold nothing and are in
 nothing. Rows with equal text and id are each reported; null ids are kept. Equal items are each reported. An empty table
@@ -20,11 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, row_key, table, written
+from .common import SPACES, KeyFilter, let, row_key, table, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-SURE, MOST = 75, 16
+MOST = 16
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -41,11 +43,12 @@ def shingles(words: Column) -> Column:
 
 
 def signatures(items: DataFrame, threshold: float) -> DataFrame:
-    """(item_id, g): the shingles of each item that have its smallest hashes, by size partition."""
-    n = F.size("grams")
-    keep = F.when(n <= SURE, F.floor((1 - threshold) * n + 1e-9) + 1).otherwise(MOST).cast("int")
-    ranked = F.sort_array(F.transform("grams", lambda g: F.struct(F.xxhash64(g, F.lit(29)).alias("rank"), g.alias("g"))))
-    return items.filter(n > 0).select("item_key", F.explode(F.slice(ranked, 1, F.least(keep, n))).alias("s")).select("item_key", F.col("s.g").alias("g"))
+    """(part, item_key, g): the smallest hashes of each item, as many as its size partition needs."""
+    part = F.floor(F.log2(F.size("grams"))).cast("int")
+    upper = F.pow(F.lit(2.0), F.col("part") + 1) - 1
+    need = F.least(F.floor((1 - threshold) * upper + 1e-9) + 1, F.lit(MOST), F.size("grams")).cast("int")
+    some = items.filter(F.size("grams") > 0).withColumn("part", part)
+    return some.select("part", "item_key", F.explode(F.slice(F.sort_array("grams"), F.lit(1), need)).alias("g"))
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -53,22 +56,29 @@ def find_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     items = benchmark.select("item_id", F.array_distinct(shingles(normal_words(F.col("text")))).alias("grams"))
     items = items.withColumn("item_key", F.xxhash64(F.col("item_id").isNull(), F.coalesce("item_id", F.lit(-1)), F.col("grams")))
     items = written(items, "benchmark-items")
-    wanted = written(signatures(items.dropDuplicates(["item_key"]), threshold), "benchmark-signatures")
+    single = items.dropDuplicates(["item_key"])
+    wanted = written(signatures(single, threshold), "benchmark-signatures")
+    largest = wanted.agg(F.max("g")).first()[0]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text"))
-    looked_up = rows.select("_k", "_h", F.explode(shingles(normal_words(F.col("text")))).alias("g")).join(wanted, "g")
-    pairs = written(looked_up.select("_k", "_h", "item_key").distinct(), "benchmark-candidates")
-    near = rows.join(pairs.groupBy("_k", "_h").agg(F.collect_list("item_key").alias("keys")), ["_k", "_h"])
-    near = near.select("_k", "_h", "doc_id", "keys", F.array_distinct(shingles(normal_words(F.col("text")))).alias("doc_grams"))
-    both = near.withColumn("item_key", F.explode("keys")).drop("keys").join(items, "item_key")
-    out = both.withColumns({"n_shared": F.size(F.array_intersect("doc_grams", "grams")).cast("long"), "n_shingles": F.size("grams").cast("long")})
-    return out.select("_k", "_h", "doc_id", "item_id", "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment")).filter(F.col("n_shared") >= threshold * F.col("n_shingles") - 1e-9)
+    sketch = F.filter(shingles(normal_words(F.col("text"))), lambda g: g <= F.lit(largest).cast("long"))
+    looked_up = KeyFilter(wanted, ["g"]).candidates(rows.select("_k", "_h", F.explode(sketch).alias("g")))
+    pairs = written(looked_up.join(wanted, "g").select("_k", "_h", "item_key").distinct(), "benchmark-candidates")
+    keys = written(pairs.select("_k", "_h").distinct(), "benchmark-documents")
+    near = KeyFilter(keys, ["_k", "_h"]).candidates(rows).groupBy("_k", "_h").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies"))
+    near = near.join(keys, ["_k", "_h"], "left_semi").select("_k", "_h", "doc_id", "copies", F.explode(F.array_distinct(shingles(normal_words(F.col("text"))))).alias("g"))
+    parts = written(single.select("item_key", F.size("grams").cast("long").alias("n_shingles"), F.explode("grams").alias("g")), "benchmark-shingles")
+    both = KeyFilter(parts, ["g"]).candidates(near).join(parts, "g").groupBy("_k", "_h", "item_key").agg(F.first("doc_id").alias("doc_id"), F.first("copies").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("n_shared"))
+    both = both.filter(F.col("n_shared") >= threshold * F.col("n_shingles") - 1e-9).join(pairs, ["_k", "_h", "item_key"], "left_semi")
+    out = both.join(items.select("item_key", "item_id"), "item_key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return out.select("_k", "_h", "doc_id", "item_id", "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that hold an item."""
-    bad = find_items(docs, benchmark).select("_k", "_h").distinct()
-    keyed = docs.select(F.struct("*").alias("_row"), *row_key("doc_id", "text"))
-    return keyed.join(written(bad, "benchmark-contaminated"), ["_k", "_h"], "left_anti").select("_row.*")
+    """docs without the rows that hold an item. Only rows that may hold one cross the network."""
+    bad = written(find_items(docs, benchmark).select("_k", "_h").distinct(), "benchmark-contaminated")
+    flagged = KeyFilter(bad, ["_k", "_h"]).flagged(docs.select(F.struct("*").alias("_row"), *row_key("doc_id", "text")))
+    some = flagged.filter("_maybe").join(bad, ["_k", "_h"], "left_anti")
+    return flagged.filter("not _maybe").select("_row.*").unionByName(some.select("_row.*"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

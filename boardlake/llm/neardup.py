@@ -5,18 +5,22 @@ words (all its words if it has fewer), hashed to 64 bits. Texts with equal sets
 expanded into pairs.
 
 1. Each set is embedded as `COORDS` MinHash values; value i is the token (i, value), and similar sets share tokens.
-2. Chosen paths: in each of `RUNS` runs, a node samples every token with a chance of 1 / (THRESHOLD * COORDS) by a hash of
-   the node and the token, so sets that share a sampled token meet in a child. Buckets of over `SMALL` sets are split again
-   by their own samples, up to `DEPTH` levels.
-3. Leaves are compared by brute force on the embedding, in blocks of `BLOCK` sets, and give only the edges of a spanning
+2. Chosen paths: in each run, a node samples every token with a chance of 1 / (THRESHOLD * COORDS) by a hash of the node
+   and the token, so sets that share a sampled token meet in a child. Buckets of over `SMALL` sets are split again by
+   their own samples, up to `DEPTH` levels.
+3. Runs are repeated until the target recall (`RECALL`): a pair of similarity 0.8 shares one sampled token at each node on
+   average, so a run brings it to a common leaf of depth d with the chance of a branching process to live that long, and
+   `runs_for` gives the runs that this takes. The first runs are those for depth 1; sets that came to deeper buckets are
+   run again as often as the depth that was reached demands.
+4. Leaves are compared by brute force on the embedding, in blocks of `BLOCK` sets, and give only the edges of a spanning
    forest. Their components are a superset of the linked groups: two sets of similarity 0.8 fall short of `LEAST` equal
-   values once in 20,000, and of a common leaf in all runs once in 100,000 (depth 1) to once in 300 (depth 3), unless
-   others connect them.
-4. The full sets of each component go, in blocks of `BLOCK_GRAMS` shingles, through an exact count of common shingles for
+   values once in 20,000.
+5. The full sets of each component go, in blocks of `BLOCK_GRAMS` shingles, through an exact count of common shingles for
    all pairs of the component. It gives the number of links of each class and the edges of the final components.
 
-No task gets more than two blocks, no row stands for a pair of texts, and nothing is dropped: long lists are dealt to
-more tasks.
+Texts do not cross the network except those of classes in a component: a filter of bounded size over their keys is tested
+where the texts are read. No task gets more than two blocks, no row stands for a pair of texts, and nothing is dropped:
+long lists are dealt to more tasks, and a bucket at the last level is compared whole.
 
 Defined results: null and empty texts have the empty set; they are copies of each other and link to nothing else. Rows are
 told apart by id and a hash of the text. A class is named by the least doc_id of its documents, null if all are null. An
@@ -26,6 +30,7 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import ceil, exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import row_key, table, written
+from .common import KeyFilter, discard, row_key, table, written
 from .components import components
 
 SHINGLE = 5
@@ -41,8 +46,9 @@ SHINGLE = 5
 OVER, UNDER = 4, 5
 COORDS = 48
 LEAST = 27
-RUNS = 12
-DEPTH = 3
+#: Chance that two sets of similarity 0.8 meet in a leaf.
+RECALL = 0.9999
+DEPTH = 6
 SMALL = 64
 BLOCK = 1024
 BLOCK_GRAMS = 300_000
@@ -95,8 +101,20 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("_k"), batch.column("_h"), batch.column("doc_id"), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(sketch, pa.binary())], names=["_k", "_h", "doc_id", "cid", "n", "sketch"])
 
 
-def choose(depth: int) -> Callable:
-    """Children of nodes: rows (path, cid) for every sampled token of each set; level 0 starts all runs."""
+def runs_for(recall: float, depth: int) -> int:
+    """How many runs bring a pair at the threshold to a common leaf of this depth with a chance of `recall`.
+
+    Of the tokens that the pair shares a node samples one on average, as good as Poisson, so the chance q to meet at depth
+    d follows q = 1 - exp(-q of depth d - 1).
+    """
+    q = 1.0
+    for _ in range(depth):
+        q = 1 - exp(-q)
+    return ceil(log(1 - recall) / log(1 - q))
+
+
+def choose(runs: range | None) -> Callable:
+    """Children of nodes: rows (path, cid) for every sampled token of each set; with `runs` these are the roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = U64(int(2**64 / (COORDS * OVER / UNDER)))
@@ -108,7 +126,7 @@ def choose(depth: int) -> Callable:
                     continue
                 sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint32).reshape(-1, COORDS).astype(np.uint64)
                 token = sketch + U64(1) + coord
-                starts = [np.full(len(sketch), r + 1, np.uint64) for r in range(RUNS)] if depth == 0 else [part.column("path").to_numpy().view(np.uint64)]
+                starts = [np.full(len(sketch), r + 1, np.uint64) for r in runs] if runs is not None else [part.column("path").to_numpy().view(np.uint64)]
                 for node in starts:
                     h = (token ^ (node[:, None] * U64(0xC2B2AE3D27D4EB4F))) * U64(0xFF51AFD7ED558CCD)
                     h ^= h >> U64(33)
@@ -187,25 +205,40 @@ def dealt(rows: DataFrame, keys: list[str], blocks: str, own: str) -> DataFrame:
     return out.repartition(*keys, "p", "q").sortWithinPartitions(*keys, "p", "q")
 
 
-def chosen_path_edges(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) of a spanning forest of the classes that may be similar.
+def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[int, DataFrame | None]:
+    """Does the runs over sets (cid, sketch) and adds the edges of their leaves to found. Gives the depth reached and the sets that were in a bucket that was split.
 
     Paths travel with the class alone; the embedding joins only those that another class shares.
     """
-    sketches = classes.select("cid", "sketch")
-    nodes, found = classes.filter(F.col("n") > 0).select("cid", "sketch"), []
+    nodes, deep = sets, None
     for depth in range(DEPTH):
-        paths = written(nodes.mapInArrow(choose(depth), "path long, cid binary"), f"jaccard-level{depth}")
+        paths = written(nodes.mapInArrow(choose(None if depth else runs), "path long, cid binary"), f"jaccard-level{depth}")
         sizes = paths.groupBy("path").agg(F.count("*").alias("g")).filter(F.col("g") > 1)
-        shared = written(paths.join(sizes, "path").join(sketches, "cid"), f"jaccard-shared{depth}")
+        shared = written(paths.join(sizes, "path").join(sets, "cid"), f"jaccard-shared{depth}")
+        discard(paths)
         last = depth == DEPTH - 1
         leaves = shared if last else shared.filter(F.col("g") <= SMALL)
         leaves = leaves.withColumns({"nb": F.ceil(F.col("g") / BLOCK).cast("int")}).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
         leaves = dealt(leaves.select("path", "cid", "sketch", "nb", "own"), ["path"], "nb", "own")
         found.append(written(leaves.mapInArrow(compare_leaves, "a binary, b binary").distinct(), f"jaccard-edges{depth}"))
         nodes = shared.filter(F.col("g") > SMALL).select("path", "cid", "sketch")
-        if not last and nodes.isEmpty():
+        if last or nodes.isEmpty():
+            break
+        if deep is None:
+            deep = written(nodes.dropDuplicates(["cid"]).select("cid", "sketch"), "jaccard-deep")
+    return depth + 1, deep
+
+
+def chosen_path_edges(classes: DataFrame, recall: float = RECALL) -> DataFrame:
+    """Edges (a, b) of a spanning forest of the classes that may be similar."""
+    found: list[DataFrame] = []
+    sets, done, depth = classes.filter(F.col("n") > 0).select("cid", "sketch"), 0, 1
+    while True:
+        want = runs_for(recall, depth)
+        reached, deep = split_paths(sets, range(done, want), found)
+        if deep is None or reached <= depth:
             break
+        sets, done, depth = deep, want, reached
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -245,20 +278,27 @@ def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many = np.diff(np.append(begin, len(ordered)))
         slot = np.empty(len(flat), np.int64)
         slot[order] = np.cumsum(new) - 1
-        near: list[np.ndarray] = []
+        label = np.arange(m)  # the first member of each linked group so far
+        texts, linked = np.zeros(m, np.int64), np.zeros(m, np.int64)
         for i in range(m):
             mine = slot[first[i] : first[i] + size[i]]
             mine = mine[many[mine] > 1]
+            if not len(mine):
+                continue
             count, start = many[mine], begin[mine]
-            where = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum()) if len(mine) else mine
+            where = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
             common = np.bincount(owner[where], minlength=m)
             common[i] = 0
             hit = np.flatnonzero(UNDER * common >= OVER * (size + size[i] - common))
-            near.append(hit[own[hit] != own[i]] if p != q else hit)
-        root_of = {j: i for i, j in forest(lambda k, near=near: near[k], m)}
-        for i in range(m):
-            if len(near[i]):
-                out[0].append(cid[i]), out[1].append(len(near[i])), out[2].append(int(copies[near[i]].sum())), out[3].append(cid[root_of.get(i, i)])
+            if p != q:
+                hit = hit[own[hit] != own[i]]
+            if len(hit):
+                texts[i], linked[i] = len(hit), copies[hit].sum()
+                groups = np.unique(np.append(label[hit], label[i]))
+                if len(groups) > 1:
+                    label[np.isin(label, groups)] = groups[0]
+        for i in np.flatnonzero(texts):
+            out[0].append(cid[i]), out[1].append(int(texts[i])), out[2].append(int(linked[i])), out[3].append(cid[label[i]])
         if len(out[0]) > 20_000:
             yield flush()
             for x in out:
@@ -279,7 +319,8 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     blocks = some.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("nb"))
     some = some.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
     some = written(some.select("group", "cid", "copies", "nb", "own", "_k", "_h"), "jaccard-members")
-    texts = keyed.drop("doc_id").join(some, ["_k", "_h"]).dropDuplicates(["_k", "_h"]).select("text", "group", "cid", "copies", "nb", "own")
+    texts = KeyFilter(some, ["_k", "_h"]).candidates(keyed.drop("doc_id")).dropDuplicates(["_k", "_h"])
+    texts = texts.join(some, ["_k", "_h"]).select("text", "group", "cid", "copies", "nb", "own")
     sets = texts.mapInArrow(set_rows, "group binary, cid binary, copies long, nb int, own int, grams binary")
     found = dealt(sets, ["group"], "nb", "own").mapInArrow(count_links, "cid binary, texts long, rows long, root binary")
     found = written(found, "jaccard-links")
@@ -287,7 +328,9 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     links = found.groupBy("cid").agg(F.sum("texts").alias("texts"), F.sum("rows").alias("rows"))
     out = classes.drop("sketch").join(labels.select(F.col("v").alias("cid"), "label"), "cid", "left").join(links, "cid", "left")
     out = out.withColumns({"label": F.coalesce("label", "cid"), "texts": F.coalesce("texts", F.lit(0)), "rows": F.coalesce("rows", F.lit(0))})
-    return rows.select("_k", "_h", "doc_id", "cid"), written(out, "jaccard-linked")
+    out = written(out, "jaccard-linked")
+    discard(classes, some, found)
+    return rows.select("_k", "_h", "doc_id", "cid"), out
 
 
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,11 +342,18 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of docs for each group of linked classes: the one with the least key."""
-    _, classes = linked_classes(docs, key, text)
-    kept = classes.groupBy("label").agg(F.min(F.struct("_k", "_h")).alias("rep")).select("rep._k", "rep._h")
-    keyed = docs.select(F.struct("*").alias("_row"), *row_key(key, text))
-    return keyed.join(written(kept, "jaccard-kept"), ["_k", "_h"], "left_semi").dropDuplicates(["_k", "_h"]).select("_row.*")
+    """One row of docs for each group of linked classes: the one with the least key; of rows equal in id and text, any one.
+
+    Only rows whose key may have to go cross the network: most rows pass the filter of those keys where they are read.
+    """
+    rows, classes = linked_classes(docs, key, text)
+    kept = classes.groupBy("label").agg(F.min(F.struct("_k", "_h")).alias("rep")).select("rep._k", "rep._h", F.lit(True).alias("_keep"))
+    touched = rows.groupBy("_k", "_h").agg(F.count("*").alias("_n")).join(kept, ["_k", "_h"], "left")
+    touched = written(touched.filter(F.col("_keep").isNull() | (F.col("_n") > 1)), "jaccard-touched")
+    flagged = KeyFilter(touched, ["_k", "_h"]).flagged(docs.select(F.struct("*").alias("_row"), *row_key(key, text)))
+    some = flagged.filter("_maybe").dropDuplicates(["_k", "_h"]).join(touched, ["_k", "_h"], "left")
+    some = some.filter(F.col("_n").isNull() | F.col("_keep").isNotNull())
+    return flagged.filter("not _maybe").select("_row.*").unionByName(some.select("_row.*"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import row_key, table, written
+from .common import KeyFilter, row_key, table, written
 
 SCOPE = 400
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
@@ -138,13 +138,15 @@ def redact(text: Column, found: Column, mark: str = "[secret]") -> Column:
 
 
 def mask_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with the found secrets of every text masked; all rows and columns stay."""
+    """docs with the found secrets of every text masked; all rows and columns stay. Only rows that may hold a secret cross the network."""
     found = find_secrets(docs, key, text).filter(F.size("found") > 0).select("_k", "_h", "found").dropDuplicates(["_k", "_h"])
-    rows = docs.select(F.struct("*").alias("_row"), *row_key(key, text))
-    out = rows.join(found, ["_k", "_h"], "left")
+    found = written(found, "secret-spans")
+    flagged = KeyFilter(found, ["_k", "_h"]).flagged(docs.select(F.struct("*").alias("_row"), *row_key(key, text)))
+    some = flagged.filter("_maybe").join(found, ["_k", "_h"], "left")
     own = F.col("_row")[text]
     masked = F.when(F.col("found").isNotNull(), redact(own, F.col("found"))).otherwise(own)
-    return out.select(F.col("_row").withField(text, masked).alias("_row")).select("_row.*")
+    some = some.select(F.col("_row").withField(text, masked).alias("_row")).select("_row.*")
+    return flagged.filter("not _maybe").select("_row.*").unionByName(some)
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
