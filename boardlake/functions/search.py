@@ -1,4 +1,4 @@
-"""Full-text search over token arrays: tokenisers, a stemmer, phrase and boolean queries.
+"""Full-text search over token arrays: tokenisers, a stemmer, phrases, and predicates to combine with & | and ~.
 
 A token is a run of letters and digits in lower case. The "simple" configuration keeps all of them. The "english" one puts
 null in place of stop words, so distances stay, and stems the others.
@@ -7,13 +7,18 @@ null in place of stop words, so distances stay, and stems the others.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlake.functions.columns import let
+
 TOKEN = r"[\p{L}\p{N}]+"
 #: The Snowball project's list of English stop words; fixed values.
 STOP_WORDS = frozenset("""i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
@@ -99,11 +104,6 @@ def stem(word: str) -> str:
     return w.replace("Y", "y")
 
 
-@F.pandas_udf(T.StringType())
-def stem_column(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: stem(w) if w is not None else None)
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _stems(tokens: pd.Series) -> pd.Series:
     known: dict = {}
@@ -137,11 +137,6 @@ class Config:
 SIMPLE, ENGLISH = Config("simple"), Config("english")
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once, also where body uses it inside lambdas."""
-    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
-
-
 def _holds(fits, want):
     return lambda t: F.coalesce(fits(t, want), F.lit(False))
 
@@ -176,94 +171,76 @@ def phrase_matches(tokens: Column, phrase: str, config: Config = SIMPLE) -> Colu
     return let(tokens, lambda t: _chain(t, [(w, False) for _, w in places], gaps))
 
 
-def may_match(text: Column, phrase: str, config: Config = SIMPLE) -> Column:
-    """A cheap test that every text with the phrase passes: the words are in it as strings. Stems need not be."""
-    words = [w for w in re.findall(r"[^\W_]+", phrase.lower())] if config.name == "simple" else []
-    lower = F.lower(text)
-    out = F.lit(True)
-    for w in words:
-        out = out & F.contains(lower, F.lit(w))
-    return out
-
-
-def query_matches(tokens: Column, query: str, config: Config = SIMPLE) -> Column:
-    """A boolean query: words, "word:*" for a prefix, !, &, |, <-> or <N> for following at distance N, and parentheses."""
-    return let(tokens, lambda t: _query(t, query, config))
-
-
-def _query(tokens: Column, query: str, config: Config) -> Column:
-    parts = re.findall(r"[()!&|]|<->|<\d+>|[^\s()!&|<>:]+(?::\*)?", query)
-    if re.sub(r"\s", "", query) != "".join(parts):
-        raise ValueError(f"syntax error in query: {query!r}")
-    at = 0
-
-    def peek() -> str | None:
-        return parts[at] if at < len(parts) else None
-
-    def take() -> str:
-        nonlocal at
-        if at >= len(parts):
-            raise ValueError(f"query ends too early: {query!r}")
-        at += 1
-        return parts[at - 1]
-
-    def word() -> tuple[str | None, bool]:
-        t = take()
-        if t in ("(", ")", "!", "&", "|") or t.startswith("<"):
-            raise ValueError(f"word expected in query: {query!r}")
-        prefix = t.endswith(":*")
-        return config.lexeme(t.removesuffix(":*")), prefix
-
-    def follow() -> Column | None:
-        if peek() == "!":
-            take()
-            inner = follow()
-            return None if inner is None else ~inner
-        if peek() == "(":
-            take()
-            inner = either()
-            if take() != ")":
-                raise ValueError(f"parenthesis left open: {query!r}")
-            return inner
-        chain, gaps, pending = [word()], [], 0
-        while peek() and peek().startswith("<"):
-            step = take()
-            gaps.append(1 if step == "<->" else int(step[1:-1]))
-            chain.append(word())
-        kept, spaced = [], []
-        for k, (lexeme, prefix) in enumerate(chain):
-            pending += gaps[k - 1] if k else 0
-            if lexeme is not None:
-                if kept:
-                    spaced.append(pending)
-                kept.append((lexeme, prefix))
-                pending = 0
-        return _chain(tokens, kept, spaced) if kept else None
-
-    def both() -> Column | None:
-        out = follow()
-        while peek() == "&":
-            take()
-            right = follow()
-            out = right if out is None else out if right is None else out & right
-        return out
+def phrase_pattern(phrase: str) -> str | None:
+    """A pattern for lower-case texts that hold the phrase's words one after the other; None without a word. Tokens are runs of
+    letters and digits, so words follow one another where only other characters are between them."""
+    words = [re.escape(w) for w in re.findall(r"[^\W_]+", phrase.lower())]
+    return r"(?<![\p{L}\p{N}])" + r"[^\p{L}\p{N}]+".join(words) + r"(?![\p{L}\p{N}])" if words else None
+
+
+def holds_phrase(text: Column, phrase: str, config: Config = SIMPLE) -> Column:
+    """Whether a text holds the phrase. Unstemmed words need no tokens: one pattern decides."""
+    if config.name != "simple":
+        return phrase_matches(config.tokens(text), phrase, config)
+    pattern = phrase_pattern(phrase)
+    return F.lower(text).rlike(pattern) if pattern else F.lit(False)
+
+
+class Terms:
+    """Predicates over the tokens of a row; they are columns, to be combined with &, | and ~."""
+
+    def __init__(self, tokens: Column, config: Config):
+        self.tokens, self.config = tokens, config
+
+    def _lexeme(self, word: str) -> str:
+        lexeme = self.config.lexeme(word)
+        if lexeme is None:
+            raise ValueError(f"{word!r} is a stop word, which no text holds a lexeme for")
+        return lexeme
+
+    def word(self, word: str) -> Column:
+        return _chain(self.tokens, [(self._lexeme(word), False)], [])
+
+    def prefix(self, word: str) -> Column:
+        return _chain(self.tokens, [(self._lexeme(word), True)], [])
+
+    def follow(self, *words: str, gap: int = 1) -> Column:
+        """Whether the words come one after the other, each `gap` tokens after the one before."""
+        return _chain(self.tokens, [(self._lexeme(w), False) for w in words], [gap] * (len(words) - 1))
+
+    def phrase(self, phrase: str) -> Column:
+        return phrase_matches(self.tokens, phrase, self.config)
+
+
+def matches(text: Column, where: Callable[[Terms], Column], config: Config = SIMPLE) -> Column:
+    """Whether a text fulfils a condition over its terms, as `lambda t: t.word("a") & ~t.prefix("b")`; the text is tokenised once."""
+    return let(config.tokens(text), lambda tokens: where(Terms(tokens, config)))
+
+
+INDEX = "site string, board string, term string, post_no long, positions array<int>"
 
-    def either() -> Column | None:
-        out = both()
-        while peek() == "|":
-            take()
-            right = both()
-            out = right if out is None else out if right is None else out | right
-        return out
 
-    found = either()
-    if at != len(parts):
-        raise ValueError(f"operator expected in query: {query!r}")
-    return F.lit(False) if found is None else found
+def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of each row with their positions, from token lists: all tokens of a batch are sorted by row and term at once."""
+    for batch in batches:
+        lists = batch.column("tokens").cast(pa.large_list(pa.large_string()))
+        offsets = lists.offsets.to_numpy()
+        values = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        size = np.diff(offsets)
+        row = np.repeat(np.arange(len(size)), size)
+        at = (np.arange(len(row)) - np.repeat(offsets[:-1] - offsets[0], size) + 1).astype(np.int32)
+        coded = values.dictionary_encode()
+        code = coded.indices.fill_null(-1).to_numpy().astype(np.int64)
+        row, at, code = row[code >= 0], at[code >= 0], code[code >= 0]
+        order = np.argsort(row << 32 | code, kind="stable")
+        row, at, code = row[order], at[order], code[order]
+        first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (code[1:] != code[:-1]))) if len(row) else np.zeros(0, np.int64)
+        own = pa.array(row[first])
+        positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), pa.array(at))
+        yield pa.RecordBatch.from_arrays([batch.column("site").take(own), batch.column("board").take(own), coded.dictionary.take(pa.array(code[first])).cast(pa.string()), batch.column("post_no").take(own), positions], names=["site", "board", "term", "post_no", "positions"])
 
 
 def inverted_index(posts: DataFrame, config: Config = SIMPLE) -> DataFrame:
-    """(site, board, term, post_no, positions) of every term of every post, positions from 1; terms are dealt by Spark, not gathered."""
+    """(site, board, term, post_no, positions) of every term of every post, positions from 1. A post's terms are all in its row, so nothing is shuffled."""
     tokens = config.tokens(searched_text(F.col("subject"), F.col("body_text")))
-    at = posts.select("site", "board", "post_no", F.posexplode(tokens).alias("at", "term")).filter(F.col("term").isNotNull())
-    return at.groupBy("site", "board", "term", "post_no").agg(F.sort_array(F.collect_list(F.col("at") + 1)).alias("positions"))
+    return posts.select("site", "board", F.col("post_no").cast("long").alias("post_no"), tokens.alias("tokens")).mapInArrow(_invert, INDEX)

@@ -88,6 +88,12 @@ def number_or_null(text: Column) -> Column:
     return F.when(text.rlike(r"^-?\d+$"), text.try_cast("long"))
 
 
+def valid_number_text(text: Column) -> Column:
+    """The positive integer that a text of digits stands for."""
+    n = number_or_null(text)
+    return F.when(n > 0, n)
+
+
 def text_or_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
@@ -96,7 +102,7 @@ def file_name_from(info: Column) -> Column:
     """The original name in a file line: the last field in its closing parentheses unless that is a size, else the token after "File:"."""
     last = F.trim(F.element_at(F.split(F.regexp_extract(info, r"\(([^()]*)\)\s*$", 1), ","), -1))
     size = last.rlike(r"^\d+x\d+$") | last.rlike(r"(?i)^[\d.]+\s*[KMG]?B$")
-    token = F.nullif(F.regexp_extract(info, r"File\s*:\s*(\S+)", 1), F.lit(""))
+    token = F.nullif(F.regexp_extract(info, r"File\s*:?\s*([^\s-]+)", 1), F.lit(""))
     return F.when((last != "") & ~size, last).otherwise(token)
 
 

@@ -7,6 +7,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boardlake.functions.columns import let
+
 DAY = 86400
 
 
@@ -77,8 +79,11 @@ def ny_wall_to_utc(wall: Column) -> Column:
     In the hour that spring skips, the wall time is read with the offset after the change; in the hour that autumn repeats,
     the first one is meant.
     """
-    day = utc_date(wall)
-    y = F.year(day)
+    return let(wall, lambda w: let(F.year(utc_date(w)), lambda y: w + F.when(_is_summer(w, y), 4 * 3600).otherwise(5 * 3600)))
+
+
+def _is_summer(wall: Column, y: Column) -> Column:
+    """United States rules: from 2007 second Sunday of March to first of November; 1987-2006 first of April to last of October."""
 
     def sunday(month: int, nth: int) -> Column:
         first = F.make_date(y, F.lit(month), F.lit(1))
@@ -88,27 +93,31 @@ def ny_wall_to_utc(wall: Column) -> Column:
         last = F.last_day(F.make_date(y, F.lit(month), F.lit(1)))
         return F.date_sub(last, F.dayofweek(last) - 1)
 
-    # United States rules: from 2007 second Sunday of March to first of November; 1987-2006 first of April to last of October
-    begin = F.when(y >= 2007, sunday(3, 2)).otherwise(sunday(4, 1))
-    end = F.when(y >= 2007, sunday(11, 1)).otherwise(last_sunday(10))
-    summer = (wall >= day_seconds(begin) + 3 * 3600) & (wall < day_seconds(end) + 2 * 3600)
-    # wall times in the skipped hour have no offset of their own
-    return wall + F.when(summer | ((wall >= day_seconds(begin) + 2 * 3600) & (wall < day_seconds(begin) + 3 * 3600)), 4 * 3600).otherwise(5 * 3600)
+    begin = day_seconds(F.when(y >= 2007, sunday(3, 2)).otherwise(sunday(4, 1))) + 2 * 3600
+    end = day_seconds(F.when(y >= 2007, sunday(11, 1)).otherwise(last_sunday(10))) + 2 * 3600
+    # wall times in the hour that spring skips have no offset of their own
+    return (wall >= begin) & (wall < end)
+
+
+def _wall_seconds(day: Column, hour: Column, minute: Column, second: Column) -> Column:
+    """The epoch seconds that a wall time is written as; null where a part is none."""
+    fine = day.isNotNull() & (hour < 24) & (minute < 60) & (second < 60)
+    return F.when(fine, day_seconds(day) + hour * 3600 + minute * 60 + second)
 
 
 def parse_mysql_datetime(text: Column) -> Column:
     """UTC epoch seconds of a New York wall time YYYY-MM-DD[ T]HH:MM:SS; null for the zero date and for anything else."""
-    g = lambda k: F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})[ T](\d{2}):(\d{2}):(\d{2})$", k)
-    day = F.try_to_date(F.nullif(g(1), F.lit("")), "yyyy-MM-dd")
-    part = lambda k: g(k).try_cast("long")
-    fine = (part(2) < 24) & (part(3) < 60) & (part(4) < 60)
-    return F.when(fine & day.isNotNull(), ny_wall_to_utc(day_seconds(day) + part(2) * 3600 + part(3) * 60 + part(4)))
+    parts = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$"), F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0)))
+    n = lambda p, k: F.get(p, F.lit(k)).try_cast("long")
+    wall = let(parts, lambda p: _wall_seconds(F.try_to_date(F.concat_ws("-", F.slice(p, 1, 3)), "yyyy-MM-dd"), n(p, 3), n(p, 4), n(p, 5)))
+    return ny_wall_to_utc(wall)
 
 
 def parse_display_date(text: Column) -> Column:
     """UTC epoch seconds of MM/DD/YY(Day)HH:MM[:SS], a New York wall time of this century; null for anything else."""
-    g = lambda k: F.regexp_extract(text, r"(\d{2})/(\d{2})/(\d{2})\([A-Za-z]{3}\)(\d{2}):(\d{2})(?::(\d{2}))?", k)
-    day = F.try_to_date(F.when(g(1) != "", F.concat(F.lit("20"), g(3), F.lit("-"), g(1), F.lit("-"), g(2))), "yyyy-MM-dd")
-    part = lambda k: F.coalesce(F.nullif(g(k), F.lit("")), F.lit("0")).try_cast("long")
-    fine = (part(4) < 24) & (part(5) < 60) & (part(6) < 60)
-    return F.when(fine & day.isNotNull(), ny_wall_to_utc(day_seconds(day) + part(4) * 3600 + part(5) * 60 + part(6)))
+    found = F.nullif(F.regexp_extract(text, r"\d{2}/\d{2}/\d{2}\([A-Za-z]{3}\)\d{2}:\d{2}(:\d{2})?", 0), F.lit(""))
+    parts = F.regexp_extract_all(found, F.lit(r"\d+"), F.lit(0))
+    n = lambda p, k: F.get(p, F.lit(k)).try_cast("long")
+    day = lambda p: F.try_to_date(F.concat(F.lit("20"), F.get(p, F.lit(2)), F.lit("-"), F.get(p, F.lit(0)), F.lit("-"), F.get(p, F.lit(1))), "yyyy-MM-dd")
+    wall = let(parts, lambda p: _wall_seconds(day(p), n(p, 3), n(p, 4), F.coalesce(n(p, 5), F.lit(0))))
+    return ny_wall_to_utc(wall)

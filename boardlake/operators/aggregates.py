@@ -119,6 +119,12 @@ def survey_buckets(posts: DataFrame, by: str = "month") -> DataFrame:
     return posts.rollup(key).agg(F.count("*").alias("posts")).select(F.coalesce("bucket", F.lit("TOTAL")).alias("bucket"), "posts")
 
 
+def survey_board_buckets(posts: DataFrame, by: str = "month") -> DataFrame:
+    """survey_buckets for each board."""
+    key = F.coalesce(bucket_key(F.col("ts_utc"), by), F.lit("(undated)")).alias("bucket")
+    return posts.groupBy("site", "board", key).agg(F.count("*").alias("posts"))
+
+
 def months_of(posts: DataFrame) -> DataFrame:
     return posts.filter(F.col("ts_utc").isNotNull()).groupBy("site", "board", month_key(F.col("ts_utc")).alias("month")).agg(F.count("*").alias("posts"))
 

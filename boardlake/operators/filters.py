@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.functions.search import ENGLISH, Config, may_match, phrase_matches, query_matches, searched_text
+from boardlake.functions.search import ENGLISH, Config, Terms, holds_phrase, matches, searched_text
 from boardlake.functions.times import parse_bound
 
 
 def by_phrase(posts: DataFrame, phrase: str, config: Config = ENGLISH) -> DataFrame:
-    text = searched_text(F.col("subject"), F.col("body_text"))
-    return posts.filter(may_match(text, phrase, config)).filter(phrase_matches(config.tokens(text), phrase, config))
+    return posts.filter(holds_phrase(searched_text(F.col("subject"), F.col("body_text")), phrase, config))
 
 
-def by_query(posts: DataFrame, query: str, config: Config = ENGLISH) -> DataFrame:
-    return posts.filter(query_matches(config.tokens(searched_text(F.col("subject"), F.col("body_text"))), query, config))
+def by_terms(posts: DataFrame, where: Callable[[Terms], Column], config: Config = ENGLISH) -> DataFrame:
+    """Posts that fulfil a condition over their terms, as `lambda t: t.follow("a", "b") & ~t.word("c") | t.prefix("d")`."""
+    return posts.filter(matches(searched_text(F.col("subject"), F.col("body_text")), where, config))
 
 
 def by_board(posts: DataFrame, board: str | None = None, site: str | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Post headers read from pictures: parsing, assignment of labels to lines, scores."""
+"""Post headers read from pictures: parsing, distances to labels, assignment of labels to lines, scores."""
 
 from __future__ import annotations
 
@@ -6,65 +6,112 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DATE_LIKE = r"\d{1,2}/\d{1,2}/\d{2}"
-HEADER = r"(\d{2})/(\d{2})/(\d{2})\(([A-Za-z]{3})\)(\d{2}):?(\d{2}):?(\d{2})?\s*No\.?\s*(\d+)"
+#: A digit or what is often read for one, and the formats of dates and numbers built on it; fixed values.
+DIGIT = r"[\dOoIl|SB]"
+LOOSE_DATE = rf"{DIGIT}{{2}}\W?[/1l|]{DIGIT}{{2}}\W?[/1l|]{DIGIT}{{2}}"
+LOOSE_NUMBER = rf"N[o0ae]?\W{{0,2}}{DIGIT}{{2,}}"
+HEADER = r"(\d\d)/(\d\d)/(\d\d)\((\w{0,4})\)([\d:.,;]{4,10}?)(?:UTC[+-]\d+)?N[o0]{1,2}[.,]?([1-9]\d*)"
+WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
+PAIR = "image string, label_no int, line_no int, distance int"
+
+
+def no_blanks(text: Column) -> Column:
+    return F.regexp_replace(text, r"\s+", "")
 
 
 def looks_like_header(line: Column) -> Column:
-    """A loose date and then "No."."""
-    return line.rlike(rf"(?i){DATE_LIKE}.*N[o0]\.?")
+    """Something like a date, and from there on something like "No." and digits."""
+    return line.rlike(rf"(?s){LOOSE_DATE}.*{LOOSE_NUMBER}")
 
 
 def read_header(line: Column) -> Column:
-    """A struct (post_no, date) of a header line, or null. A weekday that exists but is wrong for the date spoils it; one that does not exist is made good."""
-    g = lambda k: F.regexp_extract(line, HEADER, k)
-    day = F.try_to_date(F.when(g(1) != "", F.concat(F.lit("20"), g(3), F.lit("-"), g(1), F.lit("-"), g(2))), "yyyy-MM-dd")
-    names = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
-    real = F.get(F.array(*[F.lit(n) for n in names]), F.dayofweek(day) - 1)
-    fine = (g(5).try_cast("int") < 24) & (g(6).try_cast("int") < 60) & (F.coalesce(F.nullif(g(7), F.lit("")), F.lit("0")).try_cast("int") < 60)
-    wrong = g(4).isin(names) & (g(4) != real)
-    time = F.concat(g(5), F.lit(":"), g(6), F.when(g(7) != "", F.concat(F.lit(":"), g(7))).otherwise(""))
-    text = F.concat(g(1), F.lit("/"), g(2), F.lit("/"), g(3), F.lit("("), real, F.lit(")"), time)
-    return F.when(day.isNotNull() & fine & ~wrong, F.struct(g(8).try_cast("long").alias("post_no"), text.alias("date")))
+    """A struct (post_no, date) of a header line, or null. Blanks are dropped first.
+
+    A weekday that exists but is wrong for the date spoils it; any other is made good from the date. The time may have any
+    separators, or none: four or six digits are hours, minutes and seconds.
+    """
+    fields = F.transform(F.array(no_blanks(line)), lambda flat: F.when(flat.rlike(HEADER), F.struct(*[F.regexp_extract(flat, HEADER, k).alias(f"g{k}") for k in range(1, 7)])))
+    return F.get(F.transform(fields, _judged), F.lit(0))
+
+
+def _judged(g: Column) -> Column:
+    """The number and date of a header's fields (month, day, year, weekday, time, number), if they can be."""
+    day = F.try_to_date(F.concat(F.lit("20"), g["g3"], F.lit("-"), g["g1"], F.lit("-"), g["g2"]), "yyyy-MM-dd")
+    real = F.get(F.array(*[F.lit(n) for n in WEEKDAYS]), F.dayofweek(day) - 1)
+    digits = F.regexp_replace(g["g5"], r"\D", "")
+    fine = digits.rlike(r"^([01]\d|2[0-3])[0-5]\d([0-5]\d)?$") & ~(g["g4"].isin(WEEKDAYS) & (g["g4"] != real))
+    time = F.regexp_replace(digits, r"(\d\d)(?=\d)", "$1:")
+    text = F.concat(g["g1"], F.lit("/"), g["g2"], F.lit("/"), g["g3"], F.lit("("), real, F.lit(")"), time)
+    return F.when(day.isNotNull() & fine, F.struct(g["g6"].try_cast("long").alias("post_no"), text.alias("date")))
+
+
+def label_rows(text: DataFrame) -> DataFrame:
+    """Label rows of markdown tables (column value, of a board's file): label_no in the order of row, image, post_no, date without its offset from UTC, utc_offset."""
+    pattern = r"^\|\s*(\d+)\s*\|\s*([^|]+?)\s*\|\s*\[\[([^\]]+)\]\]\s*\|\s*$"
+    line = F.trim("value")
+    g = lambda k: F.regexp_extract(line, pattern, k)
+    offset = F.nullif(F.regexp_extract(g(2), r"^.*?\s+UTC([+-]\d+)$", 1), F.lit(""))
+    date = F.when(offset.isNotNull(), F.regexp_extract(g(2), r"^(.*?)\s+UTC[+-]\d+$", 1)).otherwise(g(2))
+    others = [c for c in text.columns if c != "value"]
+    return text.filter(line.rlike(pattern)).select(*others, g(3).alias("image"), g(1).try_cast("long").alias("post_no"), date.alias("date"), offset.alias("utc_offset"))
+
+
+def label_text(date: Column, utc_offset: Column, post_no: Column) -> Column:
+    """A label as its header reads without blanks."""
+    return F.concat(date, F.coalesce(F.concat(F.lit("UTC"), utc_offset), F.lit("")), F.lit("No."), post_no.cast("string"))
 
 
 def header_distance(line: Column, label: Column) -> Column:
-    """The least edit distance of the label to a prefix of the line from its first date on, four letters shorter to four longer."""
-    at = F.regexp_instr(line, F.lit(DATE_LIKE))
-    rest = F.when(at > 0, F.substr(line, at)).otherwise(line)
+    """The least edit distance of the label to what the line has from its first date on: to every beginning that is up to four letters shorter or longer."""
+    flat = no_blanks(line)
+    begin = F.greatest(F.regexp_instr(flat, F.lit(LOOSE_DATE)), F.lit(1))
     size = F.length(label)
-    lengths = F.sequence(F.greatest(size - 4, F.lit(1)), size + 4)
-    return F.array_min(F.transform(lengths, lambda n: F.levenshtein(F.substr(rest, F.lit(1), n), label)))
+    tail = F.substr(flat, begin, size + 4)
+    least = F.greatest(size - 4, F.lit(1))
+    distances = F.transform(F.sequence(least, F.greatest(F.length(tail), least)), lambda n: F.levenshtein(F.substr(tail, F.lit(1), n), label))
+    return F.when(F.length(tail) >= least, F.array_min(distances))
 
 
-def assign(lines: DataFrame, labels: DataFrame, most: int = 8) -> DataFrame:
-    """One-to-one pairs of labels and lines of an image, nearest first: image, label, line, distance.
+def near_pairs(lines: DataFrame, labels: DataFrame) -> DataFrame:
+    """(image, label_no, line_no, distance) of the labels (image, label_no, label) and lines (image, line_no, line) of an image that are within a third of the label in edits, four at least."""
+    near = lines.join(labels, "image").withColumn("distance", header_distance(F.col("line"), F.col("label")))
+    limit = F.greatest(F.lit(4), F.floor(F.length("label") / 3))
+    return near.filter(F.col("distance") <= limit).select("image", "label_no", "line_no", "distance")
 
-    An image has a few lines, so a group is small; pairs over `most` edits apart never meet.
-    """
-    near = lines.join(labels, "image").withColumn("distance", header_distance(F.col("line"), F.col("label"))).filter(F.col("distance") <= most)
+
+def assign(lines: DataFrame, labels: DataFrame) -> DataFrame:
+    """One-to-one pairs of labels and lines of an image, nearest first, of equal ones the first label and line. An image has a few dozen lines, so a group is small."""
 
     def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["distance", "label", "line"])
+        rows = rows.sort_values(["distance", "label_no", "line_no"])
         lines_taken, labels_taken, keep = set(), set(), []
-        for i, r in rows.iterrows():
-            if r["line"] not in lines_taken and r["label"] not in labels_taken:
-                lines_taken.add(r["line"]), labels_taken.add(r["label"]), keep.append(i)
-        return rows.loc[keep]
-
-    return near.select("image", "label", "line", "distance").groupBy("image").applyInPandas(greedy, "image string, label string, line string, distance int")
+        for at, (label, line) in enumerate(zip(rows["label_no"], rows["line_no"], strict=True)):
+            if line not in lines_taken and label not in labels_taken:
+                lines_taken.add(line), labels_taken.add(label), keep.append(at)
+        return rows.iloc[keep]
 
+    return near_pairs(lines, labels).groupBy("image").applyInPandas(greedy, PAIR)
 
-def score(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """labels, found, exact and wrong ones, and the percentages."""
-    got = labels.join(pairs, ["image", "label"], "left")
-    counts = got.agg(F.count("*").alias("labels"), F.count("line").alias("found"), F.count_if(F.col("distance") == 0).alias("exact"), F.count_if(F.col("distance") > 0).alias("wrong"))
-    share = lambda c: F.round(F.try_divide(F.col(c) * 100, F.col("labels")), 2)
-    return counts.select("*", share("found").alias("found_pct"), share("exact").alias("exact_pct"))
 
+def score(lines: DataFrame, labels: DataFrame) -> DataFrame:
+    """For each image: labels (rows), those with a line (found), those whose number and date a line reads (exact), all reads, and reads that no label of the board has (wrong).
 
-def label_rows(text: DataFrame) -> DataFrame:
-    """Label rows of markdown tables (column value): image, post_no, date without its UTC offset."""
-    pattern = r"^\|\s*(\d+)\s*\|\s*([^|]*?)\s*(?:UTC[+-]\d+)?\s*\|.*\[\[([^\]]+)\]\]"
-    g = lambda k: F.regexp_extract("value", pattern, k)
-    return text.filter(F.col("value").rlike(pattern)).select(g(3).alias("image"), g(1).try_cast("long").alias("post_no"), g(2).alias("date"))
+    labels: image, label_no, board, post_no, date, label; lines: image, line_no, line.
+    """
+    headers = lines.filter(looks_like_header(F.col("line")))
+    reads = headers.select("image", read_header(F.col("line")).alias("r")).filter("r is not null").select("image", "r.post_no", "r.date")
+    boards = labels.select("image", "board").distinct()
+    known = labels.select("board", "post_no", "date", F.lit(True).alias("known")).distinct()
+    judged = reads.join(boards, "image").join(known, ["board", "post_no", "date"], "left").groupBy("image").agg(F.count("*").alias("reads"), F.count_if(F.col("known").isNull()).alias("wrong"))
+    found = assign(headers, labels).select("image", "label_no", F.lit(True).alias("found"))
+    exact = reads.distinct().withColumn("exact", F.lit(True))
+    per = labels.join(found, ["image", "label_no"], "left").join(exact, ["image", "post_no", "date"], "left")
+    per = per.groupBy("image").agg(F.count("*").alias("labels"), F.count("found").alias("found"), F.count("exact").alias("exact"))
+    return per.join(judged, "image", "left").select("image", "labels", "found", "exact", F.coalesce("wrong", F.lit(0)).alias("wrong"), F.coalesce("reads", F.lit(0)).alias("reads"))
+
+
+def score_totals(scores: DataFrame) -> DataFrame:
+    """One row: the sums over all images, and found and exact labels and wrong reads in percent."""
+    sums = scores.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("labels", "found", "exact", "wrong", "reads")])
+    share = lambda c, of: F.round(F.try_divide(F.col(c) * 100, F.col(of)), 1)
+    return sums.select("*", share("found", "labels").alias("found_pct"), share("exact", "labels").alias("exact_pct"), share("wrong", "reads").alias("wrong_pct"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SERIES = ["source_id", "site", "board"]
 
@@ -22,16 +23,28 @@ def coarsen(buckets: DataFrame, width: int, wider: int, origin: int = 0, series:
     return buckets.groupBy(*series, key).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("posts").alias("posts"), F.min("low_no").alias("low_no"), F.max("high_no").alias("high_no"))
 
 
+#: Levels that are counted inside blocks of 2 ** BLOCK seconds; wider ones are counted from the blocks.
+BLOCK = 16
+
+
 def adaptive_width(posts: DataFrame, target: int, origin: int = 0, series: list[str] = SERIES, most: int = 32) -> DataFrame:
     """For each series the least width 2 ** k, in seconds, with at most 2 * target buckets.
 
-    One pass counts the distinct times; then each wider level is counted from the starts of the level below, so the rows
-    shrink by half or so from level to level, all in one job of partial aggregations over distinct (series, k, bucket).
+    Two neighbouring times lie in different buckets of 2 ** k if the highest bit in which they differ is k or above, so one
+    pass over the distinct times, sorted within blocks of 2 ** BLOCK seconds, counts the buckets of all narrow levels; the
+    wide ones are counted from the blocks alone, which are few. A series of any size is dealt by its blocks.
     """
     dated = posts.filter(F.col("ts_utc").isNotNull()).select(*series, (F.col("ts_utc") - origin).alias("t")).distinct()
-    keyed = dated.select(*series, F.explode(F.transform(F.sequence(F.lit(0), F.lit(most)), lambda k: F.struct(k.alias("k"), F.floor(F.col("t") / F.pow(F.lit(2.0), k)).alias("b")))).alias("x"))
-    counts = keyed.select(*series, "x.k", "x.b").distinct().groupBy(*series, "k").agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") <= 2 * target).groupBy(*series).agg(F.pow(F.lit(2.0), F.min("k")).cast("long").alias("width"))
+    block = F.floor(F.col("t") / 2**BLOCK).alias("b")
+    before = F.lag("t").over(Window.partitionBy(*series, "b").orderBy("t"))
+    bits = F.length(F.bin(F.col("t").bitwiseXOR(F.col("before"))))  # the highest differing bit, counted from 1
+    steps = dated.select(*series, "t", block).withColumn("before", before)
+    steps = steps.groupBy(*series, F.when(F.col("before").isNull(), BLOCK + 1).otherwise(bits).alias("bits")).agg(F.count("*").alias("n"))
+    narrow = steps.select(*series, F.explode(F.sequence(F.lit(0), F.least("bits", F.lit(BLOCK)) - 1)).alias("k"), "n").groupBy(*series, "k").agg(F.sum("n").alias("n"))
+    blocks = dated.select(*series, block).distinct()
+    wide = blocks.select(*series, F.explode(F.transform(F.sequence(F.lit(BLOCK), F.lit(most)), lambda k: F.struct(k.alias("k"), F.floor(F.col("b") / F.pow(F.lit(2.0), k - BLOCK)).alias("b")))).alias("x"))
+    wide = wide.select(*series, "x.k", "x.b").distinct().groupBy(*series, "k").agg(F.count("*").alias("n"))
+    return narrow.unionByName(wide).filter(F.col("n") <= 2 * target).groupBy(*series).agg(F.pow(F.lit(2.0), F.min("k")).cast("long").alias("width"))
 
 
 def adaptive(posts: DataFrame, target: int, origin: int = 0, series: list[str] = SERIES) -> DataFrame:

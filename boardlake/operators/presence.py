@@ -48,14 +48,13 @@ def pyramid(posts: DataFrame, grid: DataFrame, levels: list[int]) -> DataFrame:
     """Blocks of k x k numbers with what is present of what is in range, for each k, coarser ones from the finest."""
     cell = F.col("post_no") - 1
     cells = posts.select("board", "post_no").distinct().join(grid, "board").filter(F.col("post_no").between(1, F.col("last")))
-    fine, out = levels[0], None
-    finest = cells.groupBy("board", "row_width", "last", F.floor(F.floor(cell / F.col("row_width")) / fine).alias("y"), F.floor(cell % F.col("row_width") / fine).alias("x")).agg(F.count("*").alias("present"))
-    for k in levels:
-        if k % fine:
-            raise ValueError(f"{k} is no multiple of {fine}")
-        level = finest.groupBy("board", "row_width", "last", F.floor(F.col("y") / (k // fine)).alias("y"), F.floor(F.col("x") / (k // fine)).alias("x")).agg(F.sum("present").alias("present"))
-        level = level.withColumn("k", F.lit(k))
-        out = level if out is None else out.unionByName(level)
+    fine = levels[0]
+    if any(k % fine for k in levels):
+        raise ValueError(f"levels are no multiples of {fine}")
+    finest = cells.groupBy("board", "row_width", "last", F.floor(F.floor(cell / F.col("row_width")) / fine).alias("fy"), F.floor(cell % F.col("row_width") / fine).alias("fx")).agg(F.count("*").alias("part"))
+    each = finest.withColumn("k", F.explode(F.array(*[F.lit(k) for k in levels])))
+    step = F.col("k") / fine
+    out = each.groupBy("board", "row_width", "last", "k", F.floor(F.col("fy") / step).alias("y"), F.floor(F.col("fx") / step).alias("x")).agg(F.sum("part").alias("present"))
     # cells of a block in range: full rows of the block and the part of the last row
     w, k, last = F.col("row_width"), F.col("k"), F.col("last")
     full, rest = F.floor(last / w), last % w

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.functions import search, texts, times
+from boardlake.functions.scratch import shared_folder, text_files
 from boardlake.operators import aggregates as A
 from boardlake.operators import dedup as D
 from boardlake.operators import filters as P
@@ -16,9 +18,12 @@ from boardlake.operators import histogram as H
 from boardlake.operators import pages as G
 from boardlake.operators import presence as B
 from boardlake.operators import timelines as L
+from boardlake.sources import html_posts as X
 from boardlake.sources import json_posts as J
 from boardlake.sources import mysql_dump as M
+from boardlake.sources import warc as W
 
+from .term_index import TermIndex
 from .views import EVENT_POSTS, OFFERS, POSTS, THREADS, TIMELINE_SQL, event_posts, offers, posts, table, threads, timeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,7 +68,13 @@ def filter_phrase(spark, sf):
 
 @query(f"select post_no from posts where contains({JOINED}, ' with the ') and not list_contains({TOKENS}, 'idiot') or list_contains({TOKENS}, 'trash') or len([t for t in {TOKENS} if starts_with(t, 'loweis')]) > 0")
 def filter_tsquery(spark, sf):
-    return P.by_query(posts(spark, sf), "with <-> the & !idiot | trash | loweis:*", search.SIMPLE).select("post_no")
+    return P.by_terms(posts(spark, sf), lambda t: t.follow("with", "the") & ~t.word("idiot") | t.word("trash") | t.prefix("loweis"), search.SIMPLE).select("post_no")
+
+
+@query()
+def filter_phrase_en(spark, sf):
+    """Stemmed, with the stop word as distance; no engine here has the stemmer, so tests compare it with a plain version."""
+    return P.by_phrase(posts(spark, sf), "houses of stone", search.ENGLISH).select("post_no", "board")
 
 
 @query("select post_no, ts_utc from posts where board = 'de' and site = 'site0'")
@@ -158,6 +169,14 @@ def inverted_index(spark, sf):
     return search.inverted_index(posts(spark, sf))
 
 
+@query("select post_no, board from hits", POSTS + ", " + HITS)
+def search_index(spark, sf):
+    """The phrase found through a stored index, which is built first."""
+    p = posts(spark, sf)
+    index = TermIndex(spark, f"{shared_folder(spark)}/terms-{uuid.uuid4().hex}").build(p)
+    return index.phrase("with the").select("post_no", "board")
+
+
 # ---- joins and dedup
 
 
@@ -190,6 +209,16 @@ def posts_without_thread(spark, sf):
     return D.without_thread(posts(spark, sf).select("post_no", ref.alias("thread_ref")), threads(spark, sf)).select("post_no")
 
 
+@query("""select count(*) filter (t.site = 'site0') as joined, count(*) filter (t.site = 'site1') as "foreign", count(*) filter (t.site is null) as no_thread
+ from posts p left join (select *, case when thread_no % 5 = 0 then 'site1' else 'site0' end as site from threads) t on p.board = t.board and p.thread_no = t.thread_no""", THREADS)
+def thread_sites(spark, sf):
+    from .views import BOARDS
+
+    ref = F.col("thread_no") * 4 + F.array_position(F.array(*[F.lit(b) for b in BOARDS]), F.col("board")) - 1
+    sites = threads(spark, sf).withColumn("site", F.when(F.col("thread_no") % 5 == 0, "site1").otherwise("site0"))
+    return D.thread_audit(posts(spark, sf).select("post_no", ref.alias("thread_ref")), sites, "site0")
+
+
 @query("select source_id, site, board, year, sum(posts)::bigint as posts, min(min_ts) as min_ts, max(max_ts) as max_ts from (select * from stats union all select * from stats where source_id < 10) group by all", STATS)
 def stats_merge(spark, sf):
     s = stats(spark, sf)
@@ -277,8 +306,8 @@ def posts_by_year_source(spark, sf):
     return A.by_year_and_source(posts(spark, sf))
 
 
-@query(f"""select y.year, coalesce(c.posts, 0) as posts from (select unnest(range((select min({YEAR}) from posts where board = 'es' and post_no % 40 = 1), (select max({YEAR}) + 1 from posts where board = 'es' and post_no % 40 = 1)))::int as year) y
- left join (select {YEAR} as year, count(*) as posts from posts where board = 'es' and post_no % 40 = 1 group by 1) c using (year)""")
+@query(f"""select y.year, coalesce(c.posts, 0) as posts from (select unnest(range((select min({YEAR}) from posts where board = 'es'), (select max({YEAR}) + 1 from posts where board = 'es')))::int as year) y
+ left join (select {YEAR} as year, count(*) as posts from posts where board = 'es' group by 1) c using (year)""")
 def posts_by_year_board_filled(spark, sf):
     return A.board_years(posts(spark, sf), "es")
 
@@ -377,10 +406,7 @@ def md5_text(spark, sf):
     return posts(spark, sf).select("post_no", F.md5("body_text").alias("body_md5"))
 
 
-_PLAIN = r"regexp_replace(substr({}.body_text, 1, 60), '[^\x00-\x7F]', '?', 'g')"  # the oracle counts bytes
-
-
-@query(f"select a.post_no, levenshtein({_PLAIN.format('a')}, {_PLAIN.format('b')})::int as distance from posts a join posts b on b.post_no = a.post_no + 1")
+@query()
 def levenshtein_text(spark, sf):
     p = posts(spark, sf).select("post_no", F.col("body_text").alias("t"))
     q = p.select((F.col("post_no") - 1).alias("post_no"), F.col("t").alias("u"))
@@ -599,8 +625,8 @@ def timeline_gaps(spark, sf):
 _DAY = "make_date(2004 + (event_id % 15)::int, 1 + (event_id % 12)::int, 1 + (event_id % 28)::int)"
 
 
-@query(f"""select event_id, case when event_id % 7 in (1, 2) then null else event_id end as post_no,
- case when event_id % 7 in (1, 2) then null else strftime({_DAY}, '%m/%d/%y(%a)') || lpad((event_id % 24)::varchar, 2, '0') || ':' || lpad((event_id % 60)::varchar, 2, '0') end as date from events""", "unused as (select 1)")
+@query(f"""select event_id, case when event_id % 7 in (1, 2) or event_id = 0 then null else event_id end as post_no,
+ case when event_id % 7 in (1, 2) or event_id = 0 then null else strftime({_DAY}, '%m/%d/%y(%a)') || lpad((event_id % 24)::varchar, 2, '0') || ':' || lpad((event_id % 60)::varchar, 2, '0') end as date from events""", "unused as (select 1)")
 def ocr_header(spark, sf):
     n = F.col("event_id")
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
@@ -682,3 +708,160 @@ def parse_mysql_tuple(spark, sf):
     table_name, _, values = M.insert_parts(statement)
     rows = shifted(spark, sf).select(table_name.alias("table_name"), F.explode(M.parse_tuples(values)).alias("v")).filter(F.col("v")[0] != "-1")
     return rows.select(F.col("v")[0].cast("long").alias("post_no"), "table_name", F.col("v")[1].alias("body_text"))
+
+
+@query(r"select post_no, md5(regexp_replace(replace(coalesce(body_text, ''), chr(10), chr(13)) || chr(8232) || 'x', '\r$', '')) as line_md5 from posts")
+def scan_lines(spark, sf):
+    """Lines that hold carriage returns and line separators, written and read back."""
+    body = F.concat(F.translate(F.coalesce("body_text", F.lit("")), "\n", "\r"), F.lit("\u2028x"))
+    path = text_files(posts(spark, sf).select(F.concat(F.col("post_no").cast("string"), F.lit("\t"), body, F.lit("\r"))), "lines")
+    at = F.locate("\t", F.col("line"))
+    return J.read_lines(spark, path).select(F.substr("line", F.lit(1), at - 1).cast("long").alias("post_no"), F.md5(F.substr("line", at + 1)).alias("line_md5"))
+
+
+def _walls(spark, sf):
+    """Shifted posts with a New York wall time for each."""
+    y, m, d, h, mi = _wall_parts()
+    wall = times.day_seconds(F.to_date(F.concat_ws("-", y, m, d))) + h.cast("long") * 3600 + mi.cast("long") * 60
+    return posts(spark, sf).withColumn("wall", wall).withColumns({"post_no": F.col("post_no") + 8, "thread_no": F.col("thread_no") + 8})
+
+
+_SHIFTED_UTC = SHIFTED + ", " + _WALL
+
+
+@query("""select board, thread_no, s.post_no, is_op, u.ts as ts_utc, md5(coalesce(body_text, '') || case when s.post_no % 13 = 0 then chr(10) || 'INSERT INTO `x` VALUES (1,''a''),(' else '' end) as body_md5
+ from shifted s join utc u on u.post_no = s.post_no - 8 where s.post_no % 29 <> 0""", _SHIFTED_UTC)
+def scan_sqldump(spark, sf):
+    """A dump with literal line feeds, quoted statements, tables of deleted posts, ghosts, thread pointers of 0 and a table without posts."""
+    n, text = F.col("post_no"), lambda c: F.col(c).cast("string")
+    body = F.concat(F.coalesce("body_text", F.lit("")), F.when(n % 13 == 0, "\nINSERT INTO `x` VALUES (1,'a'),(").otherwise(""))
+    quoted = F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+    name = F.concat("board", F.when(n % 5 == 0, "_deleted").otherwise(""))
+    create = F.concat(F.lit("CREATE TABLE IF NOT EXISTS `"), name, F.lit("` (\n  `num` int,\n  `subnum` int,\n  `thread_num` int,\n  `timestamp` int,\n  `comment` text\n) x;\nCREATE TABLE `staff` (\n  `id` int\n);\nINSERT INTO `staff` VALUES (1),(2);\n"))
+    values = F.concat_ws(", ", text("post_no"), F.when(n % 29 == 0, "1").otherwise("0"), F.when(F.col("is_op"), "0").otherwise(text("thread_no")), text("wall"), F.concat(F.lit("'"), quoted, F.lit("'")))
+    path = text_files(_walls(spark, sf).select(F.concat(create, F.lit("INSERT INTO `"), name, F.lit("` VALUES ("), values, F.lit(");"))), "dump")
+    return M.stored(M.read_dump(spark, path)).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
+
+
+@query("""select * from (values ('de', ['num', 'subnum', 'thread_num', 'timestamp', 'media_filename', 'media_orig', 'comment'], true), ('staff', ['id', 'media_filename'], false)) t(board, names, posts)""", "unused as (select 1)")
+def normalize_columns(spark, sf):
+    """Declared columns of the older schema under their newer names."""
+    tables = spark.createDataFrame([("de", ["num", "subnum", "parent", "timestamp", "media", "media_filename", "comment"]), ("staff", ["id", "media"])], "board string, declared array<string>")
+    names = M.normal_columns(F.col("declared"))
+    return tables.select("board", names.alias("names"), M.holds_posts(names).alias("posts"))
+
+
+_CLEAN = r"nullif(regexp_replace(regexp_replace(regexp_replace(body_text, '<[^>]*>', '', 'g'), '<[^>]*$', ''), '[\s ]+$', ''), '')"
+
+
+def _escaped(text):
+    return F.replace(F.replace(F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("\n"), F.lit("<br>"))
+
+
+def _thread_pages(rows, post, head="", tail=""):
+    """A page for each thread, on one of three boards: (file, board, page), its posts in order."""
+    each = rows.groupBy("thread_no").agg(F.sort_array(F.collect_list(F.struct("post_no", post.alias("html")))).alias("posts"))
+    board, page = F.concat(F.lit("b"), (F.floor(F.col("thread_no") / 8) % 3).cast("string")), F.concat(F.lit(head), F.array_join(F.transform("posts", lambda p: p["html"]), "\n"), F.lit(tail))
+    return each.select(F.concat(F.lit("/"), board, F.lit("/"), board, F.lit("_"), F.col("thread_no").cast("string"), F.lit(".html")).alias("file"), board.alias("board"), page.alias("page"))
+
+
+_PLACED = "'b' || thread_no // 8 % 3 as board"
+
+
+@query(f"select {_PLACED}, thread_no, post_no, is_op, ts_utc, md5({_CLEAN}) as body_md5 from shifted", SHIFTED)
+def scan_html_native(spark, sf):
+    n = F.col("post_no").cast("string")
+    stamp = F.coalesce(F.concat(F.lit('<span class="dateTime" data-utc="'), F.col("ts_utc").cast("string"), F.lit('">x</span>')), F.lit(""))
+    post = F.concat(F.lit('<div class="postContainer '), F.when(F.col("is_op"), "opContainer").otherwise("replyContainer"), F.lit('" id="pc'), n, F.lit('"><div class="postInfoM mobile"><span class="name">M</span></div><div class="postInfo desktop"><span class="name">Anon</span>'), stamp, F.lit('</div><blockquote class="postMessage">'), _escaped(F.col("body_text")), F.lit('<span class="abbr">Comment too long.</span></blockquote></div>'))
+    return X.native_posts(_thread_pages(shifted(spark, sf), post, "<html><body>", "</body></html>")).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
+
+
+@query(f"select {_PLACED}, thread_no, s.post_no, is_op, u.ts as ts_utc, md5({_CLEAN}) as body_md5, 'pic' || s.post_no || '.jpg' as media_filename from shifted s join utc u on u.post_no = s.post_no - 8", _SHIFTED_UTC)
+def scan_html_legacy(spark, sf):
+    """Both hand-made templates: every other thread in one, the rest in the other."""
+    rows = _walls(spark, sf)
+    n, day = F.col("post_no").cast("string"), times.utc_date(F.col("wall"))
+    two = lambda x: F.lpad(F.floor(x).cast("string"), 2, "0")
+    of_day = F.pmod("wall", F.lit(86400))
+    date = F.concat(F.date_format(day, "MM/dd/yy"), F.lit("(Mon)"), two(of_day / 3600), F.lit(":"), two(of_day % 3600 / 60))
+    file = F.concat(F.lit("File :99"), n, F.lit(".jpg-(51 KB, 287x700, pic"), n, F.lit(".jpg)"))
+    body = _escaped(F.col("body_text"))
+    later = F.concat(F.lit('<div class="post"><span class="post_no">'), n, F.lit('</span><span class="post_now">'), date, F.lit('</span><span class="post_filename">pic'), n, F.lit('.jpg</span><div class="post_com">'), body, F.lit("</div></div>"))
+    opening = F.concat(F.lit('<span class="filesize">'), file, F.lit('</span><span class="postername">A</span> '), date, F.lit(' <span id="nothread'), n, F.lit('">No.</span><blockquote>'), body, F.lit("</blockquote>"))
+    reply = F.concat(F.lit('<table><tr><td class="reply" id="'), n, F.lit('"><span class="commentpostername">A</span> '), date, F.lit('<span class="filesize">'), file, F.lit("</span><blockquote>"), body, F.lit("</blockquote></td></tr></table>"))
+    first = F.col("thread_no") % 16 == 0
+    pages = _thread_pages(rows.filter(first), later, "<html><body>", "</body></html>").unionByName(_thread_pages(rows.filter(~first), F.when(F.col("is_op"), opening).otherwise(reply), "<html><body>", "</body></html>"))
+    return X.legacy_posts(pages).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"), "media_filename")
+
+
+@query(f"select {_PLACED}, count(*) as posts, count(*) filter (is_op) as ops from shifted group by 1", SHIFTED)
+def stage_html(spark, sf):
+    """Posts of saved pages written as staged lines and read back."""
+    n = F.col("post_no").cast("string")
+    post = F.concat(F.lit('<div class="post"><span class="post_no">'), n, F.lit('</span><div class="post_com">'), _escaped(F.col("body_text")), F.lit("</div></div>"))
+    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    J.stage(X.legacy_posts(_thread_pages(shifted(spark, sf), post)), path)
+    return J.stored(J.read_staged_folders(spark, path)).groupBy("board").agg(F.count("*").alias("posts"), F.count_if("is_op").alias("ops"))
+
+
+@query("select url as uri, md5(html) as body_md5 from pages where page_id % 5 <> 0 and page_id % 7 <> 0", "unused as (select 1)")
+def scan_warc(spark, sf):
+    n, html = F.col("page_id"), F.coalesce("html", F.lit(""))
+    chunked = F.concat(F.lower(F.hex(F.octet_length(html))), F.lit("\r\n"), html, F.lit("\r\n0\r\n\r\n"))
+    http = F.concat(F.lit("HTTP/1.1 "), F.when(n % 5 == 0, "404 Gone").otherwise("200 OK"), F.lit("\r\nContent-Type: "), F.when(n % 7 == 0, "image/png").otherwise("text/html; charset=utf-8"), F.when(n % 3 == 0, "\r\nTransfer-Encoding: chunked").otherwise(""), F.lit("\r\n\r\n"), F.when(n % 3 == 0, chunked).otherwise(html))
+    record = F.concat(F.lit(W.SEPARATOR + "WARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: "), F.octet_length(http).cast("string"), F.lit("\r\n\r\n"), http, F.lit("\r\n\r\n"))
+    path = text_files(table(spark, sf, "pages").select(record), "warc")
+    return W.html_pages(W.read_responses(spark, path), "^https?://").select("uri", F.md5("body").alias("body_md5"))
+
+
+# ---- headers read from pictures: images have four labels each
+
+
+_IMAGE = "'img' || (event_id // 4) || '.png'"
+_LABEL = f"strftime({_DAY}, '%m/%d/%y(%a)') || lpad((event_id % 24)::varchar, 2, '0') || ':' || lpad((event_id % 60)::varchar, 2, '0')"
+
+
+def _labels(spark, sf):
+    """A label and its markdown row for each event, numbered from 10, for a header has two digits at least."""
+    n = F.col("event_id")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    day = F.make_date((2004 + n % 15).cast("int"), (1 + n % 12).cast("int"), (1 + n % 28).cast("int"))
+    real = F.get(F.array(*[F.lit(x) for x in O.WEEKDAYS]), F.dayofweek(day) - 1)
+    date = F.concat(F.date_format(day, "MM/dd/yy"), F.lit("("), real, F.lit(")"), two(n % 24), F.lit(":"), two(n % 60))
+    image = F.concat(F.lit("img"), F.floor(n / 4).cast("string"), F.lit(".png"))
+    row = F.concat(F.lit("| "), (n + 10).cast("string"), F.lit(" | "), date, F.when(n % 2 == 0, " UTC-4").otherwise(""), F.lit(" | [["), image, F.lit("]] |"))
+    return O.label_rows(table(spark, sf, "events").select("event_id", row.alias("value"))).withColumn("label", O.label_text(F.col("date"), F.col("utc_offset"), F.col("post_no")))
+
+
+@query(f"select event_id, {_IMAGE} as image, event_id + 10 as post_no, {_LABEL} as date, case when event_id % 2 = 0 then '-4' end as utc_offset from events", "unused as (select 1)")
+def ocr_labels(spark, sf):
+    return _labels(spark, sf).select("event_id", "image", "post_no", "date", "utc_offset")
+
+
+@query("select event_id, (case event_id % 3 when 0 then 0 else 1 end)::int as distance from events", "unused as (select 1)")
+def ocr_distance(spark, sf):
+    n = F.col("event_id")
+    read = F.when(n % 3 == 0, F.col("label")).when(n % 3 == 1, F.replace("label", F.lit("No."), F.lit("N0."))).otherwise(F.replace("label", F.lit("("), F.lit("[")))
+    return _labels(spark, sf).select("event_id", O.header_distance(F.concat(F.lit("Anonymous  "), read), F.col("label")).alias("distance"))
+
+
+def _numbered(spark, sf):
+    return _labels(spark, sf).withColumn("label_no", (F.col("event_id") % 4).cast("int")).withColumn("board", F.lit("x"))
+
+
+def _read_lines(labels):
+    """Each label as a line, in the opposite order; every fourth with a weekday that is wrong for its date."""
+    text = F.when(F.col("event_id") % 4 == 1, F.regexp_replace("label", r"\(\w+\)", F.concat(F.lit("("), F.when(F.contains("label", F.lit("(Mon)")), "Tue").otherwise("Mon"), F.lit(")")))).otherwise(F.col("label"))
+    return labels.select("image", (3 - F.col("label_no")).alias("line_no"), F.concat(F.lit("Anonymous "), text).alias("line"))
+
+
+@query(f"select {_IMAGE} as image, (event_id % 4)::int as label_no, (3 - event_id % 4)::int as line_no from events", "unused as (select 1)")
+def ocr_assign(spark, sf):
+    labels = _numbered(spark, sf)
+    return O.assign(_read_lines(labels), labels.select("image", "label_no", "label")).select("image", "label_no", "line_no")
+
+
+@query(f"select {_IMAGE} as image, count(*) as labels, count(*) as found, count(*) filter (event_id % 4 <> 1) as exact, 0::bigint as wrong, count(*) filter (event_id % 4 <> 1) as reads from events group by 1", "unused as (select 1)")
+def ocr_score(spark, sf):
+    labels = _numbered(spark, sf)
+    return O.score(_read_lines(labels), labels)

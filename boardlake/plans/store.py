@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from boardlake.functions.search import ENGLISH, Config
 from boardlake.functions.times import minute_text
 from boardlake.operators import aggregates, dedup, filters
+from boardlake.plans.term_index import TermIndex
 
 
 def render() -> Column:
@@ -56,3 +57,17 @@ class PostStore:
         new = dedup.new_posts(real, self.posts, order).select(*self.posts.columns)
         stats = aggregates.post_stats(new)
         return PostStore(self.posts.unionByName(new), stats if self.stats is None else dedup.merge_stats(self.stats, stats))
+
+    def survey(self, by: str = "month", boards: list[str] | None = None, distinct: bool = False, per_board: bool = False) -> dict[str, DataFrame]:
+        """What these posts would offer a store: a table by board, and one by month or year over all boards or for each (per_board)."""
+        rows = filters.only_boards(self.posts, boards) if boards else self.posts
+        out = {"boards": aggregates.survey_boards(rows), "buckets": aggregates.survey_buckets(rows, by)}
+        if distinct:
+            out["distinct"] = aggregates.survey_distinct(rows)
+        if per_board:
+            out["board_buckets"] = aggregates.survey_board_buckets(rows, by)
+        return out
+
+    def search_index(self, index: TermIndex, phrase: str) -> DataFrame:
+        """Posts that hold the phrase, found through an index instead of their texts."""
+        return self.posts.join(index.phrase(phrase), dedup.KEY, "left_semi")

@@ -22,7 +22,7 @@ SCRAPED = "Thread struct<Posts:array<struct<OriginalObject:struct<num:string,sub
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """line and file. Lines end at line feeds alone; one carriage return before it goes, other separators are content."""
     text = spark.read.option("lineSep", "\n").text(path)
-    return text.select(F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("file"))
+    return text.select(F.regexp_replace("value", r"\r\z", "").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
 def board_of(file: Column) -> Column:
@@ -94,6 +94,19 @@ def counters(posts: DataFrame) -> DataFrame:
     return posts.agg(F.count("*").alias("rows"), F.count_if(bad).alias("bad"), F.count_if(~bad & is_ghost(F.col("subnum"))).alias("ghost"))
 
 
+def stage(posts: DataFrame, root: str) -> None:
+    """Writes posts as staged lines, <root>/board=<board>/, which `read_staged_folders` reads back."""
+    text = lambda c: F.col(c).cast("string")
+    lines = posts.select("board", "site", text("post_no").alias("num"), F.lit("0").alias("subnum"), text("thread_no").alias("thread_num"), F.when(F.col("is_op"), "1").otherwise("0").alias("op"), text("ts_utc").alias("timestamp"), *[F.col(a).alias(b) for a, b in (("name", "name"), ("tripcode", "trip"), ("subject", "title"), ("body_text", "comment"), ("media_filename", "media_filename"), ("media_md5", "media_hash")) if a in posts.columns])
+    write_staged(lines, root)
+
+
+def read_staged_folders(spark: SparkSession, root: str, site: str = "site0") -> DataFrame:
+    """The posts that `stage` wrote."""
+    board = F.regexp_extract("file", "/board=([^/]*)/", 1)
+    return staged_posts(read_lines(spark, f"{root}/board=*/"), site=site, board=board)
+
+
 def read_staged(spark: SparkSession, root: str, site: str = "site0") -> DataFrame:
     """<root>/<board>/posts.ndjson"""
     return staged_posts(read_lines(spark, f"{root}/*/posts.ndjson"), site=site, board=board_of(F.col("file")))

@@ -1,6 +1,8 @@
-"""Rows of MySQL INSERT statements: the head is read by expressions, tuples are cut by a small helper over Arrow batches.
+"""Posts from MySQL dumps: statements are cut by Spark's text scan, a small helper reads literals and tuples.
 
-The functions take a column of whole statements, one a row.
+A dump is scanned as records that end before each line with an INSERT head, so the statements of one file are read by many
+tasks. A record that ends inside a literal (a post may quote an INSERT statement after a line feed) is rare: such records
+and those that close them are found by their quotes, and put together again before they are read.
 """
 
 from __future__ import annotations
@@ -9,37 +11,58 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlake.functions.texts import number_or_null, strip_nulls
+from boardlake.functions.times import ny_wall_to_utc
+from boardlake.operators.filters import is_ghost
+
 #: Escapes of MySQL literals; fixed values.
 ESCAPES = {"0": "\0", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a", "b": "\b"}
-TOKEN = re.compile(r"'((?:[^'\\]|\\.|'')*+)'|([^\s,()']+)|([(),])", re.DOTALL)
+#: Columns that a table of posts must have; fixed values.
+REQUIRED = ("num", "subnum", "thread_num", "timestamp", "comment")
+#: Column names of the older schema and what they are called in the newer one, all at once; fixed values.
+OLDER_NAMES = {"media_filename": "media_orig", "media": "media_filename", "parent": "thread_num"}
+TOKEN = re.compile(r"'((?:[^'\\]|\\.|'')*+)'|([^\s,()';]+)|([(),;])", re.DOTALL)
+INSERT = "INSERT INTO `"
+HEAD = re.compile(r"^﻿?INSERT INTO `([^`]+)`\s*(?:\(([^)]*)\))?\s*VALUES\s*", re.MULTILINE)
+CREATE = re.compile(r"^CREATE TABLE (?:IF NOT EXISTS )?`([^`]+)` \(\r?\n((?:[^)].*\n?)*)", re.MULTILINE)
 ROW = T.ArrayType(T.ArrayType(T.StringType()))
+NAMES = T.ArrayType(T.StringType())
+STATEMENTS = T.ArrayType(T.StructType([T.StructField("table", T.StringType()), T.StructField("columns", NAMES), T.StructField("rows", ROW), T.StructField("bad", T.IntegerType())]))
+TABLES = T.ArrayType(T.StructType([T.StructField("table", T.StringType()), T.StructField("columns", NAMES)]))
 
 
 def literal(text: str) -> str:
     return re.sub(r"\\(.)|''", lambda m: ESCAPES.get(m[1], m[1]) if m[1] is not None else "'", text, flags=re.DOTALL)
 
 
-def tuples_of(text: str) -> list[list[str | None]]:
-    """The rows of a VALUES list; an open literal or parenthesis is an error."""
+def complete_tuples(text: str, at: int = 0) -> tuple[list[list[str | None]], int, bool]:
+    """(rows, where reading stopped, whether a literal or tuple is open there) of a VALUES list; it ends at a semicolon or at what is no tuple."""
     rows: list[list[str | None]] = []
     row: list[str | None] | None = None
-    at = 0
-    for m in TOKEN.finditer(text):
+    while m := TOKEN.search(text, at):
         if "'" in text[at : m.start()]:
-            break
+            return rows, at, True
+        if row is None and m[3] not in ("(", ","):
+            return rows, m.end() if m[3] == ";" else m.start(), False
         at = m.end()
-        if m[3] == "(":
+        if m[3] == "(" and row is None:
             row = []
-        elif m[3] == ")" and row is not None:
+        elif m[3] == ")":
             rows.append(row)
             row = None
         elif row is not None and m[3] is None:
             row.append(literal(m[1]) if m[1] is not None else None if m[2].upper() == "NULL" else m[2])
-    if row is not None or "'" in text[at:]:
+    return rows, at, row is not None or "'" in text[at:]
+
+
+def tuples_of(text: str) -> list[list[str | None]]:
+    """The rows of a VALUES list; an open literal or parenthesis is an error."""
+    rows, _, is_open = complete_tuples(text)
+    if is_open:
         raise ValueError("a literal or tuple is not closed")
     return rows
 
@@ -60,3 +83,117 @@ def insert_parts(statement: Column) -> tuple[Column, Column, Column]:
     head = r"(?is)^\s*INSERT\s+INTO\s+`([^`]+)`\s*(?:\(([^)]*)\))?\s*VALUES\s*(.*?);?\s*$"
     names = F.regexp_extract_all(F.regexp_extract(statement, head, 2), F.lit("`([^`]+)`"), F.lit(1))
     return F.regexp_extract(statement, head, 1), names, F.regexp_extract(statement, head, 3)
+
+
+def pieces_of(record: str) -> Iterator[tuple]:
+    """("insert", table, columns or None, rows, open) and ("between", text) in turn, over the statements of a record."""
+    at = 0
+    while m := HEAD.search(record, at):
+        yield "between", record[at : m.start()]
+        rows, at, is_open = complete_tuples(record, m.end())
+        names = re.findall("`([^`]+)`", m[2] or "") or None
+        yield "insert", m[1], names, rows, is_open
+        if is_open:
+            return
+    yield "between", record[at:]
+
+
+@F.pandas_udf(STATEMENTS)
+def _statements(records: pd.Series) -> pd.Series:
+    return records.map(lambda r: [{"table": p[1], "columns": p[2], "rows": p[3], "bad": int(p[4])} for p in pieces_of(r) if p[0] == "insert"])
+
+
+@F.pandas_udf(TABLES)
+def _created(records: pd.Series) -> pd.Series:
+    def tables(record: str) -> list[dict]:
+        found = [m for p in pieces_of(record) if p[0] == "between" for m in CREATE.finditer(p[1])]
+        return [{"table": m[1], "columns": re.findall(r"^\s*`([^`]+)`", m[2], re.MULTILINE)} for m in found]
+
+    return records.map(tables)
+
+
+@F.pandas_udf(T.BooleanType())
+def _left_open(records: pd.Series) -> pd.Series:
+    return records.map(lambda r: any(p[0] == "insert" and p[4] for p in pieces_of(r)))
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, record): a dump cut before each INSERT head at the beginning of a line, with quoted heads put together again."""
+    text = spark.read.option("lineSep", f"\n{INSERT}").text(path)
+    headless = F.col("value").rlike(r"^[^`\n]+`\s*(\([^)]*\))?\s*VALUES")
+    cut = text.select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"), F.when(headless, F.concat(F.lit(INSERT), "value")).otherwise(F.col("value")).alias("record"))
+    quotes = F.regexp_count(F.regexp_replace("record", r"(?s)\\.", ""), F.lit("'"))
+    odd = cut.filter(quotes % 2 == 1)  # rare: quotes are paired but in comments and where a record ends in a literal
+    spans = odd.select("file", "at", _left_open("record").alias("opens")).groupBy("file").applyInPandas(open_spans, "file string, first struct<block:bigint,n:bigint>, last struct<block:bigint,n:bigint>")
+    inside = cut.join(F.broadcast(spans), (cut["file"] == spans["file"]) & (cut["at"] >= spans["first"]) & (cut["at"] <= spans["last"]), "left").select(cut["file"], cut["at"], "record", "first")
+    whole = inside.filter("first is null").select("file", "at", "record")
+    # a quoted head was cut off with its separator, so it is put back; the others got theirs above
+    body = F.when((F.col("at") == F.col("first")) | F.col("record").startswith(INSERT), F.col("record")).otherwise(F.concat(F.lit(INSERT), "record"))
+    parts = inside.filter("first is not null").groupBy("file", F.col("first").alias("at")).agg(F.sort_array(F.collect_list(F.struct(F.col("at").alias("place"), body.alias("body")))).alias("parts"))
+    return whole.unionByName(parts.select("file", "at", F.array_join(F.transform("parts", lambda p: p["body"]), "\n").alias("record")))
+
+
+def open_spans(rows: pd.DataFrame) -> pd.DataFrame:
+    """From the records of a file with an odd number of quotes: each that ends in a literal, up to the next one, which closes it."""
+    out, first = [], None
+    for file, at, opens in sorted(zip(rows["file"], map(tuple, (r.values() if isinstance(r, dict) else r for r in rows["at"])), rows["opens"], strict=True)):
+        if first is not None:
+            out.append((file, first, at))
+            first = None
+        elif opens:
+            first = at
+    return pd.DataFrame(out, columns=["file", "first", "last"])
+
+
+def created_tables(cut: DataFrame) -> DataFrame:
+    """(file, table, declared): the columns of every CREATE TABLE of a dump, in order."""
+    some = cut.filter(F.contains("record", F.lit("CREATE TABLE")))
+    return some.select("file", F.inline(_created("record")).alias("table", "declared")).dropDuplicates(["file", "table"])
+
+
+def normal_columns(columns: Column, names: dict[str, str] | None = None) -> Column:
+    """An array of column names with the older schema's names replaced, all at once, so no two get the same name."""
+    pairs = F.create_map(*[F.lit(x) for pair in (names or OLDER_NAMES).items() for x in pair])
+    return F.transform(columns, lambda c: F.coalesce(F.element_at(pairs, c), c))
+
+
+def holds_posts(columns: Column) -> Column:
+    """Whether a table with these columns holds posts; others are side tables."""
+    return F.forall(F.array(*[F.lit(c) for c in REQUIRED]), lambda c: F.array_contains(columns, c))
+
+
+def side_tables(spark: SparkSession, path: str, older: bool = False) -> DataFrame:
+    """(file, table, declared) of the tables that are left out for want of a column."""
+    tables = created_tables(records(spark, path))
+    declared = normal_columns(F.col("declared")) if older else F.col("declared")
+    return tables.filter(~holds_posts(declared))
+
+
+def dump_rows(spark: SparkSession, path: str, older: bool = False) -> DataFrame:
+    """(file, table, names, v): the values of every row of every table with posts; the INSERT's own column list wins over the CREATE TABLE's."""
+    cut = records(spark, path)
+    each = cut.select("file", F.inline(_statements("record")).alias("table", "columns", "rows", "bad"))
+    known = each.join(created_tables(cut), ["file", "table"], "left").withColumn("names", F.coalesce("columns", "declared"))
+    if older:
+        known = known.withColumn("names", normal_columns(F.col("names")))
+    return known.filter(holds_posts(F.col("names"))).select("file", "table", "names", F.explode("rows").alias("v"))
+
+
+def read_dump(spark: SparkSession, path: str, site: str = "site0", older: bool = False) -> DataFrame:
+    """The posts of a dump. Times are New York wall times; a table <board>_deleted has posts of the same board; ghosts stay, with their subnum."""
+    at = lambda name: F.get("v", F.array_position("names", F.lit(name)).cast("int") - 1)
+    field = lambda name: F.when(F.array_contains("names", name), strip_nulls(at(name)))
+    post_no, stamp = number_or_null(at("num")), number_or_null(at("timestamp"))
+    thread_no = F.coalesce(F.nullif(number_or_null(at("thread_num")), F.lit(0).cast("long")), post_no)
+    rows = dump_rows(spark, path, older)
+    return rows.select(
+        F.lit(site).alias("site"), F.regexp_replace("table", "_deleted$", "").alias("board"), thread_no.alias("thread_no"), post_no.alias("post_no"),
+        F.when(F.array_contains("names", "op"), F.coalesce(at("op") == "1", F.lit(False))).otherwise(thread_no == post_no).alias("is_op"),
+        F.when(stamp > 0, ny_wall_to_utc(stamp)).alias("ts_utc"), field("name").alias("name"), field("trip").alias("tripcode"), field("title").alias("subject"),
+        field("comment").alias("body_text"), field("media_filename").alias("media_filename"), field("media_hash").alias("media_md5"), at("subnum").alias("subnum"),
+    )
+
+
+def stored(posts: DataFrame) -> DataFrame:
+    """The rows that a store takes: those with a number and no ghosts."""
+    return posts.filter(F.col("post_no").isNotNull() & ~is_ghost(F.col("subnum"))).drop("subnum")

@@ -1,4 +1,7 @@
-"""The summary of posts over a stream of staged lines."""
+"""Streams of staged lines: a store that takes each post once, its summary, and buckets of post numbers over time.
+
+Every batch writes under its own number, so one that runs again replaces itself.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from boardlake.operators.aggregates import post_stats
-from boardlake.operators.dedup import KEY, merge_stats
+from boardlake.operators.dedup import KEY, first_writer, merge_stats
+from boardlake.operators.histogram import coarsen, fixed
 from boardlake.sources.json_posts import staged_posts, stored
 
 
 def staged_stream(spark: SparkSession, path: str, source_id: int) -> DataFrame:
     """New files of staged lines as posts; of the rows with one key the first that comes is kept, so the state grows with the keys."""
     lines = spark.readStream.schema("value string").option("lineSep", "\n").text(path)
-    posts = stored(staged_posts(lines.select(F.regexp_replace("value", "\r$", "").alias("line"))))
+    posts = stored(staged_posts(lines.select(F.regexp_replace("value", r"\r\z", "").alias("line"))))
     return posts.withColumn("source_id", F.lit(source_id)).dropDuplicates(KEY)
 
 
@@ -29,3 +33,34 @@ def keep_stats(posts: DataFrame, folder: str, checkpoint: str) -> StreamingQuery
 
 def read_stats(spark: SparkSession, folder: str) -> DataFrame:
     return merge_stats(spark.read.option("basePath", folder).parquet(folder).drop("batch"))
+
+
+def keep_posts(posts: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Adds to the store in folder what it lacks: each batch's posts once, without keys of earlier batches. Undated posts are stored like others."""
+
+    def one(batch: DataFrame, number: int) -> None:
+        new = first_writer(batch, ("source_id",))
+        if number:
+            earlier = batch.sparkSession.read.option("basePath", folder).schema(f"batch long, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in batch.schema if f.name in KEY)}").parquet(folder)
+            new = new.join(earlier.filter(F.col("batch") < number).select(*KEY), KEY, "left_anti")
+        new.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return posts.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_posts(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("basePath", folder).parquet(folder).drop("batch")
+
+
+def keep_buckets(posts: DataFrame, folder: str, checkpoint: str, width: int) -> StreamingQuery:
+    """Writes the buckets of each batch; undated posts are in none. `read_buckets` merges them."""
+
+    def one(batch: DataFrame, number: int) -> None:
+        fixed(batch, width).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return posts.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_buckets(spark: SparkSession, folder: str, width: int, wider: int | None = None) -> DataFrame:
+    """The buckets over all batches, at their width or a multiple of it."""
+    return coarsen(spark.read.option("basePath", folder).parquet(folder).drop("batch"), width, wider or width)
