@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boardlake.functions.scratch import shared_folder as shared_dir
+
 #: ASCII white space that separates words: blank, tab, line feed, vertical tab, form feed, return.
 SPACES = "\t\n\x0b\x0c\r"
 #: Most words of 64 bits of a key filter: what is broadcast has at most so many rows of two longs, whatever the input.
@@ -22,19 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session without it (tests) gets one of its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = os.path.join(tempfile.gettempdir(), f"boardlake-{os.getpid()}")
-        spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return base.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 

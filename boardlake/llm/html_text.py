@@ -25,7 +25,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +37,11 @@ BLOCKS = frozenset("address article aside blockquote body dd details dialog div
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split())
 #: An open element of the first kind ends where one of the second begins.
 ENDS = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody"}, "th": {"td", "th", "tr", "tbody"}, "option": {"option"}}
+ENDED_BY = {name: [k for k, ends in ENDS.items() if name in ends] for name in BLOCKS | set(ENDS)}
+#: Elements below this depth hang from their ancestor at it, the limit of common browsers; no text is lost.
+MAX_DEPTH = 512
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.DOTALL)
 NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-BOUNDARY = "\x00"
 
 #: Words in class, id or role that speak for or against content, by theme.
 THEMES = {
@@ -79,16 +80,65 @@ class Tree:
         return len(self.parent) - 1
 
 
+class OpenElements:
+    """The stack of open elements, with the places of each name, so that closing one never searches the stack."""
+
+    def __init__(self, root: int):
+        self.names, self.nodes, self.hidden = ["html"], [root], 0
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of block elements
+        self.walls: list[int] = []  # of those that no implied end tag crosses
+
+    def top(self) -> int:
+        """Where the next node hangs: the innermost open element, or at the greatest depth its ancestor there, as in browsers."""
+        return self.nodes[min(len(self.nodes), MAX_DEPTH) - 1]
+
+    def last(self, name: str) -> int:
+        found = self.places.get(name)
+        return found[-1] if found else 0
+
+    def push(self, name: str, node: int) -> None:
+        at = len(self.names)
+        self.names.append(name), self.nodes.append(node)
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCKS:
+            self.blocks.append(at)
+            if name != "p":
+                self.walls.append(at)
+        self.hidden += name in UNSEEN
+
+    def close(self, at: int) -> None:
+        """Ends the element at this place and all inside."""
+        while len(self.names) > at:
+            name = self.names.pop()
+            self.nodes.pop(), self.places[name].pop()
+            self.hidden -= name in UNSEEN
+            if name in BLOCKS:
+                self.blocks.pop()
+                if name != "p":
+                    self.walls.pop()
+
+    def end_tag(self, name: str) -> None:
+        at = self.last(name)
+        if at and not (name in INLINE and self.blocks and self.blocks[-1] > at):
+            self.close(at)
+
+    def implied_end(self, name: str) -> None:
+        """Ends what may not hold an element of this name."""
+        at = max(map(self.last, ENDED_BY.get(name, ())), default=0)
+        if at and at >= (self.walls[-1] if self.walls else 0):
+            self.close(at)
+
+
 def parse(page: str) -> Tree:
-    """The DOM tree of a page, with text nodes (tag "#text") and one "br" node for each line break."""
+    """The DOM tree of a page, with text nodes (tag "#text") and one "br" node for each line break, in time linear in its length."""
     tree = Tree()
-    root = tree.add(-1, "html")
-    stack: list[tuple[str, int]] = [("html", root)]
-    at, n, hidden = 0, len(page), 0
+    stack = OpenElements(root := tree.add(-1, "html"))
+    at, n = 0, len(page)
 
     def put(raw: str) -> None:
-        if raw and not hidden:
-            tree.add(stack[-1][1], "#text", "", entities.unescape(raw) if "&" in raw else raw)
+        if raw and not stack.hidden:
+            tree.add(stack.top(), "#text", "", entities.unescape(raw) if "&" in raw else raw)
 
     while at < n:
         m = TOKEN.search(page, at)
@@ -100,35 +150,20 @@ def parse(page: str) -> Tree:
         name = m[2] or m[5]
         if not name:
             continue
-        name, closing = name.lower(), bool(m[1] or m[4])
-        if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    hidden -= sum(t in UNSEEN for t, _ in stack[k:])
-                    del stack[k:]
-                    break
-                if name in INLINE and stack[k][0] in BLOCKS:
-                    break
+        name = name.lower()
+        attributes = m[3] or m[6] or ""
+        if m[1] or m[4]:
+            stack.end_tag(name)
             continue
         if name in ("html", "body"):
-            if name == "body" and not any(t == "body" for t, _ in stack):
-                while stack[-1][0] != "html":
-                    hidden -= stack.pop()[0] in UNSEEN
-                stack.append(("body", tree.add(root, "body", themed(m[3] or m[6]))))
+            if name == "body" and not stack.last("body"):
+                stack.close(1)
+                stack.push("body", tree.add(root, "body", themed(attributes)))
             continue
-        if name in BLOCKS or name in ENDS:
-            for k in range(len(stack) - 1, 0, -1):
-                open_tag = stack[k][0]
-                if name in ENDS.get(open_tag, ()):
-                    hidden -= sum(t in UNSEEN for t, _ in stack[k:])
-                    del stack[k:]
-                    break
-                if open_tag in BLOCKS and open_tag != "p":
-                    break
-        attributes = m[3] or m[6] or ""
+        stack.implied_end(name)
         if name in VOID:
-            if name in ("br", "hr") and not hidden:
-                tree.add(stack[-1][1], name)
+            if name in ("br", "hr") and not stack.hidden:
+                tree.add(stack.top(), name)
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE).search(page, at)
@@ -136,9 +171,7 @@ def parse(page: str) -> Tree:
             continue
         if attributes.endswith("/") and name not in BLOCKS and name not in INLINE:
             continue
-        node = stack[-1][1] if hidden else tree.add(stack[-1][1], name, themed(attributes))
-        stack.append((name, node))
-        hidden += name in UNSEEN
+        stack.push(name, stack.top() if stack.hidden else tree.add(stack.top(), name, themed(attributes)))
     return tree
 
 
@@ -378,7 +411,3 @@ def extract_main_text(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
-
-
-#: The Arrow schema of the result, for tests.
-SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

@@ -7,7 +7,8 @@ expanded into pairs.
 1. Each set is embedded as `COORDS` MinHash values; value i is the token (i, value), and similar sets share tokens.
 2. Chosen paths: in each run, a node samples every token with a chance of 1 / (THRESHOLD * COORDS) by a hash of the node
    and the token, so sets that share a sampled token meet in a child. Buckets of over `SMALL` sets are split again by
-   their own samples, up to `DEPTH` levels.
+   their own samples, up to `DEPTH` levels, unless they have stopped shrinking: a child with over half of its parent's
+   sets is a cluster of near copies, which no token divides.
 3. Runs are repeated until the target recall (`RECALL`): a pair of similarity 0.8 shares one sampled token at each node on
    average, so a run brings it to a common leaf of depth d with the chance of a branching process to live that long, and
    `runs_for` gives the runs that this takes. The first runs are those for depth 1; sets that came to deeper buckets are
@@ -114,7 +115,7 @@ def runs_for(recall: float, depth: int) -> int:
 
 
 def choose(runs: range | None) -> Callable:
-    """Children of nodes: rows (path, cid) for every sampled token of each set; with `runs` these are the roots."""
+    """Children of nodes: rows (path, cid, of) for every sampled token of each set, with the size `of` of the parent; with `runs` the parents are the roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = U64(int(2**64 / (COORDS * OVER / UNDER)))
@@ -134,7 +135,7 @@ def choose(runs: range | None) -> Callable:
                     h ^= h >> U64(29)
                     row, at = np.nonzero(h * MULT < limit)
                     if len(row):
-                        yield pa.RecordBatch.from_arrays([pa.array((h[row, at] * U64(3)).view(np.int64)), part.column("cid").take(pa.array(row))], names=["path", "cid"])
+                        yield pa.RecordBatch.from_arrays([pa.array((h[row, at] * U64(3)).view(np.int64)), *[part.column(c).take(pa.array(row)) for c in ("cid", "g")]], names=["path", "cid", "of"])
 
     return run
 
@@ -210,18 +211,19 @@ def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[i
 
     Paths travel with the class alone; the embedding joins only those that another class shares.
     """
-    nodes, deep = sets, None
+    nodes, deep = sets.withColumn("g", F.lit(2**62)), None
     for depth in range(DEPTH):
-        paths = written(nodes.mapInArrow(choose(None if depth else runs), "path long, cid binary"), f"jaccard-level{depth}")
-        sizes = paths.groupBy("path").agg(F.count("*").alias("g")).filter(F.col("g") > 1)
+        paths = written(nodes.mapInArrow(choose(None if depth else runs), "path long, cid binary, of long"), f"jaccard-level{depth}")
+        sizes = paths.groupBy("path").agg(F.count("*").alias("g"), F.max("of").alias("of")).filter(F.col("g") > 1)
+        paths = paths.drop("of")
         shared = written(paths.join(sizes, "path").join(sets, "cid"), f"jaccard-shared{depth}")
-        discard(paths)
         last = depth == DEPTH - 1
-        leaves = shared if last else shared.filter(F.col("g") <= SMALL)
+        split = (F.col("g") > SMALL) & (2 * F.col("g") <= F.col("of"))
+        leaves = shared if last else shared.filter(~split)
         leaves = leaves.withColumns({"nb": F.ceil(F.col("g") / BLOCK).cast("int")}).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
         leaves = dealt(leaves.select("path", "cid", "sketch", "nb", "own"), ["path"], "nb", "own")
         found.append(written(leaves.mapInArrow(compare_leaves, "a binary, b binary").distinct(), f"jaccard-edges{depth}"))
-        nodes = shared.filter(F.col("g") > SMALL).select("path", "cid", "sketch")
+        nodes = shared.filter(split).select("path", "cid", "sketch", "g")
         if last or nodes.isEmpty():
             break
         if deep is None:

@@ -1,15 +1,22 @@
 """Quality rules: base counts, then robust multivariate outliers by minimum covariance determinant (MCD).
 
-Everything is DataFrame functions. Each text gives a vector of five transformed statistics. For every language and source
-a robust mean and covariance are found by concentration steps: start at the coordinate medians with a diagonal scatter
-from the median deviations, keep the 75 % of the rows that are nearest, take their mean and covariance, repeat. The rows
-within the 97.5 % ellipsoid then give the final, reweighted estimate. A row is rejected if its squared Mahalanobis
-distance is over `CUTOFF`. What is nearest is read off an exact histogram of the distances (so no group is ever gathered
-in a task), and every sum is a partial aggregation.
-
-Groups of under `LEAST` rows are pooled by language, and then over all languages; a pool that is still smaller has no
-estimate and rejects nothing. `FLOOR` is added to the scatter of each coordinate: the deviation that counts as nothing,
-also where a statistic is constant in a group.
+Everything is DataFrame functions. Each text that passes the base gives a vector of five transformed statistics: logs of
+the number of words and of their mean length, and variance-stabilised rates of symbols, repeated lines and repeated
+windows. Counts are mostly nought, so each is jittered within its unit by a hash of the text: a whole number c becomes
+c + u with u from 0 to 1, which gives it a density, and the estimates need no floor set by hand.
+
+For every language and source the estimate is the subset of 75 % of the rows whose scatter has the least determinant. It
+is searched from three starts (median and median deviation; the same with the correlation of tanh scores; the same with
+the spatial sign correlation) by concentration steps: keep the nearest 75 %, take their mean and covariance, repeat. After
+`TRIES` steps the start with the least determinant goes on until its determinant no longer falls. The rows within the
+97.5 % ellipsoid then give the final, reweighted estimate. A row is rejected if its squared Mahalanobis distance is over
+`CUTOFF`. A step is one pass: each bin of an exact histogram of the distances holds the sums of its rows, so what is nearest
+and its moments are read off the merged bins, no group is ever gathered in a task, and every sum is a partial aggregation.
+
+Small groups follow the same rule as large ones (a regularised MCD): mean and scatter of a source are mixed with those of
+its language, which count as much as `PRIOR` rows, and those of a language with its medians and median deviations, as
+much as `LANGUAGE_PRIOR` rows. So a source with one row is judged by its language, and a language with one row rejects
+nothing.
 
 Defined results: a null or empty text has no words and fails the base. Null lang and source are a value of their own.
 Repeated rows count as rows, an empty table gives an empty result, other columns are kept by `judge_quality`.
@@ -21,21 +28,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import let, table, words_of, written
+from .common import discard, let, table, words_of, written
 
 SYMBOLS = "#*$%&|<>"
-LEAST = 50
 SHARE = 0.75
-STEPS = 3
-#: Chi-square with 5 degrees of freedom at 0.975 and 0.9999, and the factors that make the scatter of the nearest 75 % and 97.5 % consistent under normality.
-INNER, CUTOFF = 12.83, 25.74
+#: Steps of all starts, most steps of the best one, and the fall of the log determinant that counts as none.
+TRIES, STEPS, SETTLED = 2, 10, 1e-3
+#: Chi-square with 5 degrees of freedom at 0.975 and at one in a million, and the factors that make the scatter of the nearest 75 % and 97.5 % consistent under normality.
+INNER, CUTOFF = 12.83, 35.89
 FACTOR, INNER_FACTOR = 1.412, 1.055
-#: Standard deviations added to each statistic's: log words, log mean word length, root of symbol share, share of repeated lines, of repeated words.
-FLOOR = (1.0, 0.06, 0.04, 0.15, 0.07)
+PRIOR, LANGUAGE_PRIOR = 20.0, 5.0
+#: Least deviation, against division by nought where all rows of a language are equal.
+TINY = 1e-3
 X = [f"_x{i}" for i in range(5)]
+PAIRS = [(i, j) for i in range(5) for j in range(i + 1)]
 GROUP = ["_lang", "_source"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -68,32 +76,18 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumns({"_w": per_word, "_l": per_line, "_plain": without(" \t\n\x0b\x0c\r"), "_unmarked": without(SYMBOLS), "_len": F.length(body)})
     out = out.withColumns({"n_words": F.col("_w.words").cast("long"), "word_chars": F.col("_plain").cast("long"), "n_symbols": (F.col("_len") - F.col("_unmarked")).cast("long"), "n_dup_lines": F.col("_l.dup").cast("long"), "n_repeat_words": F.col("_w.repeat").cast("long"), "_lines": F.col("_l.lines")})
     n, chars = F.col("n_words"), F.col("word_chars")
+    jitter = lambda k: F.shiftrightunsigned(F.xxhash64(F.lit(k), body), 11) / F.lit(2.0**53)
+    rate = lambda count, k, per: 2 * F.sqrt((count + jitter(k)) / (1 + per))
     return out.withColumns({
         "base_failed": (n < 10) | (100 * F.col("n_repeat_words") > 20 * n),
         "_lang": F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")), "_source": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
-        "_x0": F.log(n + 1), "_x1": F.log((chars + 250) / (n + 50)), "_x2": F.sqrt(F.col("n_symbols") / (chars + 1)),
-        "_x3": F.col("n_dup_lines") / (F.col("_lines") + 2), "_x4": F.col("n_repeat_words") / (n + 1),
+        "_x0": F.log(n + 1), "_x1": F.log((chars + 250) / (n + 50)), "_x2": rate(F.col("n_symbols"), 1, n / 200),
+        "_x3": rate(F.col("n_dup_lines"), 2, F.col("_lines") / 10), "_x4": rate(F.col("n_repeat_words") / 5, 3, n / 200),
     }).drop("_w", "_l", "_plain", "_unmarked", "_len", "_lines")
 
 
-def assign_groups(rows: DataFrame) -> DataFrame:
-    """How many rows each language and source has, and the key (_g) of the estimate that it uses."""
-    n = rows.groupBy(*GROUP).agg(F.count("*").alias("_n"))
-    n = n.withColumn("_small", F.sum(F.when(F.col("_n") < LEAST, F.col("_n"))).over(Window.partitionBy("_lang")))
-    own, pooled = F.concat_ws("\x01", F.lit("s"), "_lang", "_source"), F.concat_ws("\x01", F.lit("l"), "_lang")
-    return n.select(*GROUP, F.when(F.col("_n") >= LEAST, own).when(F.col("_small") >= LEAST, pooled).otherwise("rest").alias("_g"))
-
-
-def moments(rows: DataFrame, factor: float) -> DataFrame:
-    """For each _g: the number of rows, their mean and the inverse of the lower Cholesky factor of the floored scatter."""
-    cross = [(i, j) for i in range(5) for j in range(i + 1)]
-    sums = rows.groupBy("_g").agg(F.count("*").alias("_n"), *[F.avg(x).alias(f"_m{i}") for i, x in enumerate(X)], *[F.covar_pop(X[i], X[j]).alias(f"_s{i}{j}") for i, j in cross])
-    out = sums.select("_g", "_n", *[f"_m{i}" for i in range(5)], *[(F.col(f"_s{i}{j}") * factor + (FLOOR[i] ** 2 if i == j else 0)).alias(f"_s{i}{j}") for i, j in cross])
-    return inverse_factor(out)
-
-
 def inverse_factor(out: DataFrame) -> DataFrame:
-    """Adds _v00 .. _v44, the inverse of the Cholesky factor of _s00 .. _s44."""
+    """Adds _v00 .. _v44, the inverse of the Cholesky factor of _s00 .. _s44, and _logdet, the log determinant of the latter."""
     c = F.col
     for j in range(5):
         for i in range(j, 5):
@@ -103,7 +97,8 @@ def inverse_factor(out: DataFrame) -> DataFrame:
         for i in range(j, 5):
             done = reduce(lambda a, k: a - c(f"_c{i}{k}") * c(f"_v{k}{j}"), range(j, i), F.lit(1.0 if i == j else 0.0))
             out = out.withColumn(f"_v{i}{j}", done / c(f"_c{i}{i}"))
-    return out.select("_g", "_n", *[f"_m{i}" for i in range(5)], *[f"_v{i}{j}" for i in range(5) for j in range(i + 1)])
+    logdet = reduce(lambda a, i: a + 2 * F.log(c(f"_c{i}{i}")), range(5), F.lit(0.0))
+    return out.withColumn("_logdet", logdet).drop(*[f"_c{i}{j}" for i, j in PAIRS])
 
 
 def distance() -> Column:
@@ -112,35 +107,110 @@ def distance() -> Column:
     return reduce(lambda a, i: a + F.pow(part(i), F.lit(2.0)), range(5), F.lit(0.0))
 
 
-def fit_mcd(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(groups, estimates) from the rows of stats that pass the base; both are written, and small: a row for each language and source."""
+#: Sums of a set of rows, about the medians _o of their group.
+SUMS = ["_n", *[f"_a{i}" for i in range(5)], *[f"_q{i}{j}" for i, j in PAIRS]]
+#: What is fixed for each group: its size, medians, and the mean, scatter and weight (in rows) that its estimate is mixed with.
+FRAME = ["_g", "_total", "_prior", *[f"_o{i}" for i in range(5)], *[f"_u{i}" for i in range(5)], *[f"_t{i}{j}" for i, j in PAIRS]]
+
+
+def sums_of_rows() -> list[Column]:
+    off = [F.col(x) - F.col(f"_o{i}") for i, x in enumerate(X)]
+    return [F.count("*").alias("_n"), *[F.sum(off[i]).alias(f"_a{i}") for i in range(5)], *[F.sum(off[i] * off[j]).alias(f"_q{i}{j}") for i, j in PAIRS]]
+
+
+def estimate(sums: DataFrame, frame: DataFrame, factor: float) -> DataFrame:
+    """The estimates of groups from the sums over their nearest rows, mixed with what frame says; groups without sums get the latter alone."""
+    own = F.col("_n") / (F.col("_n") + F.col("_prior"))
+    mean = [F.col(f"_a{i}") / F.col("_n") for i in range(5)]
+    mixed = lambda value, other: F.coalesce(own * value, F.lit(0.0)) + (1 - F.coalesce(own, F.lit(0.0))) * F.col(other)
+    out = frame.join(sums, "_g", "left").withColumn("_s", F.coalesce("_s", F.lit(0)))
+    out = out.select(*FRAME, "_s", *[mixed(F.col(f"_o{i}") + mean[i], f"_u{i}").alias(f"_m{i}") for i in range(5)], *[mixed(factor * (F.col(f"_q{i}{j}") / F.col("_n") - mean[i] * mean[j]), f"_t{i}{j}").alias(f"_s{i}{j}") for i, j in PAIRS])
+    return inverse_factor(out).drop(*[f"_s{i}{j}" for i, j in PAIRS])
+
+
+def spread(rows: DataFrame, medians: DataFrame) -> DataFrame:
+    """medians with the median deviations _d of each group."""
+    deviation = [F.percentile_approx(F.abs(F.col(x) - F.col(f"_o{i}")), 0.5, 10000).alias(f"_d{i}") for i, x in enumerate(X)]
+    return medians.join(rows.join(medians, "_g").groupBy("_g").agg(*deviation), "_g").withColumns({f"_d{i}": F.greatest(F.col(f"_d{i}") * 1.4826, F.lit(TINY)) for i in range(5)})
+
+
+def starts(rows: DataFrame, frame: DataFrame, scales: DataFrame) -> DataFrame:
+    """The three first estimates of each group, by _s."""
+    z = [(F.col(x) - F.col(f"_o{i}")) / F.col(f"_d{i}") for i, x in enumerate(X)]
+    t, norm = [F.tanh(v) for v in z], reduce(lambda a, v: a + v * v, z, F.lit(1e-12))
+    per = rows.join(scales, "_g").groupBy("_g", *[f"_d{i}" for i in range(5)])
+    per = per.agg(*[F.covar_pop(t[i], t[j]).alias(f"_tanh{i}{j}") for i, j in PAIRS], *[(5 * F.avg(z[i] * z[j] / norm)).alias(f"_sign{i}{j}") for i, j in PAIRS])
+    own = F.col("_total") / (F.col("_total") + F.col("_prior"))
+    kinds = [[F.lit(1.0 if i == j else 0.0) for i, j in PAIRS], [F.col(f"_tanh{i}{j}") for i, j in PAIRS], [F.col(f"_sign{i}{j}") for i, j in PAIRS]]
+    scatter = [[(own * kind[k] * F.col(f"_d{i}") * F.col(f"_d{j}") + (1 - own) * F.col(f"_t{i}{j}")).alias(f"_s{i}{j}") for k, (i, j) in enumerate(PAIRS)] for kind in kinds]
+    one = F.explode(F.array(*[F.struct(F.lit(s).alias("_s"), *scatter[s]) for s in range(3)])).alias("_one")
+    out = per.join(frame, "_g").select(*FRAME, *[F.col(f"_o{i}").alias(f"_m{i}") for i in range(5)], one)
+    return inverse_factor(out.select("*", "_one.*").drop("_one")).drop(*[f"_s{i}{j}" for i, j in PAIRS])
+
+
+def concentrate(rows: DataFrame, estimates: DataFrame, frame: DataFrame) -> DataFrame:
+    """One concentration step of all estimates: those of the nearest SHARE of the rows of each."""
+    binned = rows.join(estimates, "_g").withColumn("_bin", F.floor(F.log1p(distance()) * 64))
+    bins = written(binned.groupBy("_g", "_s", "_bin").agg(F.first("_total").alias("_total"), *sums_of_rows()), "mcd-bins")
+    before = F.sum("_n").over(Window.partitionBy("_g", "_s").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+    nearest = bins.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < SHARE * F.col("_total"))
+    out = written(estimate(nearest.groupBy("_g", "_s").agg(*[F.sum(c).alias(c) for c in SUMS]), frame, FACTOR), "mcd-step")
+    discard(bins)
+    return out
+
+
+def least_determinant(estimates: DataFrame) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("_g").orderBy("_logdet", "_s"))
+    return estimates.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+
+def fit_level(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """The estimates (_g, _m, _v and the scatter's factors) of the groups _g of rows; prior: for each _g the columns _u, _t that they are mixed with, else their medians and deviations. Written, a row for each group."""
+    medians = rows.groupBy("_g").agg(F.count("*").alias("_total"), *[F.percentile_approx(x, 0.5, 10000).alias(f"_o{i}") for i, x in enumerate(X)])
+    scales = written(spread(rows, written(medians, "mcd-medians")), "mcd-scales")
+    if prior is None:
+        own = {f"_t{i}{j}": F.col(f"_d{i}") * F.col(f"_d{j}") if i == j else F.lit(0.0) for i, j in PAIRS}
+        frame = scales.withColumns({"_prior": F.lit(LANGUAGE_PRIOR), **{f"_u{i}": F.col(f"_o{i}") for i in range(5)}, **own})
+    else:
+        frame = scales.join(prior, "_g").withColumn("_prior", F.lit(PRIOR))
+    frame = written(frame.select(*FRAME), "mcd-frame")
+    now = written(starts(rows, frame, scales.select("_g", *[f"_{k}{i}" for k in "od" for i in range(5)])).drop(*[f"_d{i}" for i in range(5)]), "mcd-start")
+    for _ in range(TRIES):
+        now = concentrate(rows, now, frame)
+    best = written(least_determinant(now), "mcd-best")
+    for _ in range(STEPS):
+        now = concentrate(rows, best, frame)
+        fall = best.join(now.select("_g", F.col("_logdet").alias("_next")), "_g").agg(F.max(F.col("_logdet") - F.col("_next"))).first()[0]
+        if fall is None or fall < SETTLED:
+            break
+        best = written(least_determinant(best.unionByName(now)), "mcd-best")
+    inside = rows.join(best, "_g").filter(distance() <= INNER).groupBy("_g", "_s").agg(*sums_of_rows())
+    return written(estimate(inside, frame, INNER_FACTOR), "mcd-final")
+
+
+def scatter_of(level: DataFrame) -> list[Column]:
+    """The mean (_u) and scatter (_t) of estimates, from the inverse of its factor: the factor is found by forward substitution."""
+    c = {(i, i): 1 / F.col(f"_v{i}{i}") for i in range(5)}
+    # L V = I, so L[i][j] = -(sum over k from j + 1 to i of L[i][k] V[k][j]) / V[j][j]
+    for i in range(5):
+        for j in range(i - 1, -1, -1):
+            c[i, j] = -reduce(lambda a, k: a + c[i, k] * F.col(f"_v{k}{j}"), range(j + 1, i + 1), F.lit(0.0)) / F.col(f"_v{j}{j}")
+    return [*[F.col(f"_m{i}").alias(f"_u{i}") for i in range(5)], *[reduce(lambda a, k: a + c[i, k] * c[j, k], range(j + 1), F.lit(0.0)).alias(f"_t{i}{j}") for i, j in PAIRS]]
+
+
+def fit_mcd(stats: DataFrame) -> DataFrame:
+    """The estimates of each language and source, from the rows of stats that pass the base: a written row for each."""
     rows = stats.filter(~F.col("base_failed")).select(*GROUP, *X)
-    groups = written(assign_groups(rows), "mcd-groups")
-    rows = rows.join(groups, GROUP)
-    median = lambda what: F.round(F.percentile_approx(what, 0.5, 10000), 3)
-    centre = written(rows.groupBy("_g").agg(F.count("*").alias("_n"), *[median(x).alias(f"_m{i}") for i, x in enumerate(X)]), "mcd-centre")
-    off = rows.join(centre, "_g").groupBy("_g", "_n", *[f"_m{i}" for i in range(5)])
-    off = off.agg(*[median(F.abs(F.col(x) - F.col(f"_m{i}"))).alias(f"_d{i}") for i, x in enumerate(X)])
-    scatter = [(F.pow(F.col(f"_d{i}") * 1.4826, F.lit(2.0)) + FLOOR[i] ** 2 if i == j else F.lit(0.0)).alias(f"_s{i}{j}") for i in range(5) for j in range(i + 1)]
-    estimate = written(inverse_factor(off.select("_g", "_n", *[f"_m{i}" for i in range(5)], *scatter)), "mcd-start")
-    total = estimate.select("_g", F.col("_n").alias("_total"))
-    for k in range(STEPS):
-        near = rows.join(estimate, "_g").withColumn("_bin", F.floor(F.log1p(distance()) * 64))
-        bins = near.groupBy("_g", "_bin").agg(F.count("*").alias("_rows"))
-        upto = F.sum("_rows").over(Window.partitionBy("_g").orderBy("_bin"))
-        last = bins.withColumn("_upto", upto).join(total, "_g").filter(F.col("_upto") >= SHARE * F.col("_total")).groupBy("_g").agg(F.min("_bin").alias("_last"))
-        last = written(last, "mcd-nearest")
-        inside = near.drop("_n", *[f"_m{i}" for i in range(5)]).join(last, "_g").filter(F.col("_bin") <= F.col("_last"))
-        estimate = written(moments(inside.select("_g", *X), FACTOR), f"mcd-step{k}")
-    inside = rows.join(estimate, "_g").filter(distance() <= INNER).select("_g", *X)
-    final = moments(inside, INNER_FACTOR).filter(F.col("_n") >= LEAST // 2).join(total.filter(F.col("_total") >= LEAST), "_g", "left_semi")
-    return groups, written(final, "mcd-final")
-
-
-def apply_mcd(stats: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Adds distance (null without an estimate) and kept."""
-    model = groups.join(estimates, "_g").drop("_g", "_n")
-    out = stats.join(written(model, "mcd-model"), GROUP, "left").withColumn("distance", distance())
+    languages = fit_level(rows.select(F.col("_lang").alias("_g"), *X), None)
+    own = F.concat_ws("\x01", *GROUP).alias("_g")
+    prior = rows.select("_lang", own).distinct().join(languages.select(F.col("_g").alias("_lang"), *scatter_of(languages)), "_lang").drop("_lang")
+    return fit_level(rows.select(own, *X), written(prior, "mcd-prior"))
+
+
+def apply_mcd(stats: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Adds distance (null without an estimate, that is where every row of the language and source fails the base) and kept."""
+    model = estimates.select(F.col("_g"), *[f"_m{i}" for i in range(5)], *[f"_v{i}{j}" for i, j in PAIRS])
+    out = stats.withColumn("_g", F.concat_ws("\x01", *GROUP)).join(model, "_g", "left").withColumn("distance", distance())
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True)))
 
 
@@ -148,15 +218,11 @@ def judge_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the base counts, base_failed, distance and kept. The statistics are computed twice, the texts never written."""
     docs = docs.drop(*COUNTS, "base_failed", "distance", "kept")
     stats = statistics(docs.select(F.struct("*").alias("_row"), text, "lang", "source"), text)
-    groups, estimates = fit_mcd(written(stats.select(*GROUP, *X, "base_failed"), "mcd-rows"))
-    return apply_mcd(stats, groups, estimates).select("_row.*", *COUNTS, "base_failed", "distance", "kept")
+    estimates = fit_mcd(written(stats.select(*GROUP, *X, "base_failed"), "mcd-rows"))
+    return apply_mcd(stats, estimates).select("_row.*", *COUNTS, "base_failed", "distance", "kept")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     stats = written(statistics(docs).drop("text"), "mcd-stats")
-    return apply_mcd(stats, *fit_mcd(stats)).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
-
-
-#: What the tests assert of the types of the result.
-SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in COUNTS], T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType()), T.StructField("distance", T.DoubleType())])
+    return apply_mcd(stats, fit_mcd(stats)).select("doc_id", *COUNTS, "base_failed", "kept", "distance")

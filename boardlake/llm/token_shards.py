@@ -6,17 +6,20 @@ split's first sequence is a prefix sum over the splits. The slot of a sequence i
 network over the next even number of bits, keyed, walked again while its value is N or more (cycle-walking). So any slot's
 place is known without a table, and another key gives another epoch's order.
 
-Shard s holds the slots from s * SHARD on. Sequences are dealt by shard and sorted by slot, and each task writes whole
-shards: records of one stride, a count of ids (2 bytes) and LENGTH ids of 2 bytes, little endian. A shard is written under
-a name of its own and then moved, so a task that runs again, or twice, leaves the same file. A reader finds slot i at byte
-(i % SHARD) * stride of shard i // SHARD and can resume at any slot (`read_slots`).
+Shard s holds the slots from s * SHARD on. The slots are cut into ranges of whole shards, each range goes to the partition
+of its own number (`repartitionById`, so no range shares a task with another and no sample is drawn) and is sorted by slot,
+and each task writes whole shards: records of one stride, a count of ids (2 bytes) and LENGTH ids of 2 bytes, little
+endian. A shard is written in a folder of its attempts and then moved, and that folder is deleted with what dead attempts
+left; so a task that runs again, or twice, leaves the same file. A reader finds slot i at byte (i % SHARD) * stride of
+shard i // SHARD and can resume at any slot (`read_slots`).
 
 The texts are tokenised twice, first to count, then to write: the ids are never stored in between, and the texts never
-cross the network, only finished sequences do, once.
+cross the network, only finished sequences do, once. Both passes must see the same splits of the input; the second checks
+that each split gives as many sequences as the first counted, and fails where it does not.
 
 Defined results: a null or empty text is one sequence of the end id alone. Repeated rows are sequences of their own. Null
-ids stay null. An empty table has no slots and writes no shard. The input is a table of Parquet files (others are written
-as such first), read twice with the same splits; other columns are not read.
+ids stay null. An empty table has no slots and writes no shard. The input is a table of files; what is none, such as a
+created DataFrame or the result of a join, is written as one first. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,17 +33,21 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared_dir, table
+from .common import shared_dir, table, written
 
 LENGTH = 512
-SHARD = 4096
+#: Slots of a shard: 64 MiB with the stride of 1026 bytes.
+SHARD = 1 << 16
 END_ID = 50256
 #: Splits of the input whose first numbers are broadcast, 100 bytes or so each; with more, texts are sorted by split.
 SPLITS = 200_000
+#: Most partitions that write; a partition takes several shards where there are more.
+WRITERS = 20_000
 KEY = 0x5EED
 ROUNDS = 6
 U64 = np.uint64
@@ -107,10 +114,10 @@ def count_sequences(path: str, length: int):
 
 
 def cut(path: str, length: int, n: int, key: int, shard: int):
-    """Sequences with their slots; `first` is the number of the split's first sequence."""
+    """Sequences with their slots. `first` is the number of the split's first sequence and `expected` how many it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = {}
+        at: dict = {}  # the splits of a task are few: the next number, and the end, of each
         for batch in batches:
             doc, chunk, number, sizes, body = [], [], [], [], []
 
@@ -118,18 +125,23 @@ def cut(path: str, length: int, n: int, key: int, shard: int):
                 slot = permute(np.array(number, np.int64), n, key)
                 return pa.RecordBatch.from_arrays([pa.array(slot // shard), pa.array(slot), pa.array(doc, pa.int64()), pa.array(chunk, pa.int32()), pa.array(sizes, pa.int32()), pa.array(body, pa.binary())], names=["shard", "slot", "doc_id", "chunk", "n_tokens", "ids"])
 
-            for d, t, f, b, first in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("file").to_pylist(), batch.column("block").to_pylist(), batch.column("first").to_pylist(), strict=True):
+            for d, t, f, b, first, expected in zip(batch.column("doc_id").to_pylist(), batch.column("text"), *(batch.column(c).to_pylist() for c in ("file", "block", "first", "expected")), strict=True):
+                if first is None:
+                    raise ValueError(f"split {b} of {f} was not counted: the splits of the two passes differ")
                 ids = ids_of(t.as_py(), path)
-                at = seen.get((f, b), first)
+                begin = at.get((f, b), (first, 0))[0]
                 for k, lo in enumerate(range(0, len(ids), length)):
                     part = ids[lo : lo + length]
-                    doc.append(d), chunk.append(k), number.append(at + k), sizes.append(len(part)), body.append(part.tobytes())
-                seen[f, b] = at + -(-len(ids) // length)
+                    doc.append(d), chunk.append(k), number.append(begin + k), sizes.append(len(part)), body.append(part.tobytes())
+                at[f, b] = begin + -(-len(ids) // length), first + expected
                 if len(number) > 4000:
                     yield full()
                     doc, chunk, number, sizes, body = [], [], [], [], []
             if number:
                 yield full()
+        for split, (got, end) in at.items():
+            if got != end:
+                raise ValueError(f"split {split} has {got - end} sequences more than counted: the splits of the two passes differ")
 
     return run
 
@@ -145,7 +157,8 @@ def write_shards(folder: str, length: int, shard: int):
         def close() -> None:
             if out is not None:
                 out.close()
-                store.move(f"{root}/{name}.{mark}", f"{root}/{name}")
+                store.move(f"{root}/tries/{name}/{mark}", f"{root}/{name}")
+                store.delete_dir(f"{root}/tries/{name}")
 
         mark = uuid.uuid4().hex
         for batch in batches:
@@ -154,7 +167,8 @@ def write_shards(folder: str, length: int, shard: int):
                 if name != f"shard-{s:08d}.bin":
                     close()
                     name = f"shard-{s:08d}.bin"
-                    out = store.open_output_stream(f"{root}/{name}.{mark}")
+                    store.create_dir(f"{root}/tries/{name}", recursive=True)
+                    out = store.open_output_stream(f"{root}/tries/{name}/{mark}")
                 record = k.to_bytes(2, "little") + raw.as_py()
                 out.write(record + b"\0" * (stride - len(record)))
                 crc.append(zlib.crc32(raw.as_py()))
@@ -179,28 +193,36 @@ def read_slots(folder: str, first: int, count: int, length: int = LENGTH, shard:
         slot = upto
 
 
+def from_files(docs: DataFrame) -> DataFrame:
+    """doc_id and text of docs with the file, split and place of each row; docs without files are written first."""
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    where = [F.col(f"_metadata.{c}").alias(a) for c, a in (("file_path", "file"), ("file_block_start", "block"), ("row_index", "at"))]
+    try:
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *where)
+    except AnalysisException:
+        return written(some, "token-texts").select("doc_id", "text", *where)
+
+
 def materialise(docs: DataFrame, folder: str, length: int = LENGTH, shard: int = SHARD, key: int = KEY, path: str | None = None) -> DataFrame:
-    """Writes the shards to folder, a URI of a shared store, when the result is run: slot, doc_id, chunk, n_tokens, shard and ids_crc32 of each sequence. docs: doc_id and text, read from files."""
+    """Writes the shards to folder, a URI of a shared store, when the result is run: slot, doc_id, chunk, n_tokens, shard and ids_crc32 of each sequence. docs: doc_id and text."""
     path = path or vocabulary()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.row_index").alias("at"))
+    rows = from_files(docs)
     counted = rows.select("text", "file", "block").mapInArrow(count_sequences(path, length), "file string, block long, n long")
     # a row for each split of the input, not for each text
-    splits = counted.groupBy("file", "block").agg(F.sum("n").alias("n"))
-    splits = splits.withColumn("first", F.sum("n").over(Window.orderBy("file", "block")) - F.col("n"))
-    known = f"{shared_dir(docs.sparkSession)}/splits-{uuid.uuid4().hex}"
-    splits.write.parquet(known)
-    splits = docs.sparkSession.read.schema(splits.schema).parquet(known)
-    n, many = splits.agg(F.sum("n"), F.count("*")).first()
+    splits = counted.groupBy("file", "block").agg(F.sum("n").alias("expected"))
+    splits = written(splits.withColumn("first", F.sum("expected").over(Window.orderBy("file", "block")) - F.col("expected")), "token-splits")
+    n, many = splits.agg(F.sum("expected"), F.count("*")).first()
     n = n or 0
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
-    starts = splits.select("file", "block", "first")
     if many <= SPLITS:  # rows keep their order within a split
-        placed = rows.join(F.broadcast(starts), ["file", "block"])
+        placed = rows.join(F.broadcast(splits), ["file", "block"], "left")
     else:
-        placed = rows.join(starts, ["file", "block"]).repartition("file", "block").sortWithinPartitions("file", "block", "at")
-    sequences = placed.select("doc_id", "text", "file", "block", "first").mapInArrow(cut(path, length, n, key, shard), "shard long, slot long, doc_id long, chunk int, n_tokens int, ids binary")
-    dealt = sequences.repartition("shard").sortWithinPartitions("slot")
+        placed = rows.join(splits, ["file", "block"], "left").repartition("file", "block").sortWithinPartitions("file", "block", "at")
+    sequences = placed.select("doc_id", "text", "file", "block", "first", "expected").mapInArrow(cut(path, length, n, key, shard), "shard long, slot long, doc_id long, chunk int, n_tokens int, ids binary")
+    shards = max(-(-n // shard), 1)
+    each = -(-shards // WRITERS)
+    dealt = sequences.repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("slot")
     return dealt.mapInArrow(write_shards(folder, length, shard), "slot long, doc_id long, chunk int, n_tokens int, shard long, ids_crc32 long")
 
 

@@ -5,11 +5,13 @@ hashed; a text is the mean of its words, where a word counts SMOOTH / (SMOOTH +
 together by full-batch Adam. Because words share n-gram vectors, spellings never seen in training score like their kin.
 
 Training takes labelled rows up to `CLASS_ROWS` of each class (the ones with the lowest hash of doc_id, so the choice is
-the same on every run); the shares of the classes among all labelled rows then set the bias. Scoring covers every row with
+the same on every run) and up to `TRAIN_BYTES` of whole texts, in the same order; the shares of the classes among all
+labelled rows then set the bias. Both bounds limit what is fitted on, and so what the driver holds. Scoring covers every row with
 whole texts, from a table of one number for each n-gram bucket (`2 ** BITS` numbers, whatever the input).
 
 Defined results: a null or empty text has the score of the bias alone. Labels other than 0 and 1, labels of unknown
-documents and null ids are not learnt from; if a class has no labelled row, every score is that of an even bias. Repeated
+documents, null ids and ids with both labels are not learnt from; of several texts with one id the shortest is (the least
+of equal length). If a class has no labelled row, every score is that of an even bias. Repeated
 rows each get their score; other columns are not read.
 """
 
@@ -22,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import table
 
@@ -29,7 +32,7 @@ BITS = 18
 DIM = 4
 SIZES = (3, 4, 5, 6)
 CLASS_ROWS = 3000
-LEAST_TEXTS = 3
+TRAIN_BYTES = 32 << 20
 #: Settings of the training: scale of the layer's input, share of the largest step size that evens out the others, decay, and the frequency at which a word's weight is halved.
 GAIN, FLAT, DECAY, SMOOTH = 200.0, 1e-3, 2e-4, 3e-3
 CACHE = 400_000
@@ -77,21 +80,14 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
         docs.append(np.full(len(own), d, np.int32)), found.append(own), times.append(n.astype(np.int32))
         sizes[d] = max(len(every), 1)
     doc, word, n = np.concatenate(docs), np.concatenate(found), np.concatenate(times)
-    kept = np.flatnonzero(np.bincount(word, minlength=len(ids)) >= LEAST_TEXTS)
-    if not len(kept):
+    if not len(ids):
         return np.zeros(1 << BITS, np.float32), 0.0, {}
     often = np.bincount(word, n, len(ids))
     weight_of = SMOOTH / (SMOOTH + often / often.sum())
-    place = np.full(len(ids), -1, np.int32)
-    place[kept] = np.arange(len(kept))
-    inside = place[word] >= 0
-    doc, word, n = doc[inside], word[inside], n[inside]
     share = n * weight_of[word] / sizes[doc]
-    word = place[word]
-    names = list(ids)
-    vocabulary = [names[i] for i in kept]
-    frequent = {w: v for w, v in zip(vocabulary, weight_of[kept].tolist(), strict=True) if v < 0.98}
-    del ids, names, docs, found, times, place
+    vocabulary = list(ids)
+    frequent = {w: v for w, v in zip(vocabulary, weight_of.tolist(), strict=True) if v < 0.98}
+    del ids, docs, found, times
     owner, bucket = buckets(vocabulary)
     part = 1 / np.bincount(owner, minlength=len(vocabulary))[owner]
     used, bucket = np.unique(bucket, return_inverse=True)
@@ -120,13 +116,17 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, learn_from) -> tuple[list, dict[int, int]]:
-    """Up to CLASS_ROWS rows of each class that learn_from admits, and how many of each class there are."""
-    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learn_from).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    """Up to CLASS_ROWS rows of each class and TRAIN_BYTES of text that learn_from admits, and how many of each class there are."""
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learn_from).groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("_other"))
+    known = known.filter(F.col("toxic") == F.col("_other")).select("doc_id", "toxic")
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.filter(F.col("toxic") == k).orderBy(*order).limit(CLASS_ROWS) for k in (0, 1)]
-    rows = docs.select("doc_id", "text").join(chosen[0].unionByName(chosen[1]), "doc_id").orderBy("doc_id", "text").collect()
-    return rows, shares
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("t"))
+    # a window over the chosen rows, 2 * CLASS_ROWS at most
+    rows = rows.withColumn("upto", F.sum("t.size").over(Window.orderBy(*order))).filter(F.col("upto") <= TRAIN_BYTES)
+    return rows.orderBy("doc_id").select("doc_id", "toxic", "t.text").collect(), shares
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from) -> tuple[np.ndarray, float, dict[str, float]]:

@@ -5,7 +5,7 @@ rule. Its features are the byte n-grams of 3 to 5 bytes of the host and of the p
 stand in; a URL's vector has length one. Scoring runs over Arrow batches with no loop over rows.
 
 Defined results: a null url, or one without "://", has an empty host and path, no rule, and the verdict the model gives
-to empty input (its bias, "allow" with the built-in table). Repeated rows and ties are judged one by one, other columns
+to empty input (the built-in table labels it "allow"). Repeated rows and ties are judged one by one, other columns
 are not read.
 """
 
@@ -34,7 +34,7 @@ BAD_PATHS = "buy win free order deal bonus promo xxx pills casino".split()
 
 
 def labelled_urls(n: int = 1600, seed: int = 7) -> list[tuple[str, str, int]]:
-    """A table of (host, path, label), half of it label 1 (block), made by rule from the word lists above.
+    """A table of (host, path, label), half of it label 1 (block), made by rule from the word lists above, with some rows of label 0 for no url.
 
     Hosts of label 0 are a known plain word or a made-up name, those of label 1 join two words of the list of bad ones, or
     one of those with a made-up name. Top-level domains, prefixes and languages are dealt evenly, so they carry no sign.
@@ -60,7 +60,7 @@ def labelled_urls(n: int = 1600, seed: int = 7) -> list[tuple[str, str, int]]:
         host = rng.choice(["", "", "www.", "m.", "blog."]) + name + rng.choice([".com", ".net", ".org", ".example.com", ".example.net", ".example.org"])
         tail = rng.choice([f"/{path}", f"/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.randint(1, 999)}", f"/{rng.choice(['en', 'de', 'fr', 'es'])}/{path}.html", "", "/"])
         out.append((host, tail, bad))
-    return out
+    return out + [("", "", 0)] * (n // 100)
 
 
 def grams(hosts: list[str], paths: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,16 +89,17 @@ def grams(hosts: list[str], paths: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(urls: list[tuple[str, str, int]], epochs: int = 200, rate: float = 8.0, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of the logistic regression, by full-batch gradient steps."""
+    """Weights and bias of the logistic regression, both by full-batch gradient steps."""
     hosts, paths, label = zip(*urls, strict=True)
     row, bucket = grams(list(hosts), list(paths))
     y = np.array(label, np.float64)
     scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(y)), 1))
-    w, bias = np.zeros(1 << BITS), -1.0
+    w, bias = np.zeros(1 << BITS), 0.0
     for _ in range(epochs):
         z = np.bincount(row, w[bucket], len(y)) * scale + bias
         err = (1 / (1 + np.exp(-z)) - y) / len(y)
         w -= rate * 10 * np.bincount(bucket, (err * scale)[row], len(w)) + decay * w
+        bias -= rate / 8 * err.sum()
     return w.astype(np.float32), bias
 
 
