@@ -340,6 +340,8 @@ def labelled_pages(n: int = 600, seed: int = 3) -> tuple[list[str], list[list[in
         return f"<p>{t}</p>" if rng.random() < 0.9 else f"<p><b>{t}<br>"
 
     def body() -> str:
+        if rng.random() < 0.12:
+            return paragraph()
         parts = [f"<h1>{words(2, 10)}</h1>"] if rng.random() < 0.8 else []
         if rng.random() < 0.2:  # hardly any text
             return "".join(parts + [rng.choice([f"<p>{words(1, 6)}</p>", f"<p><b>{words(1, 5)}.<br>"]) for _ in range(rng.randint(1, 3))])
@@ -376,7 +378,11 @@ def labelled_pages(n: int = 600, seed: int = 3) -> tuple[list[str], list[list[in
         elif rng.random() < 0.3:
             core = f"<div class=wrap>{core}{''.join(around())}</div>"
         foot = rng.choice([f"<footer>&copy; {words(2, 14)}</footer>", f"<footer><p>{words(2, 20)}</p><ul>{links(1, 4)}</ul></footer>", f"<div {named('foot')}><p>{words(2, 20)}</p></div>", ""])
-        page = f"<html><head><title>{words(2, 5)}</title></head><body>{''.join(around())}{core}{''.join(around())}{foot}</body></html>"
+        inside = f"{''.join(around())}{core}{''.join(around())}{foot}"
+        if rng.random() < 0.1:  # a fragment, often without anything around the article
+            page = rng.choice([inside, core])
+        else:
+            page = f"<html><head><title>{words(2, 5)}</title></head><body>{inside}</body></html>"
         labels.append(labels_of(page, mark))
         pages.append(page.replace(mark, ""))
     return pages, labels

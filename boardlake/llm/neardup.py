@@ -50,7 +50,7 @@ LEAST = 27
 #: Chance that two sets of similarity 0.8 meet in a leaf.
 RECALL = 0.9999
 DEPTH = 6
-SMALL = 64
+SMALL = 1024
 BLOCK = 1024
 BLOCK_GRAMS = 300_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -86,46 +86,44 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     }).drop("_w", "_l", "_plain", "_unmarked", "_len", "_lines")
 
 
+def _less(start: str, terms: list[str]) -> str:
+    return " - ".join([start, *terms])
+
+
+#: The Cholesky factor _c of _s, its inverse _v, and the log determinant of _s, each from those before it.
+FACTOR_SQL = [f"sqrt({_less(f'_s{j}{j}', [f'_c{j}{k} * _c{j}{k}' for k in range(j)])}) as _c{j}{j}" if i == j else f"({_less(f'_s{i}{j}', [f'_c{i}{k} * _c{j}{k}' for k in range(j)])}) / _c{j}{j} as _c{i}{j}" for j in range(5) for i in range(j, 5)]
+INVERSE_SQL = [f"({_less('1D' if i == j else '0D', [f'_c{i}{k} * _v{k}{j}' for k in range(j, i)])}) / _c{i}{i} as _v{i}{j}" for j in range(5) for i in range(j, 5)]
+LOGDET_SQL = " + ".join(f"2 * ln(_c{i}{i})" for i in range(5)) + " as _logdet"
+#: Squared Mahalanobis distance of a row that is joined with its estimate.
+DISTANCE_SQL = " + ".join("power(" + " + ".join(f"_v{i}{j} * (_x{j} - _m{j})" for j in range(i + 1)) + ", 2)" for i in range(5))
+#: Sums of a set of rows, about the medians _o of their group.
+SUMS = ["_n", *[f"_a{i}" for i in range(5)], *[f"_q{i}{j}" for i, j in PAIRS]]
+SUMS_SQL = ["count(*) as _n", *[f"sum(_x{i} - _o{i}) as _a{i}" for i in range(5)], *[f"sum((_x{i} - _o{i}) * (_x{j} - _o{j})) as _q{i}{j}" for i, j in PAIRS]]
+
+
 def inverse_factor(out: DataFrame) -> DataFrame:
-    """Adds _v00 .. _v44, the inverse of the Cholesky factor of _s00 .. _s44, and _logdet, the log determinant of the latter."""
-    c = F.col
-    for j in range(5):
-        for i in range(j, 5):
-            rest = reduce(lambda a, k: a - c(f"_c{i}{k}") * c(f"_c{j}{k}"), range(j), c(f"_s{i}{j}"))
-            out = out.withColumn(f"_c{i}{j}", F.sqrt(rest) if i == j else rest / c(f"_c{j}{j}"))
-    for j in range(5):
-        for i in range(j, 5):
-            done = reduce(lambda a, k: a - c(f"_c{i}{k}") * c(f"_v{k}{j}"), range(j, i), F.lit(1.0 if i == j else 0.0))
-            out = out.withColumn(f"_v{i}{j}", done / c(f"_c{i}{i}"))
-    logdet = reduce(lambda a, i: a + 2 * F.log(c(f"_c{i}{i}")), range(5), F.lit(0.0))
-    return out.withColumn("_logdet", logdet).drop(*[f"_c{i}{j}" for i, j in PAIRS])
+    """Adds _v00 .. _v44, the inverse of the Cholesky factor of _s00 .. _s44, and _logdet, the log determinant of the latter, which goes."""
+    return out.selectExpr("*", *FACTOR_SQL, *INVERSE_SQL, LOGDET_SQL).drop(*[f"_{k}{i}{j}" for k in "cs" for i, j in PAIRS])
 
 
 def distance() -> Column:
-    """Squared Mahalanobis distance of a row that is joined with its estimate."""
-    part = lambda i: reduce(lambda a, j: a + F.col(f"_v{i}{j}") * (F.col(X[j]) - F.col(f"_m{j}")), range(i + 1), F.lit(0.0))
-    return reduce(lambda a, i: a + F.pow(part(i), F.lit(2.0)), range(5), F.lit(0.0))
+    return F.expr(DISTANCE_SQL)
 
 
-#: Sums of a set of rows, about the medians _o of their group.
-SUMS = ["_n", *[f"_a{i}" for i in range(5)], *[f"_q{i}{j}" for i, j in PAIRS]]
 #: What is fixed for each group: its size, medians, and the mean, scatter and weight (in rows) that its estimate is mixed with.
 FRAME = ["_g", "_total", "_prior", *[f"_o{i}" for i in range(5)], *[f"_u{i}" for i in range(5)], *[f"_t{i}{j}" for i, j in PAIRS]]
 
 
 def sums_of_rows() -> list[Column]:
-    off = [F.col(x) - F.col(f"_o{i}") for i, x in enumerate(X)]
-    return [F.count("*").alias("_n"), *[F.sum(off[i]).alias(f"_a{i}") for i in range(5)], *[F.sum(off[i] * off[j]).alias(f"_q{i}{j}") for i, j in PAIRS]]
+    return [F.expr(x) for x in SUMS_SQL]
 
 
 def estimate(sums: DataFrame, frame: DataFrame, factor: float) -> DataFrame:
     """The estimates of groups from the sums over their nearest rows, mixed with what frame says; groups without sums get the latter alone."""
-    own = F.col("_n") / (F.col("_n") + F.col("_prior"))
-    mean = [F.col(f"_a{i}") / F.col("_n") for i in range(5)]
-    mixed = lambda value, other: F.coalesce(own * value, F.lit(0.0)) + (1 - F.coalesce(own, F.lit(0.0))) * F.col(other)
-    out = frame.join(sums, "_g", "left").withColumn("_s", F.coalesce("_s", F.lit(0)))
-    out = out.select(*FRAME, "_s", *[mixed(F.col(f"_o{i}") + mean[i], f"_u{i}").alias(f"_m{i}") for i in range(5)], *[mixed(factor * (F.col(f"_q{i}{j}") / F.col("_n") - mean[i] * mean[j]), f"_t{i}{j}").alias(f"_s{i}{j}") for i, j in PAIRS])
-    return inverse_factor(out).drop(*[f"_s{i}{j}" for i, j in PAIRS])
+    own, other = "coalesce(_n / (_n + _prior), 0D)", "(1 - coalesce(_n / (_n + _prior), 0D))"
+    mean = [f"coalesce({own} * (_o{i} + _a{i} / _n), 0D) + {other} * _u{i} as _m{i}" for i in range(5)]
+    scatter = [f"coalesce({own} * {factor}D * (_q{i}{j} / _n - _a{i} / _n * _a{j} / _n), 0D) + {other} * _t{i}{j} as _s{i}{j}" for i, j in PAIRS]
+    return inverse_factor(frame.join(sums, "_g", "left").selectExpr(*FRAME, "coalesce(_s, 0) as _s", *mean, *scatter))
 
 
 def spread(rows: DataFrame, medians: DataFrame) -> DataFrame:
@@ -136,16 +134,14 @@ def spread(rows: DataFrame, medians: DataFrame) -> DataFrame:
 
 def starts(rows: DataFrame, frame: DataFrame, scales: DataFrame) -> DataFrame:
     """The three first estimates of each group, by _s."""
-    z = [(F.col(x) - F.col(f"_o{i}")) / F.col(f"_d{i}") for i, x in enumerate(X)]
-    t, norm = [F.tanh(v) for v in z], reduce(lambda a, v: a + v * v, z, F.lit(1e-12))
-    per = rows.join(scales, "_g").groupBy("_g", *[f"_d{i}" for i in range(5)])
-    per = per.agg(*[F.covar_pop(t[i], t[j]).alias(f"_tanh{i}{j}") for i, j in PAIRS], *[(5 * F.avg(z[i] * z[j] / norm)).alias(f"_sign{i}{j}") for i, j in PAIRS])
-    own = F.col("_total") / (F.col("_total") + F.col("_prior"))
-    kinds = [[F.lit(1.0 if i == j else 0.0) for i, j in PAIRS], [F.col(f"_tanh{i}{j}") for i, j in PAIRS], [F.col(f"_sign{i}{j}") for i, j in PAIRS]]
-    scatter = [[(own * kind[k] * F.col(f"_d{i}") * F.col(f"_d{j}") + (1 - own) * F.col(f"_t{i}{j}")).alias(f"_s{i}{j}") for k, (i, j) in enumerate(PAIRS)] for kind in kinds]
-    one = F.explode(F.array(*[F.struct(F.lit(s).alias("_s"), *scatter[s]) for s in range(3)])).alias("_one")
-    out = per.join(frame, "_g").select(*FRAME, *[F.col(f"_o{i}").alias(f"_m{i}") for i in range(5)], one)
-    return inverse_factor(out.select("*", "_one.*").drop("_one")).drop(*[f"_s{i}{j}" for i, j in PAIRS])
+    z = [f"(_x{i} - _o{i}) / _d{i} as _z{i}" for i in range(5)]
+    scored = rows.join(scales, "_g").selectExpr("_g", *[f"_d{i}" for i in range(5)], *z, " + ".join(f"_z{i} * _z{i}" for i in range(5)) + " + 1e-12 as _norm")
+    per = scored.groupBy("_g", *[f"_d{i}" for i in range(5)]).agg(*[F.expr(f"covar_pop(tanh(_z{i}), tanh(_z{j})) as _tanh{i}{j}") for i, j in PAIRS], *[F.expr(f"5 * avg(_z{i} * _z{j} / _norm) as _sign{i}{j}") for i, j in PAIRS])
+    own, other = "_total / (_total + _prior)", "_prior / (_total + _prior)"
+    kind = lambda s, i, j: ("1D" if i == j else "0D", f"_tanh{i}{j}", f"_sign{i}{j}")[s]
+    one = [f"named_struct('_s', {s}, " + ", ".join(f"'_s{i}{j}', {own} * {kind(s, i, j)} * _d{i} * _d{j} + {other} * _t{i}{j}" for i, j in PAIRS) + ")" for s in range(3)]
+    out = per.join(frame, "_g").selectExpr(*FRAME, *[f"_o{i} as _m{i}" for i in range(5)], f"inline(array({', '.join(one)}))")
+    return inverse_factor(out)
 
 
 def concentrate(rows: DataFrame, estimates: DataFrame, frame: DataFrame) -> DataFrame:
@@ -174,7 +170,7 @@ def fit_level(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
     else:
         frame = scales.join(prior, "_g").withColumn("_prior", F.lit(PRIOR))
     frame = written(frame.select(*FRAME), "mcd-frame")
-    now = written(starts(rows, frame, scales.select("_g", *[f"_{k}{i}" for k in "od" for i in range(5)])).drop(*[f"_d{i}" for i in range(5)]), "mcd-start")
+    now = written(starts(rows, frame, scales.select("_g", *[f"_{k}{i}" for k in "od" for i in range(5)])), "mcd-start")
     for _ in range(TRIES):
         now = concentrate(rows, now, frame)
     best = written(least_determinant(now), "mcd-best")
