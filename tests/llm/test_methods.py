@@ -49,7 +49,7 @@ def mcd(x, prior_mean, prior_cov, weight, starts=20, seed=1):
 
     far = lambda m, s: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
     for _ in range(starts):
-        m, s = mixed(x[r.choice(len(x), len(x) // 4, replace=False)], 1.0)
+        m, s = mixed(x[r.choice(len(x), max(len(x) // 4, 1), replace=False)], 1.0)
         for _ in range(30):
             d = far(m, s)
             m, s = mixed(x[d <= np.quantile(d, quality.SHARE)], quality.FACTOR)
@@ -288,7 +288,7 @@ def test_labels_that_are_learnt_from(spark, monkeypatch):
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(i, prose(60), "a", 1, "b", True, b"z") for i in range(6)], "doc_id long, text string, _k string, starts int, score string, held_out boolean, z binary")
     assert repeats.remove_repeats(docs).count() == 6
-    pages = spark.createDataFrame([(1, "http://a.net/x", "<article><p>" + prose(40) + "</p></article>", "t", 5, "h", "v")], "page_id long, url string, html string, text string, n_chars int, host string, verdict string")
+    pages = spark.createDataFrame([(1, "http://a.net/x", "<body><article><h1>" + prose(4) + "</h1><p>" + prose(40) + "</p></article>", "t", 5, "h", "v")], "page_id long, url string, html string, text string, n_chars int, host string, verdict string")
     text = html_text.extract_main_text(pages)
     assert text.columns == pages.columns and text.first().n_chars == len(text.first().text) > 40
     judged = url_filter.judge_urls(pages).first()
