@@ -115,3 +115,38 @@ def read_staged(spark: SparkSession, root: str, site: str = "site0") -> DataFram
 def write_staged(posts: DataFrame, root: str) -> None:
     """One folder of JSON lines for each board."""
     posts.write.partitionBy("board").json(root)
+
+
+def read_files(spark: SparkSession, root: str, names: str) -> DataFrame:
+    """(file, text) of all files below a folder whose name fits, whole."""
+    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=names)
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+
+
+#: Where per-thread files lie: <board>/<no>.json, <board>/<board> <no>.json, <board>/<no>/<no>.json; .txt is as good.
+API_PATH = r"/([A-Za-z0-9]+)/(?:\d+/)?(?:\1(?: |%20))?(\d+)\.(?:json|txt)$"
+#: Where scraped threads lie: <board>/<no>/thread.json.
+SCRAPED_PATH = r"^(.*)/([A-Za-z0-9]+)/(\d+)/thread\.json$"
+
+
+def read_api_threads(spark: SparkSession, root: str, site: str = "site0") -> DataFrame:
+    """The posts of per-thread API files, board and thread from their path."""
+    files = read_files(spark, root, "*.{json,txt}").filter(F.col("file").rlike(API_PATH))
+    return api_posts(files, F.regexp_extract("file", API_PATH, 1), F.regexp_extract("file", API_PATH, 2), site=site)
+
+
+def read_exported(spark: SparkSession, path: str, site: str = "site0") -> DataFrame:
+    """The posts of exported objects, one a line."""
+    return exported_posts(read_lines(spark, path), site=site)
+
+
+def read_scraped(spark: SparkSession, root: str, site: str = "site0") -> DataFrame:
+    """The posts of scraped threads below a folder, at any depth."""
+    files = read_files(spark, root, "thread.json").filter(F.col("file").rlike(SCRAPED_PATH))
+    return scraped_posts(files, F.regexp_extract("file", SCRAPED_PATH, 2), F.regexp_extract("file", SCRAPED_PATH, 3), site=site)
+
+
+def scraped_roots(spark: SparkSession, root: str) -> DataFrame:
+    """(root, threads): the folders below one that hold boards of scraped threads. Only file names are read."""
+    names = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="thread.json").select(F.col("_metadata.file_path").alias("file"))
+    return names.filter(F.col("file").rlike(SCRAPED_PATH)).groupBy(F.regexp_extract("file", SCRAPED_PATH, 1).alias("root")).agg(F.count("*").alias("threads"))

@@ -40,3 +40,22 @@ def test_summary_of_a_stream(spark, tmp_path):
         query.awaitTermination(60)
     total = summary.read_stats(spark, str(tmp_path / "out")).agg(F.sum("posts")).first()[0]
     assert total == 3
+
+
+def test_json_files_by_path(spark, tmp_path):
+    api = '{"posts":[{"no":5,"resto":0,"time":9,"com":"a<br>b","filename":"f","ext":".png"},{"no":6,"resto":5}]}'
+    for name in ("g/5.json", "g/g 5.txt", "g/5/5.json", "g/notes.json"):
+        (tmp_path / "api" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "api" / name).write_text(api)
+    rows = json_posts.read_api_threads(spark, str(tmp_path / "api")).collect()
+    assert len(rows) == 6 and {(r.board, r.thread_no, r.post_no, r.is_op) for r in rows} == {("g", 5, 5, True), ("g", 5, 6, False)}
+    scraped = '{"Thread":{"Posts":[{"OriginalObject":{"num":"7","thread_num":"8","timestamp":"3","deleted":"1"}}]}}'
+    for folder in ("x/a/g/7", "x/a/g/9", "x/b/h/7"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "thread.json").write_text(scraped)
+    rows = json_posts.read_scraped(spark, str(tmp_path / "x")).collect()
+    assert {(r.board, r.thread_no, r.is_op, r.deleted, r.mismatch) for r in rows} == {("g", 7, True, True, True), ("g", 9, False, True, True), ("h", 7, True, True, True)}
+    assert {(r.root.rsplit("/", 1)[1], r.threads) for r in json_posts.scraped_roots(spark, str(tmp_path / "x")).collect()} == {("a", 2), ("b", 1)}
+    (tmp_path / "e.ndjson").write_text('{"num":"1","thread_num":"1","timestamp":"5","comment":"","board":{"shortname":"g"},"media":null}\n{"num":"x"}\n')
+    rows = json_posts.stored(json_posts.read_exported(spark, str(tmp_path / "e.ndjson"))).collect()
+    assert [(r.board, r.post_no, r.body_text) for r in rows] == [("g", 1, None)]
