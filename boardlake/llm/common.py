@@ -31,16 +31,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
+    _WRITTEN.append(out)
     return out
 
 
+#: The tables of this session that are not deleted yet.
+_WRITTEN: list[DataFrame] = []
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables of `written` that no later plan reads."""
     for df in tables:
+        _WRITTEN[:] = [t for t in _WRITTEN if t is not df]
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._table_path)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def written_tables() -> list[DataFrame]:
+    """The tables of `written` that are still there."""
+    return list(_WRITTEN)
+
+
+def discard_others(*keep: DataFrame) -> None:
+    """Deletes all tables that operators wrote in this session but these, once the results that read them are written."""
+    discard(*[t for t in _WRITTEN if not any(t is k for k in keep)])
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once, also where body uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -35,6 +35,16 @@ def test_key_filter(spark):
     assert common.KeyFilter(common.written(keys.limit(0), "test-keys"), ["k"]).candidates(rows).isEmpty()
 
 
+def test_written_tables_are_deleted(spark):
+    first, second, third = (common.written(spark.range(n), "test-table") for n in (1, 2, 3))
+    common.discard(first)
+    common.discard_others(third)
+    assert third.count() == 3 and common._WRITTEN == [third]
+    for gone in (first, second):
+        with pytest.raises(Exception, match="(?i)not.exist|FILE_NOT_EXIST"):
+            spark.read.parquet(gone._table_path).count()
+
+
 # ---- quality rules
 
 
