@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.llm.bpe import encode_digests
-from boardlake.llm.common import table, written
+from boardlake.llm.common import discard_others, table, written, written_tables
 from boardlake.llm.decontaminate import drop_contaminated
 from boardlake.llm.neardup import keep_one
 from boardlake.llm.quality import judge_quality
@@ -50,12 +50,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written before the next reads it."""
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    """All stages, each written before the next reads it; then the tables that it wrote on its way, and its input, are deleted."""
+    docs, others = table(spark, sf_dir, "documents").select(*COLUMNS), written_tables()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = written(docs, name)
+            discard_others(docs, *others)
     return docs
 
 
