@@ -132,15 +132,16 @@ def spread(rows: DataFrame, medians: DataFrame) -> DataFrame:
     return medians.join(rows.join(medians, "_g").groupBy("_g").agg(*deviation), "_g").withColumns({f"_d{i}": F.greatest(F.col(f"_d{i}") * 1.4826, F.lit(TINY)) for i in range(5)})
 
 
-def starts(rows: DataFrame, frame: DataFrame, scales: DataFrame) -> DataFrame:
+def starts(rows: DataFrame, frame: DataFrame) -> DataFrame:
     """The three first estimates of each group, by _s."""
+    scales = frame.select("_g", *[f"_{k}{i}" for k in "od" for i in range(5)])
     z = [f"(_x{i} - _o{i}) / _d{i} as _z{i}" for i in range(5)]
     scored = rows.join(scales, "_g").selectExpr("_g", *[f"_d{i}" for i in range(5)], *z, " + ".join(f"_z{i} * _z{i}" for i in range(5)) + " + 1e-12 as _norm")
     per = scored.groupBy("_g", *[f"_d{i}" for i in range(5)]).agg(*[F.expr(f"covar_pop(tanh(_z{i}), tanh(_z{j})) as _tanh{i}{j}") for i, j in PAIRS], *[F.expr(f"5 * avg(_z{i} * _z{j} / _norm) as _sign{i}{j}") for i, j in PAIRS])
     own, other = "_total / (_total + _prior)", "_prior / (_total + _prior)"
     kind = lambda s, i, j: ("1D" if i == j else "0D", f"_tanh{i}{j}", f"_sign{i}{j}")[s]
     one = [f"named_struct('_s', {s}, " + ", ".join(f"'_s{i}{j}', {own} * {kind(s, i, j)} * _d{i} * _d{j} + {other} * _t{i}{j}" for i, j in PAIRS) + ")" for s in range(3)]
-    out = per.join(frame, "_g").selectExpr(*FRAME, *[f"_o{i} as _m{i}" for i in range(5)], f"inline(array({', '.join(one)}))")
+    out = per.join(frame.select(*FRAME), "_g").selectExpr(*FRAME, *[f"_o{i} as _m{i}" for i in range(5)], f"inline(array({', '.join(one)}))")
     return inverse_factor(out)
 
 
@@ -163,23 +164,23 @@ def least_determinant(estimates: DataFrame) -> DataFrame:
 def fit_level(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
     """The estimates (_g, _m, _v and the scatter's factors) of the groups _g of rows; prior: for each _g the columns _u, _t that they are mixed with, else their medians and deviations. Written, a row for each group."""
     medians = rows.groupBy("_g").agg(F.count("*").alias("_total"), *[F.percentile_approx(x, 0.5, 10000).alias(f"_o{i}") for i, x in enumerate(X)])
-    scales = written(spread(rows, written(medians, "mcd-medians")), "mcd-scales")
+    frame = spread(rows, written(medians, "mcd-medians"))
     if prior is None:
         own = {f"_t{i}{j}": F.col(f"_d{i}") * F.col(f"_d{j}") if i == j else F.lit(0.0) for i, j in PAIRS}
-        frame = scales.withColumns({"_prior": F.lit(LANGUAGE_PRIOR), **{f"_u{i}": F.col(f"_o{i}") for i in range(5)}, **own})
+        frame = frame.withColumns({"_prior": F.lit(LANGUAGE_PRIOR), **{f"_u{i}": F.col(f"_o{i}") for i in range(5)}, **own})
     else:
-        frame = scales.join(prior, "_g").withColumn("_prior", F.lit(PRIOR))
-    frame = written(frame.select(*FRAME), "mcd-frame")
-    now = written(starts(rows, frame, scales.select("_g", *[f"_{k}{i}" for k in "od" for i in range(5)])), "mcd-start")
+        frame = frame.join(prior, "_g").withColumn("_prior", F.lit(PRIOR))
+    frame = written(frame.select(*FRAME, *[f"_d{i}" for i in range(5)]), "mcd-frame")
+    now = written(starts(rows, frame), "mcd-start")
     for _ in range(TRIES):
         now = concentrate(rows, now, frame)
-    best = written(least_determinant(now), "mcd-best")
+    best = least_determinant(now)  # of a few written rows for each group
     for _ in range(STEPS):
         now = concentrate(rows, best, frame)
         fall = best.join(now.select("_g", F.col("_logdet").alias("_next")), "_g").agg(F.max(F.col("_logdet") - F.col("_next"))).first()[0]
         if fall is None or fall < SETTLED:
             break
-        best = written(least_determinant(best.unionByName(now)), "mcd-best")
+        best = least_determinant(best.unionByName(now))
     inside = rows.join(best, "_g").filter(distance() <= INNER).groupBy("_g", "_s").agg(*sums_of_rows())
     return written(estimate(inside, frame, INNER_FACTOR), "mcd-final")
 
@@ -200,7 +201,7 @@ def fit_mcd(stats: DataFrame) -> DataFrame:
     languages = fit_level(rows.select(F.col("_lang").alias("_g"), *X), None)
     own = F.concat_ws("\x01", *GROUP).alias("_g")
     prior = rows.select("_lang", own).distinct().join(languages.select(F.col("_g").alias("_lang"), *scatter_of(languages)), "_lang").drop("_lang")
-    return fit_level(rows.select(own, *X), written(prior, "mcd-prior"))
+    return fit_level(rows.select(own, *X), prior)
 
 
 def apply_mcd(stats: DataFrame, estimates: DataFrame) -> DataFrame:
