@@ -102,8 +102,8 @@ SUMS_SQL = ["count(*) as _n", *[f"sum(_x{i} - _o{i}) as _a{i}" for i in range(5)
 
 
 def inverse_factor(out: DataFrame) -> DataFrame:
-    """Adds _v00 .. _v44, the inverse of the Cholesky factor of _s00 .. _s44, and _logdet, the log determinant of the latter, which goes."""
-    return out.selectExpr("*", *FACTOR_SQL, *INVERSE_SQL, LOGDET_SQL).drop(*[f"_{k}{i}{j}" for k in "cs" for i, j in PAIRS])
+    """The estimates of groups: _m, _v00 .. _v44, the inverse of the Cholesky factor of _s00 .. _s44, and _logdet, the log determinant of the latter. No other columns, for they travel to all rows."""
+    return out.selectExpr("*", *FACTOR_SQL, *INVERSE_SQL, LOGDET_SQL).select("_g", "_s", "_total", "_logdet", *[f"_{k}{i}" for k in "om" for i in range(5)], *[f"_v{i}{j}" for i, j in PAIRS])
 
 
 def distance() -> Column:
@@ -174,13 +174,13 @@ def fit_level(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
     now = written(starts(rows, frame), "mcd-start")
     for _ in range(TRIES):
         now = concentrate(rows, now, frame)
-    best = least_determinant(now)  # of a few written rows for each group
+    best = written(least_determinant(now), "mcd-best")  # of its true size, so that Spark can tell that it is small
     for _ in range(STEPS):
         now = concentrate(rows, best, frame)
         fall = best.join(now.select("_g", F.col("_logdet").alias("_next")), "_g").agg(F.max(F.col("_logdet") - F.col("_next"))).first()[0]
         if fall is None or fall < SETTLED:
             break
-        best = least_determinant(best.unionByName(now))
+        best = written(least_determinant(best.unionByName(now)), "mcd-best")
     inside = rows.join(best, "_g").filter(distance() <= INNER).groupBy("_g", "_s").agg(*sums_of_rows())
     return written(estimate(inside, frame, INNER_FACTOR), "mcd-final")
 
