@@ -77,7 +77,7 @@ def filled_years(counts: DataFrame) -> DataFrame:
     return years.join(counts, "year", "left").select("year", F.coalesce("posts", F.lit(0)).alias("posts"))
 
 
-def board_years(posts: DataFrame, board: str) -> DataFrame:
+def board_years_filled(posts: DataFrame, board: str) -> DataFrame:
     """year, posts of all dated posts of one board, with zeros for the years between that have none."""
     dated = posts.filter((F.col("board") == board) & F.col("ts_utc").isNotNull())
     return filled_years(dated.groupBy(year_of(F.col("ts_utc")).alias("year")).agg(F.count("*").alias("posts")))

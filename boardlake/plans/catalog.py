@@ -309,7 +309,7 @@ def posts_by_year_source(spark, sf):
 @query(f"""select y.year, coalesce(c.posts, 0) as posts from (select unnest(range((select min({YEAR}) from posts where board = 'es'), (select max({YEAR}) + 1 from posts where board = 'es')))::int as year) y
  left join (select {YEAR} as year, count(*) as posts from posts where board = 'es' group by 1) c using (year)""")
 def posts_by_year_board_filled(spark, sf):
-    return A.board_years(posts(spark, sf), "es")
+    return A.board_years_filled(posts(spark, sf), "es")
 
 
 @query("""select s.source_id, y.year, coalesce(c.posts, 0)::bigint as posts from (select distinct source_id from stats where year is not null) s
