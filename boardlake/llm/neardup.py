@@ -211,12 +211,14 @@ def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[i
 
     Paths travel with the class alone; the embedding joins only those that another class shares.
     """
-    nodes, deep = sets.withColumn("g", F.lit(2**62)), None
+    nodes, deep, shared = sets.withColumn("g", F.lit(2**62)), None, None
     for depth in range(DEPTH):
-        paths = written(nodes.mapInArrow(choose(None if depth else runs), "path long, cid binary, of long"), f"jaccard-level{depth}")
-        sizes = paths.groupBy("path").agg(F.count("*").alias("g"), F.max("of").alias("of")).filter(F.col("g") > 1)
-        paths = paths.drop("of")
-        shared = written(paths.join(sizes, "path").join(sets, "cid"), f"jaccard-shared{depth}")
+        level = written(nodes.mapInArrow(choose(None if depth else runs), "path long, cid binary, of long"), f"jaccard-level{depth}")
+        if shared is not None:
+            discard(shared)  # the nodes of this level came from it
+        sizes = level.groupBy("path").agg(F.count("*").alias("g"), F.max("of").alias("of")).filter(F.col("g") > 1)
+        shared = written(level.drop("of").join(sizes, "path").join(sets, "cid"), f"jaccard-shared{depth}")
+        discard(level)
         last = depth == DEPTH - 1
         split = (F.col("g") > SMALL) & (2 * F.col("g") <= F.col("of"))
         leaves = shared if last else shared.filter(~split)
@@ -228,6 +230,7 @@ def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[i
             break
         if deep is None:
             deep = written(nodes.dropDuplicates(["cid"]).select("cid", "sketch"), "jaccard-deep")
+    discard(shared)
     return depth + 1, deep
 
 
