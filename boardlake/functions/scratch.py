@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,8 +25,13 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def text_files(lines: DataFrame, name: str) -> str:
+def text_files(lines: DataFrame, name: str, compression: str = "none") -> str:
     """Writes a DataFrame of one text column as files of lines and gives their folder."""
     path = f"{shared_folder(lines.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    lines.write.text(path)
+    lines.write.option("compression", compression).text(path)
     return path
+
+
+def arrow_files(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, for tasks that read ranges of a file or write single files, and the path there."""
+    return fs.FileSystem.from_uri("/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path)

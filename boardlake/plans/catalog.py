@@ -804,16 +804,39 @@ def stage_html(spark, sf):
     return J.stored(J.read_staged_folders(spark, path)).groupBy("board").agg(F.count("*").alias("posts"), F.count_if("is_op").alias("ops"))
 
 
-@query("select url as uri, md5(html) as body_md5 from pages where page_id % 5 <> 0 and page_id % 7 <> 0", "unused as (select 1)")
-def scan_warc(spark, sf):
-    n, html = F.col("page_id"), F.coalesce("html", F.lit(""))
+_QUOTING = "html || case when page_id % 4 = 0 then '<pre>WARC/1.0' || chr(13) || chr(10) || 'Content-Length: 9' || chr(13) || chr(10) || chr(13) || chr(10) || '</pre>' else '' end"
+_WARC_SQL = f"select url as uri, md5({_QUOTING}) as body_md5 from pages where page_id % 5 <> 0 and page_id % 7 <> 0"
+
+
+def _responses(spark, sf):
+    """Pages as records of a web archive; every fourth page quotes the beginning of a record."""
+    n = F.col("page_id")
+    html = F.concat(F.coalesce("html", F.lit("")), F.when(n % 4 == 0, f"<pre>{W.SEPARATOR}Content-Length: 9\r\n\r\n</pre>").otherwise(""))
     chunked = F.concat(F.lower(F.hex(F.octet_length(html))), F.lit("\r\n"), html, F.lit("\r\n0\r\n\r\n"))
     http = F.concat(F.lit("HTTP/1.1 "), F.when(n % 5 == 0, "404 Gone").otherwise("200 OK"), F.lit("\r\nContent-Type: "), F.when(n % 7 == 0, "image/png").otherwise("text/html; charset=utf-8"), F.when(n % 3 == 0, "\r\nTransfer-Encoding: chunked").otherwise(""), F.lit("\r\n\r\n"), F.when(n % 3 == 0, chunked).otherwise(html))
-    record = F.concat(F.lit(W.SEPARATOR + "WARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: "), F.octet_length(http).cast("string"), F.lit("\r\n\r\n"), http, F.lit("\r\n\r\n"))
-    path = text_files(table(spark, sf, "pages").select(record), "warc")
+    return table(spark, sf, "pages").select(F.concat(F.lit(W.SEPARATOR + "WARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: "), F.octet_length(http).cast("string"), F.lit("\r\n\r\n"), http, F.lit("\r\n\r\n")))
+
+
+@query(_WARC_SQL, "unused as (select 1)")
+def scan_warc(spark, sf):
+    path = text_files(_responses(spark, sf), "warc")
+    return W.html_pages(W.read_responses(spark, path), "^https?://").select("uri", F.md5("body").alias("body_md5"))
+
+
+@query(_WARC_SQL, "unused as (select 1)")
+def scan_warc_gz(spark, sf):
+    path = text_files(_responses(spark, sf), "warc", "gzip")
     return W.html_pages(W.read_responses(spark, path), "^https?://").select("uri", F.md5("body").alias("body_md5"))
 
 
+@query("select distinct regexp_replace(regexp_replace(regexp_replace(url, '^https?://', ''), '/$', ''), '[^A-Za-z0-9._-]+', '_', 'g') || '.html' as name from pages where page_id % 5 <> 0 and page_id % 7 <> 0 and regexp_matches(url, '^https?://')", "unused as (select 1)")
+def extract_warc(spark, sf):
+    """Pages of an archive written as one file each, and the files there."""
+    path = f"{shared_folder(spark)}/extracted-{uuid.uuid4().hex}"
+    W.extract_pages(W.html_pages(W.read_responses(spark, text_files(_responses(spark, sf), "warc")), "^https?://"), path)
+    return spark.read.format("binaryFile").load(path).select(F.substring_index("path", "/", -1).alias("name"))
+
+
 # ---- headers read from pictures: images have four labels each
 
 

@@ -1,8 +1,7 @@
 """Posts from MySQL dumps: statements are cut by Spark's text scan, a small helper reads literals and tuples.
 
 A dump is scanned as records that end before each line with an INSERT head, so the statements of one file are read by many
-tasks. A record that ends inside a literal (a post may quote an INSERT statement after a line feed) is rare: such records
-and those that close them are found by their quotes, and put together again before they are read.
+tasks. A post may quote such a line, so whether a head begins a statement depends on the literals before it: see `records`.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from boardlake.functions.texts import number_or_null, strip_nulls
 from boardlake.functions.times import ny_wall_to_utc
 from boardlake.operators.filters import is_ghost
+from boardlake.sources import framing
 
 #: Escapes of MySQL literals; fixed values.
 ESCAPES = {"0": "\0", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a", "b": "\b"}
@@ -27,7 +28,11 @@ REQUIRED = ("num", "subnum", "thread_num", "timestamp", "comment")
 OLDER_NAMES = {"media_filename": "media_orig", "media": "media_filename", "parent": "thread_num"}
 TOKEN = re.compile(r"'((?:[^'\\]|\\.|'')*+)'|([^\s,()';]+)|([(),;])", re.DOTALL)
 INSERT = "INSERT INTO `"
+IN_LITERAL = re.compile(r"(?:[^'\\]++|\\.|'')*+", re.DOTALL)
+CLOSED = re.compile(r"'\s*[,)]")
+IN_VALUES = re.compile(r"(?:[^';]++|'(?:[^'\\]++|\\.|'')*+')*+", re.DOTALL)
 HEAD = re.compile(r"^﻿?INSERT INTO `([^`]+)`\s*(?:\(([^)]*)\))?\s*VALUES\s*", re.MULTILINE)
+#: The head of a table's definition in a dump; fixed value.
 CREATE = re.compile(r"^CREATE TABLE (?:IF NOT EXISTS )?`([^`]+)` \(\r?\n((?:[^)].*\n?)*)", re.MULTILINE)
 ROW = T.ArrayType(T.ArrayType(T.StringType()))
 NAMES = T.ArrayType(T.StringType())
@@ -112,37 +117,88 @@ def _created(records: pd.Series) -> pd.Series:
     return records.map(tables)
 
 
-@F.pandas_udf(T.BooleanType())
-def _left_open(records: pd.Series) -> pd.Series:
-    return records.map(lambda r: any(p[0] == "insert" and p[4] for p in pieces_of(r)))
+def literal_end(text: str, at: int, is_open: bool) -> tuple[bool, bool]:
+    """(whether a literal is open at the end of a statement's text, whether the text can stand where it is said to).
+
+    `at` is where the VALUES list, or if a literal is open the rest of the literal, begins. A literal that was open closes
+    before a comma or parenthesis; where it doesn't, it was not this text that it went on with.
+    """
+    if is_open:
+        at = IN_LITERAL.match(text, at).end()
+        if at == len(text):
+            return True, True
+        if not CLOSED.match(text, at):
+            return False, False
+        at += 1
+    at = IN_VALUES.match(text, at).end()
+    return at < len(text) and text[at] == "'", True
+
+
+def piece_state(piece: str, is_open: bool) -> tuple[bool, bool]:
+    """(whether a literal is open after a piece, whether the piece goes on with the one that was) for a piece and whether one was open before it."""
+    if is_open:
+        after, fits = literal_end(piece, 0, True)
+        if fits:
+            return after, True
+    head = HEAD.match(piece)
+    return (literal_end(piece, head.end(), False)[0] if head else False), False
+
+
+def split_pieces(key: tuple[str, int], values: Iterator[bytes]) -> Iterator[str]:
+    """The pieces of a split with what the scan cut off before them; only a file's first piece has nothing before it."""
+    for k, v in enumerate(values):
+        text = v.decode("utf-8", "replace")
+        yield text if k == 0 and key[1] == 0 else INSERT + text
+
+
+def _split_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (file, block), values in framing.by_split(batches):
+        # by the state before the split: the state now, and whether all so far was inside the one literal
+        now, through = [False, True], [False, True]
+        for piece in split_pieces((file, block), values):
+            for k in (0, 1):
+                now[k], goes_on = piece_state(piece, now[k])
+                through[k] = through[k] and goes_on and now[k]
+        yield pa.RecordBatch.from_pydict({"file": [file], "block": [block], "closed": [now[0]], "open": [now[1]], "through": [through[1]]})
+
+
+def open_splits(summaries: list) -> dict[tuple[str, int], int]:
+    """For each split that begins inside a literal: where the split begins in which that statement does."""
+    out = {}
+    for own in framing.in_order(summaries):
+        owner = None
+        for r in own:
+            if owner is None:
+                owner = r["block"] if r["closed"] else None
+                continue
+            out[r["file"], r["block"]] = owner
+            owner = None if not r["open"] else owner if r["through"] else r["block"]
+    return out
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, record): a dump cut before each INSERT head at the beginning of a line, with quoted heads put together again."""
-    text = spark.read.option("lineSep", f"\n{INSERT}").text(path)
-    headless = F.col("value").rlike(r"^[^`\n]+`\s*(\([^)]*\))?\s*VALUES")
-    cut = text.select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"), F.when(headless, F.concat(F.lit(INSERT), "value")).otherwise(F.col("value")).alias("record"))
-    quotes = F.regexp_count(F.regexp_replace("record", r"(?s)\\.", ""), F.lit("'"))
-    odd = cut.filter(quotes % 2 == 1)  # rare: quotes are paired but in comments and where a record ends in a literal
-    spans = odd.select("file", "at", _left_open("record").alias("opens")).groupBy("file").applyInPandas(open_spans, "file string, first struct<block:bigint,n:bigint>, last struct<block:bigint,n:bigint>")
-    inside = cut.join(F.broadcast(spans), (cut["file"] == spans["file"]) & (cut["at"] >= spans["first"]) & (cut["at"] <= spans["last"]), "left").select(cut["file"], cut["at"], "record", "first")
-    whole = inside.filter("first is null").select("file", "at", "record")
-    # a quoted head was cut off with its separator, so it is put back; the others got theirs above
-    body = F.when((F.col("at") == F.col("first")) | F.col("record").startswith(INSERT), F.col("record")).otherwise(F.concat(F.lit(INSERT), "record"))
-    parts = inside.filter("first is not null").groupBy("file", F.col("first").alias("at")).agg(F.sort_array(F.collect_list(F.struct(F.col("at").alias("place"), body.alias("body")))).alias("parts"))
-    return whole.unionByName(parts.select("file", "at", F.array_join(F.transform("parts", lambda p: p["body"]), "\n").alias("record")))
-
-
-def open_spans(rows: pd.DataFrame) -> pd.DataFrame:
-    """From the records of a file with an odd number of quotes: each that ends in a literal, up to the next one, which closes it."""
-    out, first = [], None
-    for file, at, opens in sorted(zip(rows["file"], map(tuple, (r.values() if isinstance(r, dict) else r for r in rows["at"])), rows["opens"], strict=True)):
-        if first is not None:
-            out.append((file, first, at))
-            first = None
-        elif opens:
-            first = at
-    return pd.DataFrame(out, columns=["file", "first", "last"])
+    """(file, record): a dump cut before each INSERT head at the beginning of a line, but not inside a literal.
+
+    Every split tells whether it ends inside a literal for either way it may begin (`framing`), so quoted heads cost nothing
+    wherever they stand. A literal that is never closed ends with its statement: the next head that can't be inside it begins anew.
+    """
+    scan = framing.pieces(spark, path, f"\n{INSERT}")
+    states = scan.mapInArrow(_split_states, "file string, block long, closed boolean, open boolean, through boolean").collect()
+    begun = open_splits(states)
+
+    def read(key: tuple[str, int], values: Iterator[bytes]) -> Iterator[tuple[int | None, bytes]]:
+        owner = begun.get(key)
+        held, is_open = [], owner is not None
+        for piece in split_pieces(key, values):
+            after, goes_on = piece_state(piece, is_open)
+            if not goes_on and (held or owner is not None):
+                yield owner, "".join(held).encode()
+                held, owner = [], None
+            held.append("\n" + piece if goes_on else piece)
+            is_open = after
+        yield (owner if owner is not None else key[1] if is_open else None), "".join(held).encode()
+
+    return framing.joined(framing.fragments(scan, read)).select("file", F.decode("record", "UTF-8").alias("record"))
 
 
 def created_tables(cut: DataFrame) -> DataFrame:
