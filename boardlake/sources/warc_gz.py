@@ -71,17 +71,20 @@ def first_member(file, start: int, end: int) -> int | None:
 
 def records(file, start: int, end: int) -> Iterator[bytes]:
     """The records, without their marks, of the members that begin in [start, end). A member that begins with the mark begins a
-    record; one that doesn't goes on with the record before. A damaged member ends its record; the next whole one is read on."""
+    record, unless the one before still asks for bytes; one that doesn't goes on with the record before. A damaged member ends
+    its record, and the next whole one is read on."""
     at, size, held = first_member(file, start, end), file.size(), bytearray()
     while at is not None and at < size:
-        after = 0
+        after, begun = 0, False
         try:
-            for k, (after, part) in enumerate(member(file, at)):  # noqa: B007
-                if k == 0 and part.startswith(MARK):
-                    yield from rest(held)
-                    held = bytearray()
-                    if at >= end:
-                        return
+            for after, part in member(file, at):  # noqa: B007
+                if part and not begun:
+                    begun = True
+                    if part.startswith(MARK) and (needed(held[len(MARK) :]) or 0) <= max(len(held) - len(MARK), 0):
+                        yield from rest(held)
+                        held = bytearray()
+                        if at >= end:
+                            return
                 held += part
                 yield from whole(held)
         except zlib.error:
