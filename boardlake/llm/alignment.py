@@ -22,9 +22,11 @@ path on all executors.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import RARE, byte_letters
 from .common import table, written
 
 BLOCK_LINKS, BLOCK_DOCS = 1 << 22, 1 << 16
-CACHE, LONG, STEP = 200_000, 200, 1 << 19
+CACHE, LONG, STEP = 400_000, 200, 1 << 20
 UNIT = re.compile(r"\s*+(?:\S++(?:[^\S \n]\s*+)?+)*+")
+#: How byte-level BPE cuts a text before it merges; fixed value.
+WORDS_OF_A = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STATS = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
 PARTS = "block long, place int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a int, b int, n_docs long, docs binary, planes binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -54,24 +59,63 @@ def vocabularies() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+class ByteBpe:
+    """Ids of A for many units at once. The ranks and the pattern come from the vocabulary file; units with letters whose class
+    depends on the Unicode version, and those that end in white space, are encoded by the file's own library."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path)
+        self.own.encode_special_tokens = True
+        byte_of = {c: b for b, c in enumerate(byte_letters())}
+        special = {t.content for t in self.own.get_added_tokens_decoder().values()}
+        ranks = {bytes(map(byte_of.__getitem__, s)): i for s, i in self.own.get_vocab(with_added_tokens=True).items() if s not in special}
+        with open(path) as f:
+            merges = json.load(f)["model"]["merges"]
+        merged = [bytes(map(byte_of.__getitem__, "".join(m if isinstance(m, list) else m.split(" ")))) for m in merges]
+        #: Whether ids are ranks: then the merge with the least id is the first one of the file.
+        self.ranked = len(ranks) == 256 + len(merged) and all(ranks[m] == 256 + k for k, m in enumerate(merged))
+        self.fast = tiktoken.Encoding("a", pat_str=WORDS_OF_A, mergeable_ranks=ranks, special_tokens={}) if self.ranked else None
+        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.size[list(ranks.values())] = [len(k) for k in ranks]
+
+    def encode(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units, one after the other, and how many each has. sizes: their bytes."""
+        slow = [k for k, u in enumerate(units) if self.fast is None or u[-1].isspace() or RARE.search(u)]
+        counts, found = np.zeros(len(units), np.int64), {}
+        for k, e in zip(slow, self.own.encode_batch([units[k] for k in slow], add_special_tokens=False), strict=True):
+            found[k] = e.ids
+            counts[k] = len(e.ids)
+        fast = np.delete(np.arange(len(units)), slow)
+        ids = np.array(self.fast.encode_ordinary("".join([units[k] for k in fast])) if len(fast) else [], np.int64)
+        counts[fast] = np.diff(np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(sizes[fast])) + 1, prepend=0)
+        if not slow:
+            return ids, counts
+        out, owner = np.zeros(counts.sum(), np.int64), np.repeat(np.arange(len(units)), counts)
+        own = np.zeros(len(units), bool)
+        own[slow] = True
+        out[~own[owner]] = ids
+        out[own[owner]] = [i for k in slow for i in found[k]]
+        return out, counts
+
+
 class Aligner:
     """Tokens, groups and linked pairs of units of text."""
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.a.encode_special_tokens = True
-        from .bpe import byte_letters
-
-        byte_of = {c: b for b, c in enumerate(byte_letters())}
-        self.a_bytes = {i: bytes(map(byte_of.get, s)) for s, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in byte_of for c in s)}
+        self.a, self.b = ByteBpe(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         if any("\n" in p or re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("a piece of B spans a place where texts are cut into units")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.b_size = np.array(list(map(len, self.b_bytes)))
+        #: How an id is shown before another of its group, before B's of its group, before the next group, and last.
+        self.signs = [f"{i}{sign}" for sign in ",|;" for i in range(max(len(self.a.size), len(pieces)))] + [str(i) for i in range(len(pieces))]
         self.forget()
 
     def forget(self) -> None:
@@ -80,36 +124,53 @@ class Aligner:
         self.sizes = np.zeros((0, 4), np.int64)
         self.first, self.pairs = np.zeros(1, np.int64), np.zeros(0, np.int64)
 
-    def groups(self, unit: str, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        """The groups of a unit's tokens; None if either list does not spell it."""
-        a_text, b_text = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if not b"".join(a_text) == b"".join(b_text) == unit.encode():
-            return None
-        a_ends, b_ends = np.cumsum(list(map(len, a_text))).tolist(), np.cumsum(list(map(len, b_text))).tolist()
-        out, i, j = [], 0, 0
-        for end in sorted(set(a_ends) & set(b_ends)):
-            i_end, j_end = a_ends.index(end, i) + 1, b_ends.index(end, j) + 1
-            out.append((a[i:i_end], b[j:j_end]))
-            i, j = i_end, j_end
-        return out
+    def spelled(self, units: list[str], b: np.ndarray, b_end: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether B's tokens spell each unit, from where its tokens and bytes end among all."""
+        text, found = "".join(units).encode(), b"".join(map(self.b_bytes.__getitem__, b.tolist()))
+        found_end = np.append(0, np.cumsum(self.b_size[b]))[b_end]
+        if text == found and (found_end == end).all():
+            return np.ones(len(units), bool)
+        cuts = zip(np.append(0, end[:-1]).tolist(), end.tolist(), np.append(0, found_end[:-1]).tolist(), found_end.tolist(), strict=True)
+        return np.array([text[p:q] == found[x:y] for p, q, x, y in cuts], bool)
 
     def learn(self, units: list[str]) -> None:
-        shown, sizes, pairs, first = [], [], [], []
-        a_ids = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        size = np.fromiter((len(u.encode()) for u in units), np.int64, len(units))
+        a, n_a = self.a.encode(units, size)
         # a line feed before the unit keeps the blank that B adds by itself apart from it
-        b_ids = [ids[2:] for ids in self.b.encode(["\n" + u for u in units], num_threads=1)]
-        for unit, a, b in zip(units, a_ids, b_ids, strict=True):
-            found = self.groups(unit, a, b)
-            shown.append(None if found is None else ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in found))
-            linked = [x << 20 | y for xs, ys in found or [] for x in xs for y in ys]
-            sizes.append((len(a), len(b), len(found or []), len(linked)))
-            pairs += linked
-            first.append(len(pairs))
+        lists = [ids[2:] for ids in self.b.encode(["\n" + u for u in units], num_threads=1)]
+        n_b, b = np.fromiter(map(len, lists), np.int64, len(units)), np.array(list(chain.from_iterable(lists)), np.int64)
+        fits = self.spelled(units, b, np.cumsum(n_b), np.cumsum(size))
+        unit_a, unit_b = np.repeat(np.arange(len(units)), n_a), np.repeat(np.arange(len(units)), n_b)
+        if not fits.all():
+            a, b, unit_a, unit_b = a[fits[unit_a]], b[fits[unit_b]], unit_a[fits[unit_a]], unit_b[fits[unit_b]]
+        # tokens that fit end at the same bytes as if all units were one text; a group ends where both do
+        a_end, b_end = np.cumsum(self.a.size[a]), np.cumsum(self.b_size[b])
+        ends = np.intersect1d(a_end, b_end, assume_unique=True)
+        group_a, group_b = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
+        in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+        unit_of = unit_a[np.cumsum(in_a) - 1]  # by group
+        last_a, last_b = np.append(np.diff(group_a) > 0, True)[: len(a)], np.append(np.diff(group_b) > 0, True)[: len(b)]
+        last_of_unit = np.append(np.diff(unit_b) > 0, True)[: len(b)]
+        width = max(len(self.a.size), len(self.b_bytes))
+        sign = np.concatenate([a + width * last_a, b + width * (2 * last_b + last_of_unit)])
+        order = np.argsort(np.concatenate([group_a, group_b]), kind="stable")
+        parts = list(map(self.signs.__getitem__, sign[order].tolist()))
+        upto = np.cumsum(np.bincount(unit_a, minlength=len(units)) + np.bincount(unit_b, minlength=len(units))).tolist()
+        shown, lo = [], 0
+        for hi, fit in zip(upto, fits.tolist(), strict=True):
+            shown.append("".join(parts[lo:hi]) if fit else None)
+            lo = hi
+        # each token of A with each of B in its group
+        many = in_b[group_a]
+        right = np.repeat((np.cumsum(in_b) - in_b)[group_a] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        pairs = np.repeat(a, many) << 20 | b[right]
+        links = np.bincount(unit_a, many, len(units)).astype(np.int64)
+        groups = np.bincount(unit_of, minlength=len(units))
         self.ids.update(zip(units, range(len(self.ids), len(self.ids) + len(units)), strict=True))
         self.shown += shown
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64).reshape(-1, 4)])
-        self.first = np.concatenate([self.first, np.array(first, np.int64) + len(self.pairs)])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
+        self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, groups, links], 1)])
+        self.first = np.concatenate([self.first, np.cumsum(links) + len(self.pairs)])
+        self.pairs = np.concatenate([self.pairs, pairs])
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Of each text the number of A's and B's tokens, groups and links, and a digest; of each link its text and pair."""
