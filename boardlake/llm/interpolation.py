@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import discard, table, written
 
 PARTS = 8
-BLOCK_TOKENS, GROUP_KEYS = 3 << 20, 1 << 20
+BLOCK_TOKENS, GROUP_KEYS = 3 << 19, 1 << 20
 #: Buckets of context frequencies: 0, and the powers of two up to 2**62.
 BUCKETS = 64
 #: What each part of each bucket is given before counting, and the gain in log-likelihood a token at which the weights are settled.
