@@ -318,7 +318,7 @@ def align_documents(docs: DataFrame, paths: tuple[str, str] | None = None) -> Da
     """Of every row of docs: doc_id, its tokens, groups and links, n_best, count_sum and the digest of its groups."""
     index = pair_index(docs, paths)
     counts = written(pair_counts(index).select("a", "b", F.col("n_docs").alias("count"), "is_best"), "alignment-counts")
-    parts = index.filter("a is not null").select("a", "b", F.col("block").alias("of_block"), "n_docs", "docs", "planes").join(counts, ["a", "b"]).drop("a", "b")
+    parts = index.filter("a is not null").select("a", "b", F.col("block").alias("of_block"), "n_docs", "docs", "planes").join(counts.hint("merge"), ["a", "b"]).drop("a", "b")
     rows = index.filter("a is null").select("block", "place", *STATS, "groups_sha256")
     return rows.groupBy("block").cogroup(parts.groupBy("of_block")).applyInArrow(returned, RESULT)
 
