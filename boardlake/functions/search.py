@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,7 +175,11 @@ def phrase_pattern(phrase: str) -> str | None:
     """A pattern for lower-case texts that hold the phrase's words one after the other; None without a word. Tokens are runs of
     letters and digits, so words follow one another where only other characters are between them."""
     words = [re.escape(w) for w in re.findall(r"[^\W_]+", phrase.lower())]
-    return r"(?<![\p{L}\p{N}])" + r"[^\p{L}\p{N}]+".join(words) + r"(?![\p{L}\p{N}])" if words else None
+    if not words:
+        return None
+    # the first word stands before the test of what comes before it, so places are found by the word and not tried one by one
+    words[0] += rf"(?<![\p{{L}}\p{{N}}]{words[0]})"
+    return r"[^\p{L}\p{N}]+".join(words) + r"(?![\p{L}\p{N}])"
 
 
 def holds_phrase(text: Column, phrase: str, config: Config = SIMPLE) -> Column:
@@ -217,6 +221,92 @@ def matches(text: Column, where: Callable[[Terms], Column], config: Config = SIM
     return let(config.tokens(text), lambda tokens: where(Terms(tokens, config)))
 
 
+@dataclass(frozen=True)
+class Follow:
+    """Lexemes (text, is prefix) that stand one after the other at these distances; a single one stands anywhere."""
+
+    lexemes: tuple[tuple[str, bool], ...]
+    gaps: tuple[int, ...] = ()
+
+    @classmethod
+    def of(cls, words: list[str], config: Config, prefixes: list[bool] | None = None, gaps: list[int] | None = None) -> Follow | None:
+        """Stop words count as distance; None if there is nothing else."""
+        at, place, kept = 0, [], []
+        for k, word in enumerate(words):
+            at += (gaps[k - 1] if gaps else 1) if k else 0
+            lexeme = config.lexeme(word)
+            if lexeme is not None:
+                kept.append((lexeme, bool(prefixes and prefixes[k])))
+                place.append(at)
+        return cls(tuple(kept), tuple(b - a for a, b in zip(place, place[1:], strict=False))) if kept else None
+
+    def held(self, tokens: Column) -> Column:
+        return _chain(tokens, list(self.lexemes), list(self.gaps))
+
+
+@dataclass(frozen=True)
+class Condition:
+    """A boolean condition as SQL over `_leaf0`, `_leaf1`, ..., which tell whether a post holds each of the leaves."""
+
+    leaves: tuple[Follow, ...]
+    sql: str
+
+    def holds_without_terms(self, spark: SparkSession) -> bool:
+        """Whether a post that holds no leaf fulfils it."""
+        none = spark.range(1).select(*[F.lit(False).alias(f"_leaf{k}") for k in range(len(self.leaves))])
+        return none.select(F.expr(self.sql)).first()[0]
+
+    def column(self, held: list[Column]) -> Column:
+        """The condition over columns that tell whether each leaf is held; `sql` has only its own names, signs and parentheses."""
+        signs = re.sub(r"\b(and|or|not)\b", lambda m: {"and": "&", "or": "|", "not": "~"}[m[1]], self.sql)
+        return eval(signs, {}, {f"_leaf{k}": c for k, c in enumerate(held)})
+
+    def holds(self, text: Column, config: Config) -> Column:
+        """Whether a text fulfils it; the text is tokenised once."""
+        return let(config.tokens(text), lambda t: self.column([leaf.held(t) for leaf in self.leaves]))
+
+
+#: Signs of search conditions and what they are in SQL, which has them in the same order of precedence; fixed values.
+SIGNS = {"&": "and", "|": "or", "!": "not", "(": "(", ")": ")"}
+#: Words with their distances, and the other signs.
+CONDITION = re.compile(r"\s*(?:([^\W_]+(?::\*)?(?:\s*<(?:-|\d+)>\s*[^\W_]+(?::\*)?)*)|([&|!()]))")
+
+
+def condition(text: str, config: Config = SIMPLE) -> Condition:
+    """A condition from text: words and beginnings of words (`cat:*`), `a <-> b` and `a <3> b` for distances between words, `!`, `&`, `|`
+    and parentheses, binding in this order. The signs become SQL, which Spark reads.
+
+    An error: other signs, two words without a sign between them, distances next to parentheses or after `!`, and stop words alone.
+    """
+    leaves, out, at, operand, depth = [], [], 0, False, 0
+    while text[at:].strip():
+        m = CONDITION.match(text, at)
+        if not m:
+            raise ValueError(f"{text[at:]!r} can't be read in the condition {text!r}")
+        at, is_open = m.end(), m[2] in ("(", "!")
+        if operand == bool(m[1] or is_open):
+            raise ValueError(f"a sign or a word is missing before {m[0].strip()!r} in the condition {text!r}")
+        if m[1]:
+            words = re.findall(r"([^\W_]+)(:\*)?", re.sub(r"<(?:-|\d+)>", " ", m[1]))
+            gaps = [1 if g == "-" else int(g) for g in re.findall(r"<(-|\d+)>", m[1])]
+            if gaps and out and out[-1] == "not":
+                raise ValueError(f"'!' before a distance in the condition {text!r}; put parentheses")
+            leaf = Follow.of([w for w, _ in words], config, [bool(p) for _, p in words], gaps)
+            if leaf is None:
+                raise ValueError(f"{m[1]!r} holds stop words alone, which no text holds a lexeme for")
+            out.append(f"_leaf{len(leaves)}")
+            leaves.append(leaf)
+        else:
+            out.append(SIGNS[m[2]])
+            depth += {"(": 1, ")": -1}.get(m[2], 0)
+            if depth < 0:
+                raise ValueError(f"a parenthesis is closed that is not open in the condition {text!r}")
+        operand = bool(m[1]) or m[2] == ")"
+    if not operand or depth:
+        raise ValueError(f"the condition {text!r} is not complete")
+    return Condition(tuple(leaves), " ".join(out))
+
+
 INDEX = "site string, board string, term string, post_no long, positions array<int>"
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.functions.search import ENGLISH, Config, Terms, holds_phrase, matches, searched_text
+from boardlake.functions.search import ENGLISH, Config, Terms, condition, holds_phrase, matches, searched_text
 from boardlake.functions.times import parse_bound
 
 
@@ -20,6 +20,11 @@ def by_terms(posts: DataFrame, where: Callable[[Terms], Column], config: Config
     return posts.filter(matches(searched_text(F.col("subject"), F.col("body_text")), where, config))
 
 
+def by_condition(posts: DataFrame, text: str, config: Config = ENGLISH) -> DataFrame:
+    """Posts that fulfil a condition from text, as `fat & (rat | !cat:*)` or `a <-> b`; see `search.condition`."""
+    return posts.filter(condition(text, config).holds(searched_text(F.col("subject"), F.col("body_text")), config))
+
+
 def by_board(posts: DataFrame, board: str | None = None, site: str | None = None) -> DataFrame:
     for name, value in (("board", board), ("site", site)):
         posts = posts if value is None else posts.filter(F.col(name) == value)

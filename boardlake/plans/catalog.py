@@ -169,6 +169,28 @@ def inverted_index(spark, sf):
     return search.inverted_index(posts(spark, sf))
 
 
+_CONDITION = "with <-> the & !idiot | trash | loweis:* & !(of | the <3> with)"
+_CONDITION_SQL = (
+    f"select post_no, board from (select *, {TOKENS} as t from posts) where contains({JOINED}, ' with the ') and not list_contains(t, 'idiot') or list_contains(t, 'trash')"
+    " or len([x for x in t if starts_with(x, 'loweis')]) > 0 and not (list_contains(t, 'of') or len([i for i in range(1, len(t) - 2) if t[i] = 'the' and t[i+3] = 'with']) > 0)"
+)
+
+
+@query(_CONDITION_SQL)
+def filter_condition(spark, sf):
+    """A condition from text, over the texts."""
+    return P.by_condition(posts(spark, sf), _CONDITION, search.SIMPLE).select("post_no", "board")
+
+
+@query(_CONDITION_SQL)
+def search_condition(spark, sf):
+    """The same from the postings of its terms, in an index that three ingests have made."""
+    p, index = posts(spark, sf), TermIndex(spark, f"{shared_folder(spark)}/terms-{uuid.uuid4().hex}")
+    for k in range(3):
+        index = index.add(p.filter(F.col("post_no") % 3 == k))
+    return index.find(_CONDITION, p).select("post_no", "board")
+
+
 @query("select post_no, board from hits", POSTS + ", " + HITS)
 def search_index(spark, sf):
     """The phrase found through a stored index, which is built first."""

@@ -24,15 +24,25 @@ def render() -> Column:
 
 @dataclass
 class PostStore:
-    """A store of posts. Without a phrase, counts come from the summary, which has a row for each source, board and year."""
+    """A store of posts. Without a phrase, counts come from the summary, which has a row for each source, board and year. With an
+    index of these posts, searches of its configuration read its postings instead of the texts."""
 
     posts: DataFrame
     stats: DataFrame | None = None
+    index: TermIndex | None = None
 
     def _found(self, phrase: str, board: str | None, site: str | None, start: str | None, end: str | None, config: Config) -> DataFrame:
         rows = filters.by_time(filters.by_board(self.posts, board, site), start, end)
+        if self.index is not None and self.index.config == config:
+            return rows.join(self.index.phrase(phrase), dedup.KEY, "left_semi")
         return filters.by_phrase(rows, phrase, config)
 
+    def where(self, text: str, config: Config = ENGLISH) -> DataFrame:
+        """The posts that fulfil a condition such as `fat & (rat | !cat:*)`."""
+        if self.index is not None and self.index.config == config:
+            return self.index.find(text, self.posts)
+        return filters.by_condition(self.posts, text, config)
+
     def count(self, phrase: str, by: str = "month", board: str | None = None, site: str | None = None, start: str | None = None, end: str | None = None, config: Config = ENGLISH) -> DataFrame:
         return aggregates.count_by(self._found(phrase, board, site, start, end, config), by)
 

@@ -78,7 +78,7 @@ def test_terms(posts):
 
 def test_index(spark, posts, tmp_path):
     for config in (search.SIMPLE, search.ENGLISH):
-        index = TermIndex(spark, str(tmp_path / config.name), config, buckets=4).build(posts)
+        index = TermIndex(spark, str(tmp_path / config.name), config).build(posts)
         rows = {(r.term, r.post_no): list(r.positions) for r in index.read().collect()}
         want = {}
         for r in ROWS:
@@ -93,3 +93,78 @@ def test_index(spark, posts, tmp_path):
         assert sum(r.postings for r in status) == len(rows) and sum(r.terms for r in status) == len({t for t, _ in rows}) and all(r.bytes > 0 for r in status)
         index.drop()
         assert not (tmp_path / config.name).exists()
+
+
+def random_condition(r, depth=0):
+    words = ["with", "the", "house", "stone", "idiot", "trash", "x", "12", "nowhere", "st:*", "h:*", "zz:*"]
+    kind = r.random()
+    if depth > 2 or kind < 0.35:
+        return r.choice(words)
+    if kind < 0.5:
+        return r.choice(words) + "".join(f" <{r.choice(['-', 1, 2, 3])}> {r.choice(words)}" for _ in range(r.randint(1, 2)))
+    if kind < 0.65:
+        return f"!({random_condition(r, depth + 1)})"
+    return f"({random_condition(r, depth + 1)}) {r.choice('&|')} ({random_condition(r, depth + 1)})"
+
+
+def plain_condition(text, have):
+    """Python's own signs in place of the condition's, over the answers for its words."""
+
+    def chain(m):
+        words, gaps = re.findall(r"([a-z0-9]+)(:\*)?", re.sub("<[^>]*>", " ", m[0])), [1 if g == "-" else int(g) for g in re.findall(r"<(-|\d+)>", m[0])]
+        at = [sum(gaps[:k]) for k in range(len(words))]
+        fits = lambda t, w: t.startswith(w[0]) if w[1] else t == w[0]
+        return str(any(all(k + a < len(have) and fits(have[k + a], w) for a, w in zip(at, words, strict=True)) for k in range(len(have))))
+
+    text = re.sub(r"[a-z0-9]+(:\*)?( <[^>]*> [a-z0-9]+(:\*)?)*", chain, text)
+    return eval(text.replace("&", " and ").replace("|", " or ").replace("!", " not "))
+
+
+def test_conditions_by_scan_and_by_index(spark, posts, tmp_path):
+    r = random.Random(9)
+    index = TermIndex(spark, str(tmp_path / "i")).build(posts)
+    for text in ["with & the | idiot", "!house", "st:* <2> house", "!(with | the)", *[random_condition(r) for _ in range(12)]]:
+        want = {row[2] for row in ROWS if plain_condition(text, tokens(row))}
+        assert {x.post_no for x in filters.by_condition(posts, text, search.SIMPLE).collect()} == want, text
+        assert {x.post_no for x in index.find(text, posts).collect()} == want, text
+    plan = index.postings(["house"], ["st"])._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(EqualTo(term,house),StringStartsWith(term,st))]" in plan
+
+
+def test_conditions_that_cannot_be_read():
+    for text in ("two words", "", "a &", "& a", "(a", "a)", "a) & (b", "()", "a <-> (b | c)", "!a <-> b", "a % b", "a !b", "a (b)"):
+        with pytest.raises(ValueError):
+            search.condition(text)
+    with pytest.raises(ValueError):
+        search.condition("a & the", search.ENGLISH)
+    assert search.condition("houses <-> of <-> stones", search.ENGLISH).leaves == (search.Follow((("hous", False), ("stone", False)), (2,)),)
+
+
+def test_store_with_an_index(spark, posts, tmp_path):
+    rows = posts.selectExpr("*", "1 as thread_no", "cast(null as long) as ts_utc", "false as is_op")
+    for config in (search.SIMPLE, search.ENGLISH):
+        index = TermIndex(spark, str(tmp_path / config.name), config).build(rows)
+        with_index, without = PostStore(rows, index=index), PostStore(rows)
+        assert "regexp" not in with_index.search("house of stone", config=config)._jdf.queryExecution().toString()
+        assert with_index.search("house of stone", config=config).collect() == without.search("house of stone", config=config).collect()
+        assert {x.post_no for x in with_index.where("house & !stone", config).collect()} == {x.post_no for x in without.where("house & !stone", config).collect()}
+
+
+def test_segments_are_merged_by_size(spark, posts, tmp_path, monkeypatch):
+    from boardlake.plans import term_index
+
+    monkeypatch.setattr(term_index, "PENDING", 6000)
+    monkeypatch.setattr(term_index, "FANOUT", 3)
+    index, written = TermIndex(spark, str(tmp_path / "i")), 0
+    for k in range(7):
+        before = {p for p, _ in index.segments}
+        index = index.add(posts.filter(F.col("post_no") % 7 == k))
+        written += sum(s for p, s in index.segments if p not in before)
+        per_class = [index.size_class(s) for _, s in index.segments]
+        assert all(per_class.count(c) < 3 for c in per_class)
+    whole = TermIndex(spark, str(tmp_path / "w")).build(posts)
+    rows = lambda i: sorted((r.term, r.post_no, tuple(r.positions)) for r in i.read().collect())
+    assert rows(index) == rows(whole) == rows(TermIndex(spark, str(tmp_path / "i")))
+    assert len(index.segments) < 7
+    assert index.commits.sweep(["segments", "staged"], {p for p, _ in index.segments}) > 0
+    assert rows(index) == rows(whole)
