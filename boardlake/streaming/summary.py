@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from boardlake.operators.aggregates import post_stats
 from boardlake.operators.dedup import KEY, first_writer, merge_stats
 from boardlake.operators.histogram import coarsen, fixed
+from boardlake.plans.key_store import KeyStore
 from boardlake.sources.json_posts import staged_posts, stored
 
 
@@ -35,15 +36,16 @@ def read_stats(spark: SparkSession, folder: str) -> DataFrame:
     return merge_stats(spark.read.option("basePath", folder).parquet(folder).drop("batch"))
 
 
-def keep_posts(posts: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Adds to the store in folder what it lacks: each batch's posts once, without keys of earlier batches. Undated posts are stored like others."""
+def keep_posts(posts: DataFrame, folder: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Adds to the store in folder what it lacks: each batch's posts once, without keys of earlier batches. Undated posts are stored like others.
+
+    Keys are kept in buckets (`KeyStore`), so a batch shuffles its own posts and reads the keys in place."""
 
     def one(batch: DataFrame, number: int) -> None:
-        new = first_writer(batch, ("source_id",))
-        if number:
-            earlier = batch.sparkSession.read.option("basePath", folder).schema(f"batch long, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in batch.schema if f.name in KEY)}").parquet(folder)
-            new = new.join(earlier.filter(F.col("batch") < number).select(*KEY), KEY, "left_anti")
-        new.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        spark = batch.sparkSession
+        keys, path = KeyStore(spark, f"{folder}/_keys", buckets), f"{folder}/batch={number}"
+        keys.absent(first_writer(batch, ("source_id",)), F.col("part") < number).write.mode("overwrite").parquet(path)
+        keys.put(spark.read.parquet(path), number)
 
     return posts.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
