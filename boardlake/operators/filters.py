@@ -38,6 +38,27 @@ def by_time(posts: DataFrame, start: str | None = None, end: str | None = None)
     return posts if end is None else posts.filter(F.col("ts_utc") < parse_bound(end, end=True))
 
 
+def time_kind(start: str | None = None, end: str | None = None) -> Column:
+    """What a ranged scan does with a post: "dated" (it is in the range), "outside", or "undated"."""
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (F.col("ts_utc") >= parse_bound(start))
+    if end is not None:
+        inside = inside & (F.col("ts_utc") < parse_bound(end, end=True))
+    return F.when(F.col("ts_utc").isNull(), "undated").when(inside, "dated").otherwise("outside")
+
+
+def range_counts(start: str | None = None, end: str | None = None) -> list[Column]:
+    """Aggregates that count the kinds of `time_kind`, for a report or for `observe` beside a scan that drops rows."""
+    kind = time_kind(start, end)
+    return [F.count_if(kind == k).alias(k) for k in ("dated", "undated", "outside")]
+
+
+def range_report(posts: DataFrame, start: str | None = None, end: str | None = None, by: Sequence[str] = ("source_id", "board")) -> DataFrame:
+    """For each source and board the rows in a range, those without a date, and those outside it."""
+    return posts.groupBy(*by).agg(*range_counts(start, end))
+
+
 def like(column: str, pattern: str | None) -> Column:
     """LIKE, where no pattern fits all that is not null."""
     return F.col(column).like(pattern or "%")

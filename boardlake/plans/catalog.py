@@ -22,7 +22,10 @@ from boardlake.sources import html_posts as X
 from boardlake.sources import json_posts as J
 from boardlake.sources import mysql_dump as M
 from boardlake.sources import warc as W
+from boardlake.streaming import histogram as V
+from boardlake.streaming import summary as S
 
+from .archive import Archive
 from .term_index import TermIndex
 from .views import EVENT_POSTS, OFFERS, POSTS, THREADS, TIMELINE_SQL, event_posts, offers, posts, table, threads, timeline
 
@@ -859,6 +862,63 @@ def extract_warc(spark, sf):
     return spark.read.format("binaryFile").load(path).select(F.substring_index("path", "/", -1).alias("name"))
 
 
+# ---- a store that grows, and streams: staged lines are written in a few files, and each is a batch
+
+
+@query("""select site, board, post_no, source_rank, md5(body_text) as body_md5 from offers where subnum = 0
+ qualify row_number() over (partition by site, board, post_no order by source_rank) = 1""", OFFERS)
+def sync_archive(spark, sf):
+    """Two archives, stored one after the other in the order of a lock list; the first writer of a post wins."""
+    rows = offers(spark, sf).withColumn("source_rank", F.col("source_rank").cast("int"))
+    archive = Archive(spark, f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}", indexes=())
+    archive.sync(["1"], lambda n: rows.filter(F.col("source_rank") == int(n)).withColumn("rank_kept", F.col("source_rank")))
+    archive.sync(["1", "2"], lambda n: rows.filter(F.col("source_rank") == int(n)).withColumn("rank_kept", F.col("source_rank")))
+    return archive.store().posts.select("site", "board", "post_no", F.col("rank_kept").alias("source_rank"), F.md5("body_text").alias("body_md5"))
+
+
+def _streamed(spark, rows):
+    """Posts as a stream of staged lines in four files, and a folder for what is kept of them."""
+    line = F.to_json(F.struct("site", "board", F.col("post_no").alias("num"), F.col("thread_no").alias("thread_num"), F.col("ts_utc").alias("timestamp"), F.col("subject").alias("title")))
+    path = text_files(rows.select(line).repartition(4), "stream")
+    lines = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(path)
+    return J.stored(J.staged_posts(lines.withColumnRenamed("value", "line"))).withColumn("source_id", F.lit(1)), f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+
+
+@query("select distinct site, board, post_no, ts_utc from posts")
+def stream_store(spark, sf):
+    """Posts that come twice, in any batches, and are kept once."""
+    p = posts(spark, sf)
+    stream, folder = _streamed(spark, p.unionByName(p))
+    S.keep_posts(stream, f"{folder}/posts", f"{folder}/checkpoint", 8).awaitTermination()
+    return S.read_posts(spark, f"{folder}/posts").select("site", "board", "post_no", "ts_utc")
+
+
+@query(f"select site, board, width, {_BUCKETS} from event_posts join wide using (site, board) group by all", _WIDTHS)
+def stream_dates_adaptive(spark, sf):
+    """The histogram of `post_dates_adaptive`, from a stream."""
+    rows = event_posts(spark, sf).withColumns({"thread_no": F.col("post_no"), "subject": F.lit(None).cast("string")})
+    stream, folder = _streamed(spark, rows)
+    V.keep_adaptive(stream, f"{folder}/states", f"{folder}/checkpoint", 50, series=["site", "board"]).awaitTermination()
+    return V.read_adaptive(spark, f"{folder}/states", 50, series=["site", "board"])
+
+
+_RANGE = "case when ts_utc is null then 'undated' when ts_utc >= epoch(date '1996-03-01') and ts_utc < epoch(date '1998-10-01') then 'dated' else 'outside' end"
+
+
+@query(f"select source_id, board, count(*) filter (k = 'dated') as dated, count(*) filter (k = 'undated') as undated, count(*) filter (k = 'outside') as outside from (select *, {_RANGE} as k from posts) group by all")
+def range_report(spark, sf):
+    """What a ranged scan keeps of each source and board, and what it leaves out for want of a date or for its date."""
+    return P.range_report(posts(spark, sf), "1996-03", "1998-09")
+
+
+@query(f"select board, post_no, ts_utc, {_RANGE} as kind from posts where board is not null")
+def stream_by_date(spark, sf):
+    """One pass over a stream into folders for dated, undated and other posts."""
+    stream, folder = _streamed(spark, posts(spark, sf))
+    S.keep_by_date(stream, folder, f"{folder}/checkpoint", "1996-03", "1998-09").awaitTermination()
+    return S.read_by_date(spark, folder).select("board", "post_no", "ts_utc", F.col("kind").cast("string").alias("kind"))
+
+
 # ---- headers read from pictures: images have four labels each
 
 
