@@ -334,3 +334,16 @@ def inverted_index(posts: DataFrame, config: Config = SIMPLE) -> DataFrame:
     """(site, board, term, post_no, positions) of every term of every post, positions from 1. A post's terms are all in its row, so nothing is shuffled."""
     tokens = config.tokens(searched_text(F.col("subject"), F.col("body_text")))
     return posts.select("site", "board", F.col("post_no").cast("long").alias("post_no"), tokens.alias("tokens")).mapInArrow(_invert, INDEX)
+
+
+@F.pandas_udf(T.StringType())
+def _stem_of(terms: pd.Series) -> pd.Series:
+    return terms.map(lambda t: None if t in STOP_WORDS else stem(t))
+
+
+def stemmed_index(simple: DataFrame) -> DataFrame:
+    """The english index of the posts of a simple one, without their texts: each term of the vocabulary is stemmed once, and the
+    positions of terms with one stem are merged."""
+    stems = simple.select("term").distinct().select("term", _stem_of("term").alias("stem")).filter("stem is not null")
+    rows = simple.join(stems, "term").groupBy("site", "board", F.col("stem").alias("term"), "post_no")
+    return rows.agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.functions.search import ENGLISH, SIMPLE, Config
+from boardlake.functions.search import ENGLISH, SIMPLE, Config, stemmed_index
 from boardlake.operators import aggregates, dedup, filters
 from boardlake.plans.commits import Commits
 from boardlake.plans.key_store import KeyStore
@@ -83,13 +83,17 @@ class Archive:
         posts = self.spark.read.parquet(new)
         stats = self._write(aggregates.post_stats(posts), "stats")
         out = {"sources": [*state.get("sources", []), name], "posts": [*state.get("posts", []), new], "stats": [*state.get("stats", []), stats], "indexes": {}}
-        for config in self.indexes:
+        simple = None
+        for config in sorted(self.indexes, key=lambda c: c != SIMPLE.name):
             index = self._index(state, config)
             if not index.segments and state.get("posts"):  # an index that is new, or was dropped
-                posts_so_far = self.spark.read.parquet(*out["posts"])
-                out["indexes"][config] = index.added(posts_so_far).segments
+                added = index.added(self.spark.read.parquet(*out["posts"]))
+            elif config == ENGLISH.name and simple is not None:  # texts are not read again, nor a term stemmed twice
+                added = index.with_postings(stemmed_index(simple))
             else:
-                out["indexes"][config] = index.added(posts).merged().segments
+                added = index.added(posts)
+                simple = self.spark.read.parquet(added.segments[-1][0]) if config == SIMPLE.name else simple
+            out["indexes"][config] = added.merged().segments
             self._written("segments")
         return out
 

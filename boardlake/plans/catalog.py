@@ -21,6 +21,7 @@ from boardlake.operators import timelines as L
 from boardlake.sources import html_posts as X
 from boardlake.sources import json_posts as J
 from boardlake.sources import mysql_dump as M
+from boardlake.sources import saved_pages
 from boardlake.sources import warc as W
 from boardlake.streaming import histogram as V
 from boardlake.streaming import summary as S
@@ -754,18 +755,28 @@ def _walls(spark, sf):
 _SHIFTED_UTC = SHIFTED + ", " + _WALL
 
 
-@query("""select board, thread_no, s.post_no, is_op, u.ts as ts_utc, md5(coalesce(body_text, '') || case when s.post_no % 13 = 0 then chr(10) || 'INSERT INTO `x` VALUES (1,''a''),(' else '' end) as body_md5
- from shifted s join utc u on u.post_no = s.post_no - 8 where s.post_no % 29 <> 0""", _SHIFTED_UTC)
-def scan_sqldump(spark, sf):
-    """A dump with literal line feeds, quoted statements, tables of deleted posts, ghosts, thread pointers of 0 and a table without posts."""
+def _dump(spark, sf):
+    """The path of a dump with literal line feeds, quoted statements, tables of deleted posts, ghosts, thread pointers of 0 and a table without posts."""
     n, text = F.col("post_no"), lambda c: F.col(c).cast("string")
     body = F.concat(F.coalesce("body_text", F.lit("")), F.when(n % 13 == 0, "\nINSERT INTO `x` VALUES (1,'a'),(").otherwise(""))
     quoted = F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
     name = F.concat("board", F.when(n % 5 == 0, "_deleted").otherwise(""))
     create = F.concat(F.lit("CREATE TABLE IF NOT EXISTS `"), name, F.lit("` (\n  `num` int,\n  `subnum` int,\n  `thread_num` int,\n  `timestamp` int,\n  `comment` text\n) x;\nCREATE TABLE `staff` (\n  `id` int\n);\nINSERT INTO `staff` VALUES (1),(2);\n"))
     values = F.concat_ws(", ", text("post_no"), F.when(n % 29 == 0, "1").otherwise("0"), F.when(F.col("is_op"), "0").otherwise(text("thread_no")), text("wall"), F.concat(F.lit("'"), quoted, F.lit("'")))
-    path = text_files(_walls(spark, sf).select(F.concat(create, F.lit("INSERT INTO `"), name, F.lit("` VALUES ("), values, F.lit(");"))), "dump")
-    return M.stored(M.read_dump(spark, path)).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
+    return text_files(_walls(spark, sf).select(F.concat(create, F.lit("INSERT INTO `"), name, F.lit("` VALUES ("), values, F.lit(");"))), "dump")
+
+
+@query("""select board, thread_no, s.post_no, is_op, u.ts as ts_utc, md5(coalesce(body_text, '') || case when s.post_no % 13 = 0 then chr(10) || 'INSERT INTO `x` VALUES (1,''a''),(' else '' end) as body_md5
+ from shifted s join utc u on u.post_no = s.post_no - 8 where s.post_no % 29 <> 0""", _SHIFTED_UTC)
+def scan_sqldump(spark, sf):
+    return M.stored(M.read_dump(spark, _dump(spark, sf))).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
+
+
+@query("""select board, thread_no, s.post_no, is_op, u.ts as ts_utc, md5(coalesce(body_text, '') || case when s.post_no % 13 = 0 then chr(10) || 'INSERT INTO `x` VALUES (1,''a''),(' else '' end) as body_md5
+ from shifted s join utc u on u.post_no = s.post_no - 8 where s.post_no % 29 <> 0 and board in ('de', 'fr')""", _SHIFTED_UTC)
+def scan_sqldump_boards(spark, sf):
+    """Two boards of the dump; INSERTs of others are left out by their heads, before their tuples are parsed."""
+    return M.stored(M.read_dump(spark, _dump(spark, sf), boards=["de", "fr"])).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
 
 
 @query("""select * from (values ('de', ['num', 'subnum', 'thread_num', 'timestamp', 'media_filename', 'media_orig', 'comment'], true), ('staff', ['id', 'media_filename'], false)) t(board, names, posts)""", "unused as (select 1)")
@@ -801,6 +812,20 @@ def scan_html_native(spark, sf):
     return X.native_posts(_thread_pages(shifted(spark, sf), post, "<html><body>", "</body></html>")).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
 
 
+@query(f"select * from (select {_PLACED}, thread_no, post_no, is_op, ts_utc, md5({_CLEAN}) as body_md5 from shifted) where board in ('b0', 'b2')", SHIFTED)
+def scan_saved_pages(spark, sf):
+    """Pages saved as one file each in a folder for each board; those of two boards are read."""
+    n, text = F.col("post_no").cast("string"), F.col("body_text")
+    stamp = F.coalesce(F.concat(F.lit('<span class="dateTime" data-utc="'), F.col("ts_utc").cast("string"), F.lit('">x</span>')), F.lit(""))
+    post = F.concat(F.lit('<div class="postContainer '), F.when(F.col("is_op"), "opContainer").otherwise("replyContainer"), F.lit('" id="pc'), n, F.lit('"><div class="postInfo desktop"><span class="name">Anon</span>'), stamp, F.lit('</div><blockquote class="postMessage">'), _escaped(text), F.lit("</blockquote></div>"))
+    pages = _thread_pages(shifted(spark, sf), post, "<html><body>", "</body></html>")
+    path = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    W.extract_pages(pages.select(F.col("file").alias("uri"), F.lit("").alias("date"), F.substr("file", F.lit(2)).alias("name"), F.encode("page", "UTF-8").alias("body")), path)
+    saved_pages.register(spark)
+    read = spark.read.format("saved_pages").option("path", path).load().filter(F.col("board").isin("b0", "b2"))
+    return X.native_posts(read).select("board", "thread_no", "post_no", "is_op", "ts_utc", F.md5("body_text").alias("body_md5"))
+
+
 @query(f"select {_PLACED}, thread_no, s.post_no, is_op, u.ts as ts_utc, md5({_CLEAN}) as body_md5, 'pic' || s.post_no || '.jpg' as media_filename from shifted s join utc u on u.post_no = s.post_no - 8", _SHIFTED_UTC)
 def scan_html_legacy(spark, sf):
     """Both hand-made templates: every other thread in one, the rest in the other."""

@@ -50,8 +50,12 @@ class TermIndex:
 
     def added(self, posts: DataFrame) -> TermIndex:
         """The index with a segment of these posts, written but not committed."""
+        return self.with_postings(inverted_index(posts, self.config))
+
+    def with_postings(self, postings: DataFrame) -> TermIndex:
+        """The index with a segment of these postings."""
         staged = self.commits.new_part("staged")
-        inverted_index(posts, self.config).write.parquet(staged)  # ranges are sampled before they are written, and texts are read once
+        postings.write.parquet(staged)  # ranges are sampled before they are written, and texts are read once
         rows = self.spark.read.schema(INDEX).parquet(staged)
         out = TermIndex(self.spark, self.folder, self.config, [*self.segments, self._write(rows, rows.count())])
         self.commits.delete(staged)

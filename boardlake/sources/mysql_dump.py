@@ -7,7 +7,7 @@ tasks. A post may quote such a line, so whether a head begins a statement depend
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -225,23 +225,29 @@ def side_tables(spark: SparkSession, path: str, older: bool = False) -> DataFram
     return tables.filter(~holds_posts(declared))
 
 
-def dump_rows(spark: SparkSession, path: str, older: bool = False) -> DataFrame:
-    """(file, table, names, v): the values of every row of every table with posts; the INSERT's own column list wins over the CREATE TABLE's."""
+def of_boards(statements: DataFrame, boards: Sequence[str]) -> DataFrame:
+    """The records whose INSERT is into a board's table, or that of its deleted posts; known from the head, so others are not parsed."""
+    names = [n for b in boards for n in (b, f"{b}_deleted")]
+    return statements.filter(F.regexp_extract("record", r"^\W?INSERT INTO `([^`]+)`", 1).isin(names))
+
+
+def dump_rows(spark: SparkSession, path: str, older: bool = False, boards: Sequence[str] | None = None) -> DataFrame:
+    """(file, table, names, v): the values of every row of every table with posts, or of some boards'; the INSERT's own column list wins over the CREATE TABLE's."""
     cut = records(spark, path)
-    each = cut.select("file", F.inline(_statements("record")).alias("table", "columns", "rows", "bad"))
+    each = (cut if boards is None else of_boards(cut, boards)).select("file", F.inline(_statements("record")).alias("table", "columns", "rows", "bad"))
     known = each.join(created_tables(cut), ["file", "table"], "left").withColumn("names", F.coalesce("columns", "declared"))
     if older:
         known = known.withColumn("names", normal_columns(F.col("names")))
     return known.filter(holds_posts(F.col("names"))).select("file", "table", "names", F.explode("rows").alias("v"))
 
 
-def read_dump(spark: SparkSession, path: str, site: str = "site0", older: bool = False) -> DataFrame:
-    """The posts of a dump. Times are New York wall times; a table <board>_deleted has posts of the same board; ghosts stay, with their subnum."""
+def read_dump(spark: SparkSession, path: str, site: str = "site0", older: bool = False, boards: Sequence[str] | None = None) -> DataFrame:
+    """The posts of a dump, or of some boards. Times are New York wall times; a table <board>_deleted has posts of the same board; ghosts stay, with their subnum."""
     at = lambda name: F.get("v", F.array_position("names", F.lit(name)).cast("int") - 1)
     field = lambda name: F.when(F.array_contains("names", name), strip_nulls(at(name)))
     post_no, stamp = number_or_null(at("num")), number_or_null(at("timestamp"))
     thread_no = F.coalesce(F.nullif(number_or_null(at("thread_num")), F.lit(0).cast("long")), post_no)
-    rows = dump_rows(spark, path, older)
+    rows = dump_rows(spark, path, older, boards)
     return rows.select(
         F.lit(site).alias("site"), F.regexp_replace("table", "_deleted$", "").alias("board"), thread_no.alias("thread_no"), post_no.alias("post_no"),
         F.when(F.array_contains("names", "op"), F.coalesce(at("op") == "1", F.lit(False))).otherwise(thread_no == post_no).alias("is_op"),

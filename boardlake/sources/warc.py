@@ -184,17 +184,19 @@ def page_text(body: Column) -> Column:
 
 
 def extract_pages(pages: DataFrame, folder: str) -> int:
-    """Writes each page of `html_pages` as a file named after its address, and returns how many there are; none is an error.
+    """Writes each page (uri, date, name, body) as a file of its name below a folder, and returns how many there are; none is an error.
 
     Of several captures with one name the last by date is written. A task that runs again writes the same files."""
     last = pages.filter("uri is not null").groupBy("name").agg(F.max_by("body", F.struct("date", F.xxhash64("body"))).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = arrow_files(folder)
-        files.create_dir(root, recursive=True)
-        n = 0
+        n, made = 0, set()
         for batch in batches:
             for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                if (within := f"{root}/{name}".rpartition("/")[0]) not in made:
+                    files.create_dir(within, recursive=True)
+                    made.add(within)
                 with files.open_output_stream(f"{root}/{name}") as out:
                     out.write(body)
                 n += 1

@@ -128,3 +128,31 @@ def test_pages_are_written_one_file_each(spark, tmp_path):
     assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == {"a.org_x_1.html": b"<p>WARC/1.0\r\n</p>", "a.org_x_2.html": b"two"}
     with pytest.raises(ValueError):
         warc.extract_pages(found.filter("uri = 'none'"), str(tmp_path / "none"))
+
+
+def test_boards_are_pushed_to_saved_pages(spark, tmp_path):
+    from boardlake.sources import saved_pages
+
+    for board in "abc":
+        for k in range(5):
+            (tmp_path / board / "sub").mkdir(parents=True, exist_ok=True)
+            (tmp_path / board / "sub" / f"{k}.html").write_text(f"<p>{board}{k}é</p>")
+        (tmp_path / board / "notes.txt").write_text("no page")
+    saved_pages.register(spark)
+    pages = spark.read.format("saved_pages").option("path", str(tmp_path)).option("split", 30).load()
+    assert pages.count() == 15
+    some = pages.filter("board in ('a', 'c') and page like '%3%'")
+    assert sorted(r.page for r in some.collect()) == ["<p>a3é</p>", "<p>c3é</p>"]
+    one = pages.filter("board = 'b'")
+    assert one.rdd.getNumPartitions() == 3 and one.count() == 5
+    reader = saved_pages.Reader(str(tmp_path), 1000)
+    assert list(reader.pushFilters([saved_pages.EqualTo(("board",), "b"), saved_pages.EqualTo(("file",), "x")])) == [saved_pages.EqualTo(("file",), "x")]
+    assert {b for p in reader.partitions() for b, _ in p.files} == {"b"}
+
+
+def test_boards_of_a_dump(spark, tmp_path):
+    text, _ = dump(5)
+    (tmp_path / "a.sql").write_text(text + text.replace("`g`", "`h`") + text.replace("INTO `g`", "INTO `g_deleted`"), newline="")
+    every = mysql_dump.dump_rows(spark, str(tmp_path))
+    assert {r.table for r in mysql_dump.of_boards(mysql_dump.records(spark, str(tmp_path)), ["g"]).select(mysql_dump.F.inline(mysql_dump._statements("record"))).collect()} == {"g", "g_deleted"}
+    assert mysql_dump.dump_rows(spark, str(tmp_path), boards=["h"]).count() == every.filter("table = 'h'").count() > 0

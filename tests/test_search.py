@@ -140,6 +140,11 @@ def test_conditions_that_cannot_be_read():
     assert search.condition("houses <-> of <-> stones", search.ENGLISH).leaves == (search.Follow((("hous", False), ("stone", False)), (2,)),)
 
 
+def test_stems_of_the_vocabulary(posts):
+    rows = lambda df: sorted((r.term, r.post_no, tuple(r.positions)) for r in df.collect())
+    assert rows(search.stemmed_index(search.inverted_index(posts))) == rows(search.inverted_index(posts, search.ENGLISH))
+
+
 def test_store_with_an_index(spark, posts, tmp_path):
     rows = posts.selectExpr("*", "1 as thread_no", "cast(null as long) as ts_utc", "false as is_op")
     for config in (search.SIMPLE, search.ENGLISH):
