@@ -34,10 +34,11 @@ BASE = {
     "access": (re.compile(r"AKIA[A-Z0-9]+"), 20),
     "hex": (re.compile(r"[0-9a-f]{24,}"), 24),
 }
+#: A user before an @ begins where its run of characters does, so a run is looked at once.
 WEAK = {
     "ident": re.compile(r"""(?i:user(?:name|_?id)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""", re.ASCII),
     "weak": re.compile(r"[A-Za-z0-9+/_-]{20,}"),
-    "endpoint": re.compile(r"(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|[A-Za-z0-9_.-]+@[A-Za-z0-9.-]+:[0-9]{2,5}", re.ASCII),
+    "endpoint": re.compile(r"(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]++@[A-Za-z0-9.-]+:[0-9]{2,5}", re.ASCII),
 }
 #: A superset of what can hold a part, for a linear scan of a whole batch before the exact patterns run.
 MAYBE = {

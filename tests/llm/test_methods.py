@@ -312,3 +312,10 @@ def test_encoding_and_decoding_columns(spark):
     rows = spark.createDataFrame([(1, "Hello  World"), (2, None), (3, "")], "i int, text string")
     out = {r.i: (list(r.ids), r.back) for r in rows.withColumn("ids", bpe.encode_column(F.col("text"))).withColumn("back", bpe.decode_column(F.col("ids"))).collect()}
     assert out[2] == out[3] == ([], "") and out[1][1] == "hello</w> world</w>" and len(out[1][0]) == 2
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " http://x", "a@" * 300_000, "token" + " " * 500_000, "a.b@c-" * 150_000 + ":22"])
+def test_secrets_of_long_runs_take_linear_time(text):
+    began = time.time()
+    secrets.find(text, list(range(len(secrets.KINDS))))
+    assert time.time() - began < 5
