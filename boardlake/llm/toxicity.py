@@ -6,9 +6,8 @@ together by full-batch Adam. Because words share n-gram vectors, spellings never
 
 Training takes labelled rows up to `CLASS_ROWS` of each class (the ones with the lowest hash of doc_id, so the choice is
 the same on every run) and up to `TRAIN_BYTES` of whole texts, in the same order; the shares of the classes among all
-labelled rows then set the bias. Words in fewer than `LEAST_TEXTS` of these texts are not fitted on: nothing can be learnt
-from them but the text itself. The three bounds limit what is fitted on, and so what the driver holds (all words of 20 MB of
-texts take 0.8 GB); every word of every text is scored. Scoring covers every row with
+labelled rows then set the bias. The two bounds limit what is fitted on, and so what the driver holds; all words of the texts
+are fitted on, and every word of every text is scored. Scoring covers every row with
 whole texts, from a table of one number for each n-gram bucket (`2 ** BITS` numbers, whatever the input).
 
 Defined results: a null or empty text has the score of the bias alone. Labels other than 0 and 1, labels of unknown
@@ -34,8 +33,7 @@ BITS = 18
 DIM = 4
 SIZES = (3, 4, 5, 6)
 CLASS_ROWS = 3000
-TRAIN_BYTES = 32 << 20
-LEAST_TEXTS = 3
+TRAIN_BYTES = 12 << 20
 #: Settings of the training: scale of the layer's input, share of the largest step size that evens out the others, decay, and the frequency at which a word's weight is halved.
 GAIN, FLAT, DECAY, SMOOTH = 200.0, 1e-3, 2e-4, 3e-3
 CACHE = 400_000
@@ -83,24 +81,18 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
         docs.append(np.full(len(own), d, np.int32)), found.append(own), times.append(n.astype(np.int32))
         sizes[d] = max(len(every), 1)
     doc, word, n = np.concatenate(docs), np.concatenate(found), np.concatenate(times)
-    kept = np.flatnonzero(np.bincount(word, minlength=len(ids)) >= LEAST_TEXTS)
-    if not len(kept):
+    if not len(ids):
         return np.zeros(1 << BITS, np.float32), 0.0, {}
     often = np.bincount(word, n, len(ids))
     weight_of = SMOOTH / (SMOOTH + often / often.sum())
-    place = np.full(len(ids), -1, np.int32)
-    place[kept] = np.arange(len(kept))
-    inside = place[word] >= 0
-    doc, word, n = doc[inside], word[inside], n[inside]
     share = n * weight_of[word] / sizes[doc]
-    word = place[word]
-    names = list(ids)
-    vocabulary = [names[i] for i in kept]
-    frequent = {w: v for w, v in zip(vocabulary, weight_of[kept].tolist(), strict=True) if v < 0.98}
-    del ids, names, docs, found, times, place
-    owner, bucket = buckets(vocabulary)
-    part = 1 / np.bincount(owner, minlength=len(vocabulary))[owner]
+    vocabulary = list(ids)
+    frequent = {w: v for w, v in zip(vocabulary, weight_of.tolist(), strict=True) if v < 0.98}
+    del ids, docs, found, times
+    owner, bucket = (x.astype(np.int32) for x in buckets(vocabulary))
+    part = (1 / np.bincount(owner, minlength=len(vocabulary)))[owner]
     used, bucket = np.unique(bucket, return_inverse=True)
+    bucket = bucket.astype(np.int32)
     rng = np.random.default_rng(seed)
     e, w, b = np.zeros((len(used), DIM)), rng.normal(0, 1, (DIM, 2)), np.zeros(2)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (e, w, b)]
@@ -132,11 +124,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, learn_from) -> tuple[list,
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.filter(F.col("toxic") == k).orderBy(*order).limit(CLASS_ROWS) for k in (0, 1)]
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    rows = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("t"))
-    # a window over the chosen rows, 2 * CLASS_ROWS at most
-    rows = rows.withColumn("upto", F.sum("t.size").over(Window.orderBy(*order))).filter(F.col("upto") <= TRAIN_BYTES)
-    return rows.orderBy("doc_id").select("doc_id", "toxic", "t.text").collect(), shares
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("size", F.octet_length("text"))
+    sizes = texts.drop("text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("size").alias("size"))
+    # a window over the sizes of the chosen rows, 2 * CLASS_ROWS at most; only texts that fit the bound are moved
+    kept = sizes.withColumn("upto", F.sum("size").over(Window.orderBy(*order))).filter(F.col("upto") <= TRAIN_BYTES).drop("upto")
+    rows = texts.join(F.broadcast(kept), ["doc_id", "size"]).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return rows.orderBy("doc_id").select("doc_id", "toxic", "text").collect(), shares
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from) -> tuple[np.ndarray, float, dict[str, float]]:
