@@ -13,15 +13,17 @@ expanded into pairs.
    average, so a run brings it to a common leaf of depth d with the chance of a branching process to live that long, and
    `runs_for` gives the runs that this takes. The first runs are those for depth 1; sets that came to deeper buckets are
    run again as often as the depth that was reached demands.
-4. Leaves are compared by brute force on the embedding, in blocks of `BLOCK` sets, and give only the edges of a spanning
-   forest. Their components are a superset of the linked groups: two sets of similarity 0.8 fall short of `LEAST` equal
-   values once in 20,000.
-5. The full sets of each component go, in blocks of `BLOCK_GRAMS` shingles, through an exact count of common shingles for
-   all pairs of the component. It gives the number of links of each class and the edges of the final components.
+4. Leaves of up to `BLOCK` sets are compared by brute force on the embedding and give only the edges of a spanning forest.
+   In larger ones, which are clusters that no token divides, sets with two neighbouring values in common are connected with
+   the least of them, which misses none and has no pairs. The components are a superset of the linked groups: two sets of
+   similarity 0.8 fall short of `LEAST` equal values once in 20,000.
+5. The full sets of each component go, in blocks of `BLOCK_GRAMS` shingles and `BLOCK_SETS` sets, through an exact count of
+   common shingles. Sets that share the same shingles with others are one kind, and only kinds are compared. It gives the
+   number of links of each class and the edges of the final components.
 
 Texts do not cross the network except those of classes in a component: a filter of bounded size over their keys is tested
 where the texts are read. No task gets more than two blocks, no row stands for a pair of texts, and nothing is dropped:
-long lists are dealt to more tasks, and a bucket at the last level is compared whole.
+long lists are dealt to more tasks, and a bucket at the last level is a leaf.
 
 Defined results: null and empty texts have the empty set; they are copies of each other and link to nothing else. Rows are
 told apart by id and a hash of the text. A class is named by the least doc_id of its documents, null if all are null. An
@@ -52,7 +54,7 @@ RECALL = 0.9999
 DEPTH = 6
 SMALL = 1024
 BLOCK = 1024
-BLOCK_GRAMS = 300_000
+BLOCK_GRAMS, BLOCK_SETS = 300_000, 30_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MULT = np.uint64(0x9E3779B97F4A7C15)
 U64 = np.uint64
@@ -183,7 +185,7 @@ def compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def flush() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    for rows in runs_of(batches, ["path", "p", "q"]):
+    for rows in runs_of(batches, ["path"]):
         if rows.num_rows < 2:
             continue
         cid = rows.column("cid").to_pylist()
@@ -199,6 +201,30 @@ def compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield flush()
 
 
+def coordinate_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, cid) for each two neighbouring values of each set: the path, their place and both values, hashed."""
+    place = np.arange(1, COORDS // 2 + 1, dtype=np.uint64) * MULT
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 2000):
+            part = batch.slice(lo, 2000)
+            sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint32).reshape(-1, COORDS).astype(np.uint64)
+            h = (sketch[:, ::2] << U64(32) | sketch[:, 1::2]) * U64(0xD6E8FEB86659FD93)
+            h = (h ^ h >> U64(32)) * MULT + place + part.column("path").to_numpy().view(np.uint64)[:, None] * U64(0xC2B2AE3D27D4EB4F)
+            h = (h ^ h >> U64(29)) * U64(0xFF51AFD7ED558CCD)
+            row = np.repeat(np.arange(part.num_rows), COORDS // 2)
+            yield pa.RecordBatch.from_arrays([pa.array((h ^ h >> U64(32)).reshape(-1).view(np.int64)), part.column("cid").take(pa.array(row))], names=["key", "cid"])
+
+
+def star_edges(leaves: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the sets of leaves which have two neighbouring values in common, each with the least of them.
+
+    Two sets with LEAST of COORDS equal values have at least LEAST - COORDS / 2 of the COORDS / 2 places with both values
+    equal, so none is missed, and the rows are as many as the sets times COORDS / 2, however large a leaf is."""
+    keys = leaves.select("path", "cid", "sketch").mapInArrow(coordinate_pairs, "key long, cid binary")
+    stars = keys.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).filter(F.col("a") < F.col("z")).drop("z")
+    return keys.join(stars, "key").filter(F.col("a") < F.col("cid")).select("a", F.col("cid").alias("b"))
+
+
 def dealt(rows: DataFrame, keys: list[str], blocks: str, own: str) -> DataFrame:
     """Each row once for every pair of blocks that its own is in, dealt and sorted by keys, p and q."""
     other = F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
@@ -222,9 +248,10 @@ def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[i
         last = depth == DEPTH - 1
         split = (F.col("g") > SMALL) & (2 * F.col("g") <= F.col("of"))
         leaves = shared if last else shared.filter(~split)
-        leaves = leaves.withColumns({"nb": F.ceil(F.col("g") / BLOCK).cast("int")}).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
-        leaves = dealt(leaves.select("path", "cid", "sketch", "nb", "own"), ["path"], "nb", "own")
-        found.append(written(leaves.mapInArrow(compare_leaves, "a binary, b binary").distinct(), f"jaccard-edges{depth}"))
+        small, large = leaves.filter(F.col("g") <= BLOCK), leaves.filter(F.col("g") > BLOCK)
+        small = small.select("path", "cid", "sketch").repartition("path").sortWithinPartitions("path")
+        edges = small.mapInArrow(compare_leaves, "a binary, b binary")
+        found.append(written(edges.unionByName(star_edges(large)).distinct(), f"jaccard-edges{depth}"))
         nodes = shared.filter(split).select("path", "cid", "sketch", "g")
         if last or nodes.isEmpty():
             break
@@ -276,34 +303,47 @@ def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.cumsum(size) - size
         flat = np.concatenate(grams)
         order = np.argsort(flat, kind="stable")
-        owner = np.repeat(np.arange(m), size)[order]
         ordered = flat[order]
         new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
         begin = np.flatnonzero(new)
         many = np.diff(np.append(begin, len(ordered)))
         slot = np.empty(len(flat), np.int64)
         slot[order] = np.cumsum(new) - 1
-        label = np.arange(m)  # the first member of each linked group so far
-        texts, linked = np.zeros(m, np.int64), np.zeros(m, np.int64)
+        # what sets have in common are grams that more than one of them has; those with the same such grams and size have
+        # the same in common with each other set, so they are one kind, and kinds are compared instead of sets
+        shared = many[slot] > 1
+        kind_of, kinds = np.empty(m, np.int64), {}
         for i in range(m):
             mine = slot[first[i] : first[i] + size[i]]
-            mine = mine[many[mine] > 1]
-            if not len(mine):
-                continue
-            count, start = many[mine], begin[mine]
-            where = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            common = np.bincount(owner[where], minlength=m)
-            common[i] = 0
-            hit = np.flatnonzero(UNDER * common >= OVER * (size + size[i] - common))
+            kind_of[i] = kinds.setdefault((mine[shared[first[i] : first[i] + size[i]]].tobytes(), int(size[i]), int(own[i])), len(kinds))
+        k = len(kinds)
+        rep = np.full(k, m)
+        np.minimum.at(rep, kind_of, np.arange(m))
+        sets_of, rows_of = np.bincount(kind_of, minlength=k), np.bincount(kind_of, copies, k).astype(np.int64)
+        core = [slot[first[i] : first[i] + size[i]][shared[first[i] : first[i] + size[i]]] for i in rep.tolist()]
+        n_core, k_size, k_own = np.array(list(map(len, core))), size[rep], own[rep]
+        listed = np.concatenate(core)
+        order = np.argsort(listed, kind="stable")
+        owner, length = np.repeat(np.arange(k), n_core)[order], np.bincount(listed, minlength=len(begin))
+        begin = np.cumsum(length) - length
+        label = np.arange(k)  # the first kind of each linked group so far
+        texts, linked = np.zeros(k, np.int64), np.zeros(k, np.int64)
+        alike = (p == q) & (sets_of > 1) & (UNDER * n_core >= OVER * (2 * k_size - n_core))
+        for i in range(k):
+            count, start = length[core[i]], begin[core[i]]
+            where = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            other, common = np.unique(owner[where], return_counts=True)
+            hit = other[(UNDER * common >= OVER * (k_size[other] + k_size[i] - common)) & (other != i)]
             if p != q:
-                hit = hit[own[hit] != own[i]]
+                hit = hit[k_own[hit] != k_own[i]]
+            texts[i], linked[i] = sets_of[hit].sum() + alike[i] * (sets_of[i] - 1), rows_of[hit].sum()
             if len(hit):
-                texts[i], linked[i] = len(hit), copies[hit].sum()
                 groups = np.unique(np.append(label[hit], label[i]))
                 if len(groups) > 1:
                     label[np.isin(label, groups)] = groups[0]
-        for i in np.flatnonzero(texts):
-            out[0].append(cid[i]), out[1].append(int(texts[i])), out[2].append(int(linked[i])), out[3].append(cid[label[i]])
+        for i in np.flatnonzero(texts[kind_of]):
+            t = kind_of[i]
+            out[0].append(cid[i]), out[1].append(int(texts[t])), out[2].append(int(linked[t] + alike[t] * (rows_of[t] - copies[i]))), out[3].append(cid[rep[label[t]]])
         if len(out[0]) > 20_000:
             yield flush()
             for x in out:
@@ -321,7 +361,7 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = written(classes.select("cid", "copies", "least", "rep._k", "rep._h", "n", "sketch"), "jaccard-classes")
     candidates = components(chosen_path_edges(classes), "jaccard-candidates")
     some = classes.join(candidates.select(F.col("v").alias("cid"), F.col("label").alias("group")), "cid").drop("sketch")
-    blocks = some.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("nb"))
+    blocks = some.groupBy("group").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_GRAMS, F.count("*") / BLOCK_SETS)).cast("int").alias("nb"))
     some = some.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
     some = written(some.select("group", "cid", "copies", "nb", "own", "_k", "_h"), "jaccard-members")
     texts = KeyFilter(some, ["_k", "_h"]).candidates(keyed.drop("doc_id")).dropDuplicates(["_k", "_h"])
