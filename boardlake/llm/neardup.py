@@ -202,14 +202,14 @@ def compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def coordinate_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, cid) for each two neighbouring values of each set: the path, their place and both values, hashed."""
+    """(key, cid) for each two neighbouring values of each set: their place and both values, hashed."""
     place = np.arange(1, COORDS // 2 + 1, dtype=np.uint64) * MULT
     for batch in batches:
         for lo in range(0, batch.num_rows, 2000):
             part = batch.slice(lo, 2000)
             sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint32).reshape(-1, COORDS).astype(np.uint64)
             h = (sketch[:, ::2] << U64(32) | sketch[:, 1::2]) * U64(0xD6E8FEB86659FD93)
-            h = (h ^ h >> U64(32)) * MULT + place + part.column("path").to_numpy().view(np.uint64)[:, None] * U64(0xC2B2AE3D27D4EB4F)
+            h = (h ^ h >> U64(32)) * MULT + place
             h = (h ^ h >> U64(29)) * U64(0xFF51AFD7ED558CCD)
             row = np.repeat(np.arange(part.num_rows), COORDS // 2)
             yield pa.RecordBatch.from_arrays([pa.array((h ^ h >> U64(32)).reshape(-1).view(np.int64)), part.column("cid").take(pa.array(row))], names=["key", "cid"])
@@ -219,8 +219,9 @@ def star_edges(leaves: DataFrame) -> DataFrame:
     """Edges (a, b) that connect the sets of leaves which have two neighbouring values in common, each with the least of them.
 
     Two sets with LEAST of COORDS equal values have at least LEAST - COORDS / 2 of the COORDS / 2 places with both values
-    equal, so none is missed, and the rows are as many as the sets times COORDS / 2, however large a leaf is."""
-    keys = leaves.select("path", "cid", "sketch").mapInArrow(coordinate_pairs, "key long, cid binary")
+    equal, so none is missed, and the rows are as many as the sets times COORDS / 2, however large a leaf is and however many
+    runs a set came to one in."""
+    keys = leaves.select("cid", "sketch").dropDuplicates(["cid"]).mapInArrow(coordinate_pairs, "key long, cid binary")
     stars = keys.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).filter(F.col("a") < F.col("z")).drop("z")
     return keys.join(stars, "key").filter(F.col("a") < F.col("cid")).select("a", F.col("cid").alias("b"))
 
