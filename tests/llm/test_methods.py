@@ -319,3 +319,17 @@ def test_secrets_of_long_runs_take_linear_time(text):
     began = time.time()
     secrets.find(text, list(range(len(secrets.KINDS))))
     assert time.time() - began < 5
+
+
+def test_large_leaves_and_kinds_of_sets(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("BLOCK_SETS", 50), ("BLOCK_GRAMS", 3000), ("SMALL", 16)):
+        monkeypatch.setattr(neardup, name, value)
+    r = random.Random(21)
+    long, nine = prose(40, r), prose(8, r)
+    texts = [f"{long} own{i}" for i in range(90)] + [f"{nine} own{i}" for i in range(90)] + [f"{long} own{i % 3} and {prose(r.randint(0, 9), r)}" for i in range(60)] + [prose(30, r) for _ in range(30)]
+    texts += texts[:5] * 4 + texts[100:103]
+    sets = [set(neardup.gram_set(t).tolist()) for t in texts]
+    like = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    want = {i: (sum(like(s, u) for u in sets) - 1, len({frozenset(u) for u in sets if u != s and like(s, u)})) for i, s in enumerate(sets)}
+    got = neardup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {x.doc_id: (x.n_links, x.n_text_links) for x in got} == want
