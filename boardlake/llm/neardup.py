@@ -223,7 +223,9 @@ def star_edges(leaves: DataFrame) -> DataFrame:
     runs a set came to one in."""
     keys = leaves.select("cid", "sketch").dropDuplicates(["cid"]).mapInArrow(coordinate_pairs, "key long, cid binary")
     stars = keys.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).filter(F.col("a") < F.col("z")).drop("z")
-    return keys.join(stars, "key").filter(F.col("a") < F.col("cid")).select("a", F.col("cid").alias("b"))
+    # a set names its least root alone, and the least root the set's others, of which many sets have the same
+    per = keys.join(stars, "key").groupBy("cid").agg(F.min("a").alias("a"), F.collect_set("a").alias("roots"))
+    return per.select("a", F.explode(F.array_union("roots", F.array("cid"))).alias("b")).filter(F.col("a") < F.col("b"))
 
 
 def dealt(rows: DataFrame, keys: list[str], blocks: str, own: str) -> DataFrame:
