@@ -975,6 +975,17 @@ def ocr_distance(spark, sf):
     return _labels(spark, sf).select("event_id", O.header_distance(F.concat(F.lit("Anonymous  "), read), F.col("label")).alias("distance"))
 
 
+_LINES = f"lines as (select event_id, {_LABEL} || case when event_id % 2 = 0 then 'UTC-4' else '' end || 'No.' || (event_id + 10) as label from events)"
+
+
+@query("select a.event_id, levenshtein(a.label, b.label)::int as distance from lines a join lines b on b.event_id = a.event_id + 1", _LINES)
+def levenshtein_lines(spark, sf):
+    """The edit distance of each header line to the next event's, in the JVM; lines have some thirty letters."""
+    line = _labels(spark, sf).select("event_id", "label")
+    before = line.select((F.col("event_id") + 1).alias("event_id"), F.col("label").alias("before"))
+    return line.join(before, "event_id").select((F.col("event_id") - 1).alias("event_id"), F.levenshtein("before", "label").alias("distance"))
+
+
 def _numbered(spark, sf):
     return _labels(spark, sf).withColumn("label_no", (F.col("event_id") % 4).cast("int")).withColumn("board", F.lit("x"))
 
