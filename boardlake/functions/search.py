@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlake.functions.batches import in_pieces
 from boardlake.functions.columns import let
 
 TOKEN = r"[\p{L}\p{N}]+"
@@ -311,8 +312,8 @@ INDEX = "site string, board string, term string, post_no long, positions array<i
 
 
 def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The terms of each row with their positions, from token lists: all tokens of a batch are sorted by row and term at once."""
-    for batch in batches:
+    """The terms of each row with their positions, from token lists: all tokens of a piece are sorted by row and term at once."""
+    for batch in (piece for whole in batches for piece in in_pieces(whole)):
         lists = batch.column("tokens").cast(pa.large_list(pa.large_string()))
         offsets = lists.offsets.to_numpy()
         values = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
