@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,85 +40,111 @@ def tokens_simple(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+#: Whole words of the stemmer's own, endings of its steps and what some become; fixed values.
+SPECIAL = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl"}
+SPECIAL |= {w: w for w in ("sky", "news", "howe", "atlas", "cosmos", "bias", "andes")}
+STEP_2 = {"tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize", "ization": "ize", "ational": "ate", "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous", "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "fulli": "ful", "lessli": "less"}
+STEP_3 = {"tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+ENDINGS_2, ENDINGS_3 = frozenset((*STEP_2, "ogi", "li")), frozenset((*STEP_3, "ative"))
+ENDINGS_4 = frozenset(("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize", "ion"))
+ENDINGS_EED, ENDINGS_ED, LONGEST = frozenset(("eed", "eedly")), frozenset(("ed", "edly", "ing", "ingly")), 7
+SHORT = re.compile("[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$")
+FIRST_Y, REGION_START, REGION = re.compile("^y|(?<=[aeiouy])y"), re.compile("gener|commun|arsen"), re.compile("[aeiouy][^aeiouy]")
+VOWEL, VOWEL_BEFORE_LAST, DOUBLED, LAST_Y, BEFORE_LI = re.compile("[aeiouy]"), re.compile("[aeiouy]."), re.compile("(bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), re.compile("[^aeiouy][yY]$"), re.compile("[cdeghkmnrt]li$")
+POSSESSIVE = re.compile("('s'|'s|')$")
+
+
+def _ending(word: str, options: frozenset[str]) -> str | None:
+    """The longest of the endings that the word has."""
+    for k in range(LONGEST, 0, -1):
+        if (e := word[-k:]) in options:
+            return e
+    return None
+
+
 def stem(word: str) -> str:
     """The Porter2 ("Snowball English") stem of a lower-case word."""
     if len(word) <= 2:
         return word
-    special = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl"}
-    if word in special:
-        return special[word]
-    if word in {"sky", "news", "howe", "atlas", "cosmos", "bias", "andes"}:
-        return word
-    w = re.sub("^y|(?<=[aeiouy])y", "Y", word.lstrip("'"))
-    start = re.match("gener|commun|arsen", w)
-    vc = re.compile("[aeiouy][^aeiouy]")
-    r1 = start.end() if start else (m.end() if (m := vc.search(w)) else len(w))
-    r2 = m.end() if (m := vc.search(w, r1)) else len(w)
-    short = lambda s: bool(re.search("[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$", s))
-    ends = lambda s, options: next((o for o in sorted(options, key=len, reverse=True) if s.endswith(o)), None)
-    w = re.sub("('s'|'s|')$", "", w)
+    if word in SPECIAL:
+        return SPECIAL[word]
+    w = FIRST_Y.sub("Y", word.lstrip("'"))
+    start = REGION_START.match(w)
+    r1 = start.end() if start else (m.end() if (m := REGION.search(w)) else len(w))
+    r2 = m.end() if (m := REGION.search(w, r1)) else len(w)
+    w = POSSESSIVE.sub("", w)
     if w.endswith("sses"):
         w = w[:-2]
     elif w.endswith(("ied", "ies")):
         w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith("s") and not w.endswith(("us", "ss")) and re.search("[aeiouy].", w[:-1]):
+    elif w.endswith("s") and not w.endswith(("us", "ss")) and VOWEL_BEFORE_LAST.search(w[:-1]):
         w = w[:-1]
     if w in {"inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"}:
         return w
-    if e := ends(w, ("eed", "eedly")):
+    if e := _ending(w, ENDINGS_EED):
         if len(w) - len(e) >= r1:
             w = w[: -len(e)] + "ee"
-    elif (e := ends(w, ("ed", "edly", "ing", "ingly"))) and re.search("[aeiouy]", w[: -len(e)]):
+    elif (e := _ending(w, ENDINGS_ED)) and VOWEL.search(w[: -len(e)]):
         w = w[: -len(e)]
         if w.endswith(("at", "bl", "iz")):
             w += "e"
-        elif re.search("(bb|dd|ff|gg|mm|nn|pp|rr|tt)$", w):
+        elif DOUBLED.search(w):
             w = w[:-1]
-        elif len(w) <= r1 and short(w):
+        elif len(w) <= r1 and SHORT.search(w):
             w += "e"
-    if re.search("[^aeiouy][yY]$", w) and len(w) > 2:
+    if LAST_Y.search(w) and len(w) > 2:
         w = w[:-1] + "i"
-    two = {"tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize", "ization": "ize", "ational": "ate", "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous", "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "fulli": "ful", "lessli": "less"}
-    if e := ends(w, (*two, "ogi", "li")):
+    if e := _ending(w, ENDINGS_2):
         if len(w) - len(e) >= r1:
-            if e in two:
-                w = w[: -len(e)] + two[e]
+            if e in STEP_2:
+                w = w[: -len(e)] + STEP_2[e]
             elif e == "ogi" and w.endswith("logi"):
                 w = w[:-1]
-            elif e == "li" and re.search("[cdeghkmnrt]li$", w):
+            elif e == "li" and BEFORE_LI.search(w):
                 w = w[:-2]
-    three = {"tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
-    if e := ends(w, (*three, "ative")):
+    if e := _ending(w, ENDINGS_3):
         at = len(w) - len(e)
         if e == "ative":
             w = w[:at] if at >= r2 else w
         elif at >= r1:
-            w = w[:at] + three[e]
-    if e := ends(w, ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize", "ion")):
+            w = w[:at] + STEP_3[e]
+    if e := _ending(w, ENDINGS_4):
         at = len(w) - len(e)
         if at >= r2 and (e != "ion" or w[:at].endswith(("s", "t"))):
             w = w[:at]
     if w.endswith("e"):
-        if len(w) - 1 >= r2 or len(w) - 1 >= r1 and not short(w[:-1]):
+        if len(w) - 1 >= r2 or len(w) - 1 >= r1 and not SHORT.search(w[:-1]):
             w = w[:-1]
     elif w.endswith("ll") and len(w) - 1 >= r2:
         w = w[:-1]
     return w.replace("Y", "y")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stems(tokens: pd.Series) -> pd.Series:
-    known: dict = {}
-    out = []
-    for row in tokens:
-        for t in set(row) - known.keys():
-            known[t] = None if t in STOP_WORDS else stem(t)
-        out.append([known[t] for t in row])
-    return pd.Series(out)
+#: Stems that a worker keeps.
+KEPT_STEMS = 1 << 18
+
+
+@lru_cache(KEPT_STEMS)
+def english(word: str) -> str | None:
+    """The stem of a lower-case word, None for a stop word."""
+    return None if word in STOP_WORDS else stem(word)
+
+
+def stems_of(tokens: pa.ListArray) -> pa.ListArray:
+    """The stems of token lists: those of the different tokens, put where the tokens were. No token of a text becomes an object of its own."""
+    offsets = tokens.offsets.to_numpy()
+    coded = tokens.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    stems = pa.array([None if w is None else english(w) for w in coded.dictionary.to_pylist()], pa.string())
+    return pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), stems.take(coded.indices), mask=tokens.is_null() if tokens.null_count else None)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _stems(tokens: pa.Array) -> pa.Array:
+    return stems_of(tokens)
 
 
 def tokens_english(text: Column) -> Column:
-    """Stems in order, null for a stop word; each distinct token of a batch is stemmed once."""
+    """Stems in order, null for a stop word; each distinct token of a batch is stemmed once, a frequent one once for a worker."""
     return _stems(tokens_simple(text))
 
 
@@ -339,7 +366,7 @@ def inverted_index(posts: DataFrame, config: Config = SIMPLE) -> DataFrame:
 
 @F.pandas_udf(T.StringType())
 def _stem_of(terms: pd.Series) -> pd.Series:
-    return terms.map(lambda t: None if t in STOP_WORDS else stem(t))
+    return terms.map(english)
 
 
 def stemmed_index(simple: DataFrame) -> DataFrame:

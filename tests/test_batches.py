@@ -27,3 +27,19 @@ def test_terms_are_inverted_in_pieces():
     rows = {(r["post_no"], r["term"]): r["positions"] for b in out for r in b.to_pylist()}
     assert len(rows) == sum(b.num_rows for b in out) == sum(len(set(t)) for t in tokens)
     assert all(rows[k, f"w{k * 3 % 977}"][0] <= 4 for k in range(n)) and rows[0, "w0"] == list(range(1, 401))
+
+
+def test_a_frequent_word_is_stemmed_once_for_a_worker(monkeypatch):
+    seen = []
+    monkeypatch.setattr(search, "stem", lambda w: seen.append(w) or w[:3])
+    search.english.cache_clear()
+    tokens = pa.array([["walking", "the", "walking"], [], None, ["dogs", None]]).slice(0)
+    assert [search.stems_of(t).to_pylist() for t in (tokens, tokens.slice(1))] == [want := [["wal", None, "wal"], [], None, ["dog", None]], want[1:]]
+    assert sorted(seen) == ["dogs", "walking"]
+    search.english.cache_clear()
+
+
+def test_a_text_of_null_has_no_tokens(spark):
+    rows = spark.createDataFrame([(1, "The walking dogs"), (2, None), (3, "")], "n int, text string")
+    got = {r.n: r.tokens for r in rows.select("n", search.tokens_english(rows.text).alias("tokens")).collect()}
+    assert got == {1: [None, "walk", "dog"], 2: None, 3: []}
