@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import discard, table, written
 
 PARTS = 8
-BLOCK_TOKENS, GROUP_KEYS = 3 << 19, 1 << 20
+BLOCK_TOKENS, GROUP_KEYS, PART_TOKENS = 3 << 19, 1 << 20, 1 << 17
 #: Buckets of context frequencies: 0, and the powers of two up to 2**62.
 BUCKETS = 64
 #: What each part of each bucket is given before counting, and the gain in log-likelihood a token at which the weights are settled.
@@ -98,12 +98,18 @@ class Pairs:
         self.context = np.roll(self.word, 1)
         if len(lengths):
             self.context[self.ends - lengths.astype(np.int64)] = 0
-        pairs, self.pair = np.unique(self.context << 32 | self.word, return_inverse=True)
-        self.left, self.right = pairs >> 32, pairs & 0xFFFFFFFF
+        self.pairs, self.pair = np.unique(self.context << 32 | self.word, return_inverse=True)
 
     def hashes(self, words: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mixed(words[self.left] * MIX[0] + mixed(words[self.right] + MIX[0]))
+            return mixed(words[self.pairs >> 32] * MIX[0] + mixed(words[self.pairs & 0xFFFFFFFF] + MIX[0]))
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of batches, one at a time: a row is a block, and a batch may hold 64 MiB of them."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
 
 
 def asked(hashes: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +155,7 @@ def requests(blocks: DataFrame, n_buckets: tuple[int, int]) -> DataFrame:
     """For each block and range of hashes the words (kind 0) and pairs (kind 1) of the block with its own counts in training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
+        for row in rows_of(batches):
             lengths, roles, words = unpack(row["lengths"]), unpack(row["roles"]), unpack(row["words"])
             pairs = Pairs(unpack(row["tokens"]), lengths)
             role = np.repeat(roles, lengths.astype(np.int64))
@@ -212,7 +218,7 @@ def held_out_events(blocks: DataFrame) -> DataFrame:
     """(context, pair, word, n): tokens of deleted documents by the counts, in the rest, of what they follow, of both together and of themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
+        for row in rows_of(batches):
             lengths, roles = unpack(row["lengths"]), unpack(row["roles"])
             if not (roles == DELETED).any():
                 continue
@@ -254,18 +260,28 @@ def fit_weights(events: DataFrame, n_retained: int, n_distinct: int) -> np.ndarr
         before = likelihood
 
 
+def scores_of(row: dict, weights: np.ndarray, n_train: int, n_distinct: int) -> Iterator[pa.RecordBatch]:
+    """The scores of a block's documents, some `PART_TOKENS` tokens at a time: what is made of a token has many times its bytes."""
+    lengths, roles = unpack(row["lengths"]).astype(np.int64), unpack(row["roles"])
+    pairs, word, pair = Pairs(unpack(row["tokens"]), lengths), unpack(row["word_total"]), unpack(row["pair_total"])
+    even, lo = 1 / (n_distinct + 1), 0
+    while lo < len(lengths):
+        begin = pairs.ends[lo] - lengths[lo]
+        hi = max(int(np.searchsorted(pairs.ends, begin + PART_TOKENS, "right")), lo + 1)
+        docs, part = slice(lo, hi), slice(begin, pairs.ends[hi - 1])
+        c, w, p = word[pairs.context[part]], word[pairs.word[part]], pair[pairs.pair[part]]
+        own, starts = weights[bucket_of(c)], pairs.ends[docs] - lengths[docs] - begin
+        prob = own[:, 0] * p / np.maximum(c, 1) + own[:, 1] * w / max(n_train, 1) + own[:, 2] * even if n_train else np.full(len(w), even)
+        total = lambda x: np.add.reduceat(x, starts)  # noqa: B023, E731
+        base = np.log10((w + 1.0) / (n_train + n_distinct + 1.0))
+        yield batch_of(SCORE, doc_id=row["doc_ids"][docs], held_out=roles[docs] == HELD_OUT, n_tokens=lengths[docs], n_known=total((w > 0).astype(np.int64)), train_tokens=np.full(hi - lo, n_train), base_score=total(base), score=total(np.log10(prob)))
+        lo = hi
+
+
 def scores(blocks: DataFrame, weights: np.ndarray, n_train: int, n_distinct: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            lengths, roles = unpack(row["lengths"]).astype(np.int64), unpack(row["roles"])
-            pairs, word = Pairs(unpack(row["tokens"]), lengths), unpack(row["word_total"])
-            c, w, p = word[pairs.context], word[pairs.word], unpack(row["pair_total"])[pairs.pair]
-            own, starts = weights[bucket_of(c)], pairs.ends - lengths
-            even = 1 / (n_distinct + 1)
-            prob = own[:, 0] * p / np.maximum(c, 1) + own[:, 1] * w / max(n_train, 1) + own[:, 2] * even if n_train else np.full(len(w), even)
-            total = lambda x: np.add.reduceat(x, starts)
-            base = np.log10((w + 1.0) / (n_train + n_distinct + 1.0))
-            yield batch_of(SCORE, doc_id=row["doc_ids"], held_out=roles == HELD_OUT, n_tokens=lengths, n_known=total((w > 0).astype(np.int64)), train_tokens=np.full(len(lengths), n_train), base_score=total(base), score=total(np.log10(prob)))
+        for row in rows_of(batches):
+            yield from scores_of(row, weights, n_train, n_distinct)
 
     return blocks.select("doc_ids", "lengths", "roles", "tokens", "word_total", "pair_total").mapInArrow(run, SCORE)
 

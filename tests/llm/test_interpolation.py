@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,24 @@ def test_packed_numbers():
     for values in ([], [0, 0, 0], [1, 300, 2**64 - 1, 5], list(range(1000))):
         x = np.array(values, np.uint64)
         assert (interpolation.unpack(interpolation.pack(x)) == x).all()
+
+
+def test_a_block_is_scored_in_parts_and_read_alone():
+    r = np.random.default_rng(3)
+    lengths = r.integers(1, 900, 1500)
+    m = int(lengths.sum())
+    tokens = r.integers(0, 3000, m).astype(np.uint64)
+    n_pairs = len(interpolation.Pairs(tokens, lengths.astype(np.uint64)).pairs)
+    packed = {"lengths": lengths, "roles": r.integers(0, 3, len(lengths)), "tokens": tokens, "word_total": r.integers(0, 99, 3000), "pair_total": r.integers(0, 9, n_pairs)}
+    row = {"doc_ids": list(range(len(lengths)))} | {k: interpolation.pack(v) for k, v in packed.items()}
+    weights = np.full((interpolation.BUCKETS, 3), 1 / 3)
+    score = lambda: pa.Table.from_batches(list(interpolation.scores_of(row, weights, 10**6, 10**5)))
+    parts, out = list(interpolation.scores_of(row, weights, 10**6, 10**5)), score()
+    assert len(parts) >= m // interpolation.PART_TOKENS and out.column("doc_id").to_pylist() == row["doc_ids"] and out.column("n_tokens").to_pylist() == lengths.tolist()
+    whole, interpolation.PART_TOKENS = interpolation.PART_TOKENS, 1 << 40
+    try:
+        assert score().equals(out.combine_chunks())
+    finally:
+        interpolation.PART_TOKENS = whole
+    batch = pa.RecordBatch.from_pydict({k: [v] * 3 for k, v in row.items()})
+    assert list(interpolation.rows_of(iter([batch]))) == [row] * 3
