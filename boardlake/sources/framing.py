@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boardlake.functions.batches import in_pieces
+
 FRAGMENT = "file string, owner long, block long, part binary"
 
 
@@ -29,7 +31,7 @@ def pieces(spark: SparkSession, path: str, mark: str, glob: str | None = None) -
 
 def by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[bytes]]]:
     """((file, block), pieces in order) of each split that a task reads."""
-    rows = (((f, b), v) for batch in batches for f, b, v in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
+    rows = (((f, b), v) for batch in batches for piece in in_pieces(batch) for f, b, v in zip(*(piece.column(k).to_pylist() for k in range(3)), strict=True))
     for key, own in groupby(rows, lambda r: r[0]):
         yield key, (v for _, v in own)
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlake.functions.batches import mapped
 from boardlake.functions.texts import number_or_null, strip_nulls
 from boardlake.functions.times import ny_wall_to_utc
 from boardlake.operators.filters import is_ghost
@@ -38,6 +38,9 @@ ROW = T.ArrayType(T.ArrayType(T.StringType()))
 NAMES = T.ArrayType(T.StringType())
 STATEMENTS = T.ArrayType(T.StructType([T.StructField("table", T.StringType()), T.StructField("columns", NAMES), T.StructField("rows", ROW), T.StructField("bad", T.IntegerType())]))
 TABLES = T.ArrayType(T.StructType([T.StructField("table", T.StringType()), T.StructField("columns", NAMES)]))
+ARROW_ROW, ARROW_NAMES = pa.list_(pa.list_(pa.string())), pa.list_(pa.string())
+ARROW_STATEMENTS = pa.list_(pa.struct([("table", pa.string()), ("columns", ARROW_NAMES), ("rows", ARROW_ROW), ("bad", pa.int32())]))
+ARROW_TABLES = pa.list_(pa.struct([("table", pa.string()), ("columns", ARROW_NAMES)]))
 
 
 def literal(text: str) -> str:
@@ -72,10 +75,9 @@ def tuples_of(text: str) -> list[list[str | None]]:
     return rows
 
 
-@F.pandas_udf(ROW)
-def _tuples(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield batch.map(lambda t: None if t is None else tuples_of(t))
+@F.arrow_udf(ROW)
+def _tuples(texts: pa.Array) -> pa.Array:
+    return mapped(lambda t: None if t is None else tuples_of(t), ARROW_ROW, texts)
 
 
 def parse_tuples(values: Column) -> Column:
@@ -103,18 +105,18 @@ def pieces_of(record: str) -> Iterator[tuple]:
     yield "between", record[at:]
 
 
-@F.pandas_udf(STATEMENTS)
-def _statements(records: pd.Series) -> pd.Series:
-    return records.map(lambda r: [{"table": p[1], "columns": p[2], "rows": p[3], "bad": int(p[4])} for p in pieces_of(r) if p[0] == "insert"])
+@F.arrow_udf(STATEMENTS)
+def _statements(records: pa.Array) -> pa.Array:
+    return mapped(lambda r: [{"table": p[1], "columns": p[2], "rows": p[3], "bad": int(p[4])} for p in pieces_of(r) if p[0] == "insert"], ARROW_STATEMENTS, records)
 
 
-@F.pandas_udf(TABLES)
-def _created(records: pd.Series) -> pd.Series:
+@F.arrow_udf(TABLES)
+def _created(records: pa.Array) -> pa.Array:
     def tables(record: str) -> list[dict]:
         found = [m for p in pieces_of(record) if p[0] == "between" for m in CREATE.finditer(p[1])]
         return [{"table": m[1], "columns": re.findall(r"^\s*`([^`]+)`", m[2], re.MULTILINE)} for m in found]
 
-    return records.map(tables)
+    return mapped(tables, ARROW_TABLES, records)
 
 
 def literal_end(text: str, at: int, is_open: bool) -> tuple[bool, bool]:
