@@ -12,12 +12,12 @@ import gzip
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlake.functions.batches import in_pieces, mapped
 from boardlake.functions.scratch import arrow_files
 from boardlake.functions.texts import url_slug
 from boardlake.sources import framing, warc_gz
@@ -62,9 +62,9 @@ def uncoded(body: bytes, chunked: bool, coding: str | None) -> bytes:
     return body
 
 
-@F.pandas_udf(T.BinaryType())
-def _uncoded(body: pd.Series, chunked: pd.Series, coding: pd.Series) -> pd.Series:
-    return pd.Series([uncoded(b, bool(c), k or None) for b, c, k in zip(body, chunked, coding, strict=True)])
+@F.arrow_udf(T.BinaryType())
+def _uncoded(body: pa.Array, chunked: pa.Array, coding: pa.Array) -> pa.Array:
+    return mapped(lambda b, c, k: None if b is None else uncoded(b, bool(c), k or None), pa.binary(), body, chunked, coding)
 
 
 class Chain:
@@ -193,7 +193,7 @@ def extract_pages(pages: DataFrame, folder: str) -> int:
         files, root = arrow_files(folder)
         n, made = 0, set()
         for batch in batches:
-            for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist(), strict=True):
+            for name, body in ((n, b) for piece in in_pieces(batch) for n, b in zip(piece.column("name").to_pylist(), piece.column("body").to_pylist(), strict=True)):
                 if (within := f"{root}/{name}".rpartition("/")[0]) not in made:
                     files.create_dir(within, recursive=True)
                     made.add(within)
