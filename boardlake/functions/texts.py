@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlake.functions.batches import mapped
+
 #: Named character references that are decoded, in this order; the ampersand comes last, so that nothing is decoded twice.
 NAMED = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " ")]
 
@@ -19,13 +23,17 @@ def decode_named(text: Column) -> Column:
     return F.regexp_replace(text, "(?i)&amp;", "&")
 
 
-@F.pandas_udf(T.StringType())
-def _numeric(texts: pd.Series) -> pd.Series:
+#: A numeric character reference; fixed value.
+NUMERIC = re.compile(r"(?i)&#(?:x([0-9a-f]{1,8})|([0-9]{1,8}));")
+
+
+@F.arrow_udf(T.StringType())
+def _numeric(texts: pa.Array) -> pa.Array:
     def letter(m) -> str:
         n = int(m[1], 16) if m[1] else int(m[2])
         return chr(n) if 0 < n < 0x110000 and not 0xD800 <= n < 0xE000 else m[0]
 
-    return texts.str.replace(r"(?i)&#(?:x([0-9a-f]{1,8})|([0-9]{1,8}));", letter, regex=True)
+    return mapped(lambda t: None if t is None else NUMERIC.sub(letter, t), pa.string(), texts)
 
 
 def decode_entities(text: Column) -> Column:
@@ -33,6 +41,10 @@ def decode_entities(text: Column) -> Column:
     return decode_named(F.when(text.contains("&#"), _numeric(text)).otherwise(text))
 
 
+#: Steps of an edit distance between two cuts of the bits over the end.
+LOOSE_STEPS = 64
+
+
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance of whole strings by code point: a column of the matrix is two big integers of vertical steps (Myers, Hyyrö)."""
     if a == b:
@@ -45,20 +57,21 @@ def edit_distance(a: str, b: str) -> int:
     places = {c: int.from_bytes(np.packbits(codes == ord(c), bitorder="little").tobytes(), "little") for c in set(b)}
     full = (1 << len(a)) - 1
     up, down = full, 0
-    for c in b:
-        same = places[c]
-        xv = same | down
-        xh = (((same & up) + up) ^ up | same) & full
-        ph = (down | (full ^ (xh | up))) << 1 | 1
-        mh = (up & xh) << 1
-        up = (mh | (full ^ ((xv | ph) & full))) & full
-        down = ph & xv & full
+    for at in range(0, len(b), LOOSE_STEPS):
+        for c in b[at : at + LOOSE_STEPS]:
+            same = places[c]
+            xv = same | down
+            xh = (same & up) + up ^ up | same
+            ph = (down | full ^ (xh | up)) << 1 | 1
+            up = (up & xh) << 1 | full ^ (xv | ph)
+            down = ph & xv
+        up, down = up & full, down & full  # bits over the end never reach those below, so they are cut off now and then
     return len(b) + up.bit_count() - down.bit_count()
 
 
-@F.pandas_udf(T.IntegerType())
-def _levenshtein(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or b is None else edit_distance(a, b) for a, b in zip(left, right, strict=True)], dtype="Int32")
+@F.arrow_udf(T.IntegerType())
+def _levenshtein(left: pa.Array, right: pa.Array) -> pa.Array:
+    return mapped(lambda a, b: None if a is None or b is None else edit_distance(a, b), pa.int32(), left, right)
 
 
 def levenshtein(left: Column | str, right: Column | str) -> Column:
