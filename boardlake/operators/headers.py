@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from boardlake.functions.batches import in_pieces, mapped
+from boardlake.functions.columns import let
 
 #: A digit or what is often read for one, and the formats of dates and numbers built on it; fixed values.
 DIGIT = r"[\dOoIl|SB]"
@@ -63,34 +70,76 @@ def label_text(date: Column, utc_offset: Column, post_no: Column) -> Column:
 
 def header_distance(line: Column, label: Column) -> Column:
     """The least edit distance of the label to what the line has from its first date on: to every beginning that is up to four letters shorter or longer."""
-    flat = no_blanks(line)
-    begin = F.greatest(F.regexp_instr(flat, F.lit(LOOSE_DATE)), F.lit(1))
-    size = F.length(label)
-    tail = F.substr(flat, begin, size + 4)
-    least = F.greatest(size - 4, F.lit(1))
-    distances = F.transform(F.sequence(least, F.greatest(F.length(tail), least)), lambda n: F.levenshtein(F.substr(tail, F.lit(1), n), label))
-    return F.when(F.length(tail) >= least, F.array_min(distances))
+    return _distance(from_date(line), label)
+
+
+def from_date(line: Column) -> Column:
+    """What a line has from its first date on, or all of it, without blanks."""
+    return let(no_blanks(line), lambda flat: F.substr(flat, F.greatest(F.regexp_instr(flat, F.lit(LOOSE_DATE)), F.lit(1))))
+
+
+@lru_cache(1 << 12)
+def places_of(label: str) -> dict[str, int]:
+    """For each letter of a label the places where it stands, as bits."""
+    out: dict[str, int] = {}
+    for at, c in enumerate(label):
+        out[c] = out.get(c, 0) | 1 << at
+    return out
+
+
+def least_distance(rest: str, label: str) -> int | None:
+    """The least edit distance of a label to a beginning of rest that is up to four letters shorter or longer; None if rest is too short. One pass gives those of all beginnings (Myers, Hyyrö)."""
+    size = len(label)
+    tail, least = rest[: size + 4], max(size - 4, 1)
+    if len(tail) < least:
+        return None
+    if not label or tail.startswith(label):
+        return int(not label)
+    places, full, last, up, down, now, best = places_of(label), (1 << size) - 1, 1 << (size - 1), (1 << size) - 1, 0, size, size + 4
+    for n, c in enumerate(tail, 1):
+        same = places.get(c, 0)
+        xv = same | down
+        xh = (same & up) + up ^ up | same
+        ph, mh = down | full ^ (xh | up), up & xh
+        now += 1 if ph & last else -1 if mh & last else 0
+        ph = ph << 1 | 1
+        up, down = mh << 1 | full ^ (xv | ph), ph & xv
+        if n >= least and now < best:
+            best = now
+    return best
+
+
+@F.arrow_udf(T.IntegerType())
+def _distance(rest: pa.Array, label: pa.Array) -> pa.Array:
+    return mapped(lambda r, x: None if r is None or x is None else least_distance(r, x), pa.int32(), rest, label)
 
 
 def near_pairs(lines: DataFrame, labels: DataFrame) -> DataFrame:
     """(image, label_no, line_no, distance) of the labels (image, label_no, label) and lines (image, line_no, line) of an image that are within a third of the label in edits, four at least."""
-    near = lines.join(labels, "image").withColumn("distance", header_distance(F.col("line"), F.col("label")))
+    # rows are short and dear, so tasks are not to be merged by their bytes; what a line has from its date on is found once a line
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rests = lines.select("image", "line_no", from_date(F.col("line")).alias("_rest")).repartition(tasks, "image")
+    near = rests.join(labels.select("image", "label_no", "label"), "image").withColumn("distance", _distance(F.col("_rest"), F.col("label")))
     limit = F.greatest(F.lit(4), F.floor(F.length("label") / 3))
     return near.filter(F.col("distance") <= limit).select("image", "label_no", "line_no", "distance")
 
 
 def assign(lines: DataFrame, labels: DataFrame) -> DataFrame:
-    """One-to-one pairs of labels and lines of an image, nearest first, of equal ones the first label and line. An image has a few dozen lines, so a group is small."""
-
-    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["distance", "label_no", "line_no"])
-        lines_taken, labels_taken, keep = set(), set(), []
-        for at, (label, line) in enumerate(zip(rows["label_no"], rows["line_no"], strict=True)):
-            if line not in lines_taken and label not in labels_taken:
-                lines_taken.add(line), labels_taken.add(label), keep.append(at)
-        return rows.iloc[keep]
-
-    return near_pairs(lines, labels).groupBy("image").applyInPandas(greedy, PAIR)
+    """One-to-one pairs of labels and lines of an image, nearest first, of equal ones the first label and line. Pairs are read sorted, whatever their number; what is held is what one image has given so far."""
+
+    def greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, lines_taken, labels_taken = None, set(), set()
+        for batch in (piece for whole in batches for piece in in_pieces(whole)):
+            keep = []
+            for at, (image, label, line) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("image", "label_no", "line_no")), strict=True)):
+                if image != now:
+                    now, lines_taken, labels_taken = image, set(), set()
+                if line not in lines_taken and label not in labels_taken:
+                    lines_taken.add(line), labels_taken.add(label), keep.append(at)
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    pairs = near_pairs(lines, labels).select("image", *[F.col(c).cast("int").alias(c) for c in ("label_no", "line_no", "distance")])
+    return pairs.repartition("image").sortWithinPartitions("image", "distance", "label_no", "line_no").mapInArrow(greedy, PAIR)
 
 
 def score(lines: DataFrame, labels: DataFrame) -> DataFrame:

@@ -102,6 +102,7 @@ def test_labels_are_assigned_in_one_sorted_pass(spark):
                 want.add((image, label, line, d))
     got = headers.assign(lines, labels)
     assert {tuple(r) for r in got.collect()} == want and got.count() == len(want) > 100
+    assert headers.least_distance("ab1x", "ab2") == 1 and headers.least_distance("", "a") is None and headers.least_distance("x", "") == 1
     assert "InPandas" not in got._jdf.queryExecution().toString()  # which calls Python for each image
 
 
