@@ -33,6 +33,7 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from math import ceil, exp, log
 
 import numpy as np
@@ -215,13 +216,12 @@ def coordinate_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.array((h ^ h >> U64(32)).reshape(-1).view(np.int64)), part.column("cid").take(pa.array(row))], names=["key", "cid"])
 
 
-def star_edges(leaves: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the sets of leaves which have two neighbouring values in common, each with the least of them.
+def star_edges(sets: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect those of different sets (cid, sketch) which have two neighbouring values in common, each with the least of them.
 
     Two sets with LEAST of COORDS equal values have at least LEAST - COORDS / 2 of the COORDS / 2 places with both values
-    equal, so none is missed, and the rows are as many as the sets times COORDS / 2, however large a leaf is and however many
-    runs a set came to one in."""
-    keys = leaves.select("cid", "sketch").dropDuplicates(["cid"]).mapInArrow(coordinate_pairs, "key long, cid binary")
+    equal, so none is missed, and the rows are as many as the sets times COORDS / 2, however large a leaf is."""
+    keys = sets.mapInArrow(coordinate_pairs, "key long, cid binary")
     stars = keys.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).filter(F.col("a") < F.col("z")).drop("z")
     # a set names its least root alone, and the least root the set's others, of which many sets have the same
     per = keys.join(stars, "key").groupBy("cid").agg(F.min("a").alias("a"), F.collect_set("a").alias("roots"))
@@ -235,8 +235,8 @@ def dealt(rows: DataFrame, keys: list[str], blocks: str, own: str) -> DataFrame:
     return out.repartition(*keys, "p", "q").sortWithinPartitions(*keys, "p", "q")
 
 
-def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[int, DataFrame | None]:
-    """Does the runs over sets (cid, sketch) and adds the edges of their leaves to found. Gives the depth reached and the sets that were in a bucket that was split.
+def split_paths(sets: DataFrame, runs: range, found: list[DataFrame], clusters: list[DataFrame]) -> tuple[int, DataFrame | None]:
+    """Does the runs over sets (cid, sketch) and adds the edges of their leaves to found, repeated where leaves agree, and the cids in leaves of over BLOCK sets to clusters. Gives the depth reached and the sets that were in a bucket that was split.
 
     Paths travel with the class alone; the embedding joins only those that another class shares.
     """
@@ -253,8 +253,8 @@ def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[i
         leaves = shared if last else shared.filter(~split)
         small, large = leaves.filter(F.col("g") <= BLOCK), leaves.filter(F.col("g") > BLOCK)
         small = small.select("path", "cid", "sketch").repartition("path").sortWithinPartitions("path")
-        edges = small.mapInArrow(compare_leaves, "a binary, b binary")
-        found.append(written(edges.unionByName(star_edges(large)).distinct(), f"jaccard-edges{depth}"))
+        found.append(written(small.mapInArrow(compare_leaves, "a binary, b binary"), f"jaccard-edges{depth}"))
+        clusters.append(written(large.select("cid"), f"jaccard-clusters{depth}"))
         nodes = shared.filter(split).select("path", "cid", "sketch", "g")
         if last or nodes.isEmpty():
             break
@@ -265,19 +265,21 @@ def split_paths(sets: DataFrame, runs: range, found: list[DataFrame]) -> tuple[i
 
 
 def chosen_path_edges(classes: DataFrame, recall: float = RECALL) -> DataFrame:
-    """Edges (a, b) of a spanning forest of the classes that may be similar."""
+    """Edges (a, b) that connect the classes that may be similar. Large leaves of all levels and runs are done at once, for what connects their sets does not depend on the leaf."""
     found: list[DataFrame] = []
-    sets, done, depth = classes.filter(F.col("n") > 0).select("cid", "sketch"), 0, 1
+    clusters: list[DataFrame] = []
+    every = classes.filter(F.col("n") > 0).select("cid", "sketch")
+    sets, done, depth = every, 0, 1
     while True:
         want = runs_for(recall, depth)
-        reached, deep = split_paths(sets, range(done, want), found)
+        reached, deep = split_paths(sets, range(done, want), found, clusters)
         if deep is None or reached <= depth:
             break
         sets, done, depth = deep, want, reached
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    large = reduce(DataFrame.unionByName, clusters).distinct()
+    if not large.isEmpty():
+        found.append(written(star_edges(large.join(every, "cid")), "jaccard-stars"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,12 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import discard, let, table, words_of, written
+from .common import let, table, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 SHARE = 0.75
 #: Steps of all starts, most steps of the best one, and the fall of the log determinant that counts as none.
 TRIES, STEPS, SETTLED = 2, 10, 1e-3
+#: Most files of a table with a row for each group.
+FILES = 8
 #: Chi-square with 5 degrees of freedom at 0.975 and at one in a million, and the factors that make the scatter of the nearest 75 % and 97.5 % consistent under normality.
 INNER, CUTOFF = 12.83, 35.89
 FACTOR, INNER_FACTOR = 1.412, 1.055
@@ -118,12 +120,12 @@ def sums_of_rows() -> list[Column]:
     return [F.expr(x) for x in SUMS_SQL]
 
 
-def estimate(sums: DataFrame, frame: DataFrame, factor: float) -> DataFrame:
+def estimate(sums: DataFrame, frame: DataFrame, factor: float, how: str = "left") -> DataFrame:
     """The estimates of groups from the sums over their nearest rows, mixed with what frame says; groups without sums get the latter alone."""
     own, other = "coalesce(_n / (_n + _prior), 0D)", "(1 - coalesce(_n / (_n + _prior), 0D))"
     mean = [f"coalesce({own} * (_o{i} + _a{i} / _n), 0D) + {other} * _u{i} as _m{i}" for i in range(5)]
     scatter = [f"coalesce({own} * {factor}D * (_q{i}{j} / _n - _a{i} / _n * _a{j} / _n), 0D) + {other} * _t{i}{j} as _s{i}{j}" for i, j in PAIRS]
-    return inverse_factor(frame.join(sums, "_g", "left").selectExpr(*FRAME, "coalesce(_s, 0) as _s", *mean, *scatter))
+    return inverse_factor(frame.join(sums, "_g", how).selectExpr(*FRAME, "coalesce(_s, 0) as _s", *mean, *scatter))
 
 
 def spread(rows: DataFrame, medians: DataFrame) -> DataFrame:
@@ -145,15 +147,18 @@ def starts(rows: DataFrame, frame: DataFrame) -> DataFrame:
     return inverse_factor(out)
 
 
+def few(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table of a row for each group in at most FILES files: in as many as there are shuffle partitions, the files' own heads would make it too large to be broadcast, and all rows would be shuffled instead."""
+    return written(df.coalesce(FILES), name)
+
+
 def concentrate(rows: DataFrame, estimates: DataFrame, frame: DataFrame) -> DataFrame:
-    """One concentration step of all estimates: those of the nearest SHARE of the rows of each."""
+    """One concentration step of all estimates: those of the nearest SHARE of the rows of each. Not written yet; dealt by _g."""
     binned = rows.join(estimates, "_g").withColumn("_bin", F.floor(F.log1p(distance()) * 64))
-    bins = written(binned.groupBy("_g", "_s", "_bin").agg(F.first("_total").alias("_total"), *sums_of_rows()), "mcd-bins")
+    bins = binned.groupBy("_g", "_s", "_bin").agg(F.first("_total").alias("_total"), *sums_of_rows()).repartition("_g")
     before = F.sum("_n").over(Window.partitionBy("_g", "_s").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
     nearest = bins.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < SHARE * F.col("_total"))
-    out = written(estimate(nearest.groupBy("_g", "_s").agg(*[F.sum(c).alias(c) for c in SUMS]), frame, FACTOR), "mcd-step")
-    discard(bins)
-    return out
+    return estimate(nearest.groupBy("_g", "_s").agg(*[F.sum(c).alias(c) for c in SUMS]), frame, FACTOR, "inner")  # each estimate has a first bin
 
 
 def least_determinant(estimates: DataFrame) -> DataFrame:
@@ -161,28 +166,35 @@ def least_determinant(estimates: DataFrame) -> DataFrame:
     return estimates.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def better(best: DataFrame, now: DataFrame) -> DataFrame:
+    """For each group that of both estimates with the lesser determinant, null before all numbers as in least_determinant, and by how much it fell."""
+    both = now.select("_g", F.struct("*").alias("_new")).join(best.select("_g", F.struct("*").alias("_old")), "_g")
+    new, old = F.col("_new._logdet"), F.col("_old._logdet")
+    return both.select(F.when(new.isNull() | (new < old), F.col("_new")).otherwise(F.col("_old")).alias("_e"), (old - new).alias("_fall")).select("_e.*", "_fall")
+
+
 def fit_level(rows: DataFrame, prior: DataFrame | None) -> DataFrame:
     """The estimates (_g, _m, _v and the scatter's factors) of the groups _g of rows; prior: for each _g the columns _u, _t that they are mixed with, else their medians and deviations. Written, a row for each group."""
     medians = rows.groupBy("_g").agg(F.count("*").alias("_total"), *[F.percentile_approx(x, 0.5, 10000).alias(f"_o{i}") for i, x in enumerate(X)])
-    frame = spread(rows, written(medians, "mcd-medians"))
+    frame = spread(rows, few(medians, "mcd-medians"))
     if prior is None:
         own = {f"_t{i}{j}": F.col(f"_d{i}") * F.col(f"_d{j}") if i == j else F.lit(0.0) for i, j in PAIRS}
         frame = frame.withColumns({"_prior": F.lit(LANGUAGE_PRIOR), **{f"_u{i}": F.col(f"_o{i}") for i in range(5)}, **own})
     else:
         frame = frame.join(prior, "_g").withColumn("_prior", F.lit(PRIOR))
-    frame = written(frame.select(*FRAME, *[f"_d{i}" for i in range(5)]), "mcd-frame")
-    now = written(starts(rows, frame), "mcd-start")
-    for _ in range(TRIES):
-        now = concentrate(rows, now, frame)
-    best = written(least_determinant(now), "mcd-best")  # of its true size, so that Spark can tell that it is small
-    for _ in range(STEPS):
+    frame = few(frame.select(*FRAME, *[f"_d{i}" for i in range(5)]), "mcd-frame")
+    best = few(starts(rows, frame), "mcd-start")
+    for left in reversed(range(TRIES)):
         now = concentrate(rows, best, frame)
-        fall = best.join(now.select("_g", F.col("_logdet").alias("_next")), "_g").agg(F.max(F.col("_logdet") - F.col("_next"))).first()[0]
+        best = few(now if left else least_determinant(now), "mcd-step")
+    for _ in range(STEPS):
+        now = few(better(best, concentrate(rows, best, frame)), "mcd-step")
+        fall = now.agg(F.max("_fall")).first()[0]
         if fall is None or fall < SETTLED:
             break
-        best = written(least_determinant(best.unionByName(now)), "mcd-best")
+        best = now.drop("_fall")
     inside = rows.join(best, "_g").filter(distance() <= INNER).groupBy("_g", "_s").agg(*sums_of_rows())
-    return written(estimate(inside, frame, INNER_FACTOR), "mcd-final")
+    return few(estimate(inside, frame, INNER_FACTOR), "mcd-final")
 
 
 def scatter_of(level: DataFrame) -> list[Column]:

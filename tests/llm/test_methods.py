@@ -333,3 +333,43 @@ def test_large_leaves_and_kinds_of_sets(spark, monkeypatch):
     want = {i: (sum(like(s, u) for u in sets) - 1, len({frozenset(u) for u in sets if u != s and like(s, u)})) for i, s in enumerate(sets)}
     got = neardup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {x.doc_id: (x.n_links, x.n_text_links) for x in got} == want
+
+
+# ---- what the driver has to hold of many shuffle partitions
+
+
+def test_estimates_of_many_groups_are_written_in_few_files(spark, monkeypatch):
+    files = {}
+
+    def counted(df, name, written=common.written):
+        out = written(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(quality, "written", counted)
+    many = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    r = random.Random(5)
+    docs = spark.createDataFrame([(i, prose(r.randint(20, 60), r), f"l{i % 30}", f"s{i % 60}", 0) for i in range(240)], DOCS)
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        assert quality.judge_quality(docs).filter("kept").count() > 200
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {"mcd-medians", "mcd-frame", "mcd-start", "mcd-step", "mcd-final"} <= set(files)
+    assert max(n for name, counts in files.items() if name != "mcd-rows" for n in counts) <= 8, files
+
+
+def test_large_leaves_of_all_levels_and_runs_are_done_once(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("SMALL", 16)):
+        monkeypatch.setattr(neardup, name, value)
+    calls = []
+    monkeypatch.setattr(neardup, "star_edges", lambda sets, f=neardup.star_edges: calls.append(1) or f(sets))
+    r = random.Random(22)
+    long = prose(40, r)
+    texts = [f"{long} own{i}" for i in range(60)] + [prose(30, r) for _ in range(20)]
+    got = neardup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {x.doc_id: x.n_links for x in got} == {i: 59 if i < 60 else 0 for i in range(80)}
+    assert len(calls) == 1
